@@ -1,7 +1,5 @@
 """Small helpers shared by the column expressions."""
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, functions as F
 
 ColumnOrName = Column | str
@@ -10,17 +8,3 @@ ColumnOrName = Column | str
 def as_column(col: ColumnOrName) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
-
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` for an array-valued ``body``, evaluating ``value`` once per row.
-
-    Spark inlines an expression wherever it is used, also inside a lambda, where
-    it would be evaluated per element. A one-element array binds it to a lambda
-    variable instead.
-    """
-    return F.flatten(F.transform(F.array(value), body))
-
-
-def let_any(value: Column, body: Callable[[Column], Column]) -> Column:
-    """As :func:`let` for a boolean ``body``."""
-    return F.exists(F.array(value), body)

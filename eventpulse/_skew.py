@@ -1,5 +1,7 @@
 """Salting for joins of a large table to a side table on a possibly hot key."""
 
+from __future__ import annotations
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 SALT = "_salt"
@@ -19,3 +21,8 @@ def salted(large: DataFrame, side: DataFrame, salts: int) -> tuple[DataFrame, Da
 def row_salt(table: DataFrame, salts: int) -> Column:
     plain = [f.name for f in table.schema if isinstance(f.dataType, T.AtomicType)]
     return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(salts).cast("bigint"))
+
+
+def digest(text: str) -> Column:
+    """SHA-256 of a text, as a short key in its place when rows are shuffled per word."""
+    return F.unhex(F.sha2(F.col(f"`{text}`").cast("binary"), 256))

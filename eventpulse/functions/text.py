@@ -1,5 +1,7 @@
 """Column expressions on text: trimming, sentences, words."""
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, functions as F
 
 from eventpulse._columns import ColumnOrName, as_column
@@ -27,6 +29,22 @@ def sentence_array(text: ColumnOrName) -> Column:
     return F.split(as_column(text), SENTENCE_END, -1)
 
 
-def word_array(text: ColumnOrName) -> Column:
+def word_array(text: str) -> Column:
     """Lower-case runs of letters (an empty first or last element is possible)."""
-    return F.split(F.lower(as_column(text)), NON_LETTERS, -1)
+    return F.expr(words_sql(text))
+
+
+# Expressions that contain a whole word list are SQL text: some thousand words
+# parse at once, while each literal built through the Python API is a call to
+# the JVM.
+
+def words_sql(text: str) -> str:
+    return f"split(lower(`{text}`), {sql_string(NON_LETTERS)}, -1)"
+
+
+def sql_string(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_list(values: Iterable[str]) -> str:
+    return "(" + ", ".join(sql_string(v) for v in values) + ")"

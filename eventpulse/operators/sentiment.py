@@ -14,9 +14,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eventpulse._columns import ColumnOrName, as_column
 from eventpulse._session import is_small
-from eventpulse._skew import SALT, salted
+from eventpulse._skew import SALT, digest, salted
 from eventpulse.calendars import TOURNAMENT, Calendar
-from eventpulse.functions.text import longer_than_one, sentence_array, trim_blank, word_array
+from eventpulse.functions.text import (
+    longer_than_one, sentence_array, sql_list, trim_blank, word_array, words_sql,
+)
 from eventpulse.operators.windows import with_window_name
 
 LABELS = ("very negative", "negative", "neutral", "positive", "very positive")
@@ -54,19 +56,14 @@ class Lexicon:
                 by_weight[weight].append(token)
         return Lexicon({w: tuple(t) for w, t in sorted(by_weight.items())})
 
-    def score(self, sentence: ColumnOrName) -> Column:
-        """Sum of the weights of all words, 0 without a hit."""
-        zero = F.lit(0).cast("bigint")
+    def score(self, sentence: str) -> Column:
+        """Sum of the weights of all words of the column ``sentence``, 0 without a hit."""
         if not self.tokens:
-            return F.when(as_column(sentence).isNotNull(), zero)
-
-        def weight_of(word: Column) -> Column:
-            choice = F
-            for weight, tokens in self.tokens.items():
-                choice = choice.when(word.isin(*tokens), F.lit(weight).cast("bigint"))
-            return choice.otherwise(zero)
-
-        return F.aggregate(word_array(sentence), zero, lambda sum_, word: sum_ + weight_of(word))
+            return F.when(F.col(f"`{sentence}`").isNotNull(), F.lit(0).cast("bigint"))
+        weight = "CASE" + "".join(
+            f" WHEN w IN {sql_list(tokens)} THEN {weight}L" for weight, tokens in self.tokens.items()
+        ) + " ELSE 0L END"
+        return F.expr(f"aggregate({words_sql(sentence)}, 0L, (total, w) -> total + {weight})")
 
 
 def compile_lexicon(
@@ -162,16 +159,15 @@ def _score_by_join(sentences: DataFrame, lexicon: DataFrame, salts: int = 16) ->
     nearly every sentence.
     """
     texts = sentences.select(F.col("sentence").alias("_sentence")).distinct()
-    words = texts.withColumn("token", F.explode(word_array("_sentence")))
-    counted = words.groupBy("_sentence", "token").agg(F.count(F.lit(1)).alias("_times"))
+    words = texts.select(
+        digest("_sentence").alias("_digest"), F.explode(word_array("_sentence")).alias("token")
+    )
+    counted = words.groupBy("_digest", "token").agg(F.count(F.lit(1)).alias("_times"))
     left, right = salted(counted, _merged(lexicon), salts)
     sums = (
-        left.join(right, ["token", SALT]).groupBy("_sentence")
-        .agg(F.sum(F.col("_times") * F.col("weight")).alias("score"))
-    )
-    left, right = salted(sentences, sums, salts)
-    on = (F.col("s.sentence") == F.col("x._sentence")) & (F.col(f"s.{SALT}") == F.col(f"x.{SALT}"))
-    score = F.coalesce(F.col("x.score"), F.lit(0).cast("bigint")).alias("score")
-    return left.alias("s").join(right.alias("x"), on, "left").select(
-        *[F.col(f"s.`{c}`") for c in sentences.columns], score
+        left.join(right, ["token", SALT]).groupBy("_digest")
+        .agg(F.sum(F.col("_times") * F.col("weight")).alias("_sum"))
     )
+    left, right = salted(sentences.withColumn("_digest", digest("sentence")), sums, salts)
+    score = F.coalesce(F.col("_sum"), F.lit(0).cast("bigint")).alias("score")
+    return left.join(right, ["_digest", SALT], "left").select(*sentences.columns, score)

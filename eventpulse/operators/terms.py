@@ -14,16 +14,15 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventpulse._columns import ColumnOrName, as_column, let, let_any
 from eventpulse._session import is_small
-from eventpulse._skew import SALT, salted
+from eventpulse._skew import SALT, digest, salted
+from eventpulse.functions.text import sql_list, sql_string
 
 PER_POST = "per_post"
 PER_TERM = "per_term"
@@ -68,57 +67,49 @@ class TermSet:
                 phrases[term.count(" ") + 1].append(term)
         return TermSet({k: tuple(v) for k, v in sorted(phrases.items())}, tuple(patterns))
 
-    def found_in(self, text: ColumnOrName) -> Column:
-        """Whether any term occurs."""
-        text = as_column(text)
+    def found_in(self, text: str) -> Column:
+        """Whether any term occurs in the column ``text``."""
+        column = F.col(f"`{text}`")
         tests: list[Column] = []
         if self.patterns:
             bodies = "|".join(_like_regex(body) for _, body in self.patterns)
-            tests.append(text.rlike(f"(?s) (?:{bodies}) "))
-        by_word: list[tuple[int, tuple[str, ...]]] = []
+            tests.append(column.rlike(f"(?s) (?:{bodies}) "))
         for k, phrases in self.phrases.items():
-            if k > 1 and len(phrases) <= FEW_PHRASES:
-                tests += [text.contains(f" {p} ") for p in phrases]
-            elif k == 1 and len(phrases) <= FEW_WORDS:
+            if k == 1 and len(phrases) <= FEW_WORDS:
                 few = F.array(*[F.lit(p) for p in phrases])
-                tests.append(F.arrays_overlap(_words(text), few))
+                tests.append(F.arrays_overlap(F.expr(_words(text)), few))
             elif k == 1:
-                tests.append(F.exists(_words(text), _is_one_of(phrases)))
+                tests.append(F.expr(f"exists({_words(text)}, w -> w IN {sql_list(phrases)})"))
+            elif len(phrases) <= FEW_PHRASES:
+                tests += [column.contains(f" {p} ") for p in phrases]
             else:
-                by_word.append((k, phrases))
-        if by_word:
-            tests.append(let_any(_words(text), lambda words: reduce(or_, [
-                F.exists(_starts(words, k), _is_phrase(words, k, phrases))
-                for k, phrases in by_word
-            ])))
+                tests.append(F.expr(
+                    f"exists(array({_words(text)}), "
+                    f"ws -> exists({_starts('ws', k)}, i -> {_is_phrase(k, phrases)}))"
+                ))
         return reduce(or_, tests) if tests else F.lit(False)
 
-    def matches_in(self, text: ColumnOrName) -> Column:
-        """The distinct terms that occur, as an array."""
-        text = as_column(text)
-
-        def exact(words: Column) -> Column:
-            found = []
-            for k, phrases in self.phrases.items():
-                if k == 1:
-                    found.append(F.filter(words, _is_one_of(phrases)))
-                else:
-                    starts = F.filter(_starts(words, k), _is_phrase(words, k, phrases))
-                    found.append(F.transform(starts, _run_at(words, k)))
-            return F.concat(*found)
-
-        parts = []
-        if self.phrases:
-            parts.append(let(_words(text), exact))
-        if self.patterns:
-            tried = F.array(*[
-                F.when(text.rlike(f"(?s) {_like_regex(body)} "), F.lit(term))
-                for term, body in self.patterns
-            ])
-            parts.append(F.array_compact(tried))
+    def matches_in(self, text: str) -> Column:
+        """The distinct terms that occur in the column ``text``, as an array."""
+        exact = []
+        for k, phrases in self.phrases.items():
+            if k == 1:
+                exact.append(f"filter(ws, w -> w IN {sql_list(phrases)})")
+            else:
+                starts = f"filter({_starts('ws', k)}, i -> {_is_phrase(k, phrases)})"
+                exact.append(f"transform({starts}, i -> {_run(k)})")
+        tried = [
+            f"CASE WHEN `{text}` RLIKE {sql_string(f'(?s) {_like_regex(body)} ')} "
+            f"THEN {sql_string(term)} END"
+            for term, body in self.patterns
+        ]
+        parts = [f"array_compact(array({', '.join(tried)}))"] if tried else []
+        if exact:
+            found = f"concat({', '.join(exact)})"
+            parts.append(f"flatten(transform(array({_words(text)}), ws -> {found}))")
         if not parts:
             return F.array().cast("array<string>")
-        return F.array_distinct(F.concat(*parts))
+        return F.expr(f"array_distinct(concat({', '.join(parts)}))")
 
 
 def compile_terms(
@@ -164,7 +155,7 @@ def flag_posts(
     if multiplicity == PER_POST:
         return flagged
     matched = flagged.withColumn("_term", F.explode(compiled.matches_in(text)))
-    return _both_sides(matched, F.broadcast(terms), posts, terms, term)
+    return _both_sides(matched, F.broadcast(terms), posts, terms, ("_term", term))
 
 
 def drop_copies(flagged: DataFrame, text: str = "text", time: str = "timestamp_ms") -> DataFrame:
@@ -201,44 +192,37 @@ def _like_regex(body: str) -> str:
     )
 
 
-def _words(text: Column) -> Column:
-    return F.split(F.concat(F.lit(EDGE), text, F.lit(EDGE)), " ", -1)
+# In the SQL text below, a one-element array binds the words of a text to the
+# lambda variable `ws`; written out, they would be split anew for every element.
 
+def _words(text: str) -> str:
+    return f"split(concat('\\0', `{text}`, '\\0'), ' ', -1)"
 
-def _starts(words: Column, k: int) -> Column:
-    """Positions (from 1) at which a run of k words starts."""
-    return F.when(
-        F.size(words) >= k, F.sequence(F.lit(1), F.size(words) - F.lit(k - 1))
-    ).otherwise(F.array().cast("array<int>"))
 
-
-# Spark passes a lambda as many values as it has parameters, so what else it
-# needs is bound here rather than by default arguments.
-
-def _is_one_of(values: tuple[str, ...]) -> Callable[[Column], Column]:
-    return lambda word: word.isin(*values)
+def _starts(words: str, k: int) -> str:
+    """Positions (from 1) at which a run of k words starts."""
+    return (
+        f"CASE WHEN size({words}) >= {k} THEN sequence(1, size({words}) - {k - 1}) "
+        f"ELSE cast(array() AS array<int>) END"
+    )
 
 
-def _run_at(words: Column, k: int) -> Callable[[Column], Column]:
-    """The run of k words that starts at a position."""
-    return lambda start: F.array_join(F.slice(words, start, k), " ")
+def _run(k: int) -> str:
+    """The k words of ``ws`` from position ``i`` on."""
+    return "element_at(ws, i)" if k == 1 else f"array_join(slice(ws, i, {k}), ' ')"
 
 
-def _is_phrase(words: Column, k: int, phrases: tuple[str, ...]) -> Callable[[Column], Column]:
-    """Whether a phrase starts at a position; the run is built only where its first word fits."""
+def _is_phrase(k: int, phrases: tuple[str, ...]) -> str:
+    """Whether a phrase starts at ``i``; the run is built only where its first word fits."""
     heads = sorted({p.split(" ", 1)[0] for p in phrases})
-    run = _run_at(words, k)
-    return lambda start: F.element_at(words, start).isin(*heads) & run(start).isin(*phrases)
+    return f"element_at(ws, i) IN {sql_list(heads)} AND {_run(k)} IN {sql_list(phrases)}"
 
 
 def _both_sides(
-    matched: DataFrame, side: DataFrame, posts: DataFrame, terms: DataFrame, term: str,
-    salted_too: bool = False,
+    matched: DataFrame, side: DataFrame, posts: DataFrame, terms: DataFrame, *keys: tuple[str, str]
 ) -> DataFrame:
-    """All columns of the post, then all of the filter list."""
-    on = F.col("p._term") == F.col(f"t.`{term}`")
-    if salted_too:
-        on = on & (F.col(f"p.{SALT}") == F.col(f"t.{SALT}"))
+    """All columns of the post, then all of the filter list, joined on pairs of columns."""
+    on = reduce(and_, [F.col(f"p.`{p}`") == F.col(f"t.`{t}`") for p, t in keys])
     return matched.alias("p").join(side.alias("t"), on).select(
         *[F.col(f"p.`{c}`") for c in posts.columns], *[F.col(f"t.`{c}`") for c in terms.columns]
     )
@@ -250,52 +234,61 @@ def _flag_by_join(
 ) -> DataFrame:
     """The same result for a list of any size.
 
-    A match depends on the text alone. So the distinct texts are cut into word
-    runs, joined to the exact terms on equality (salted: some words are in most
-    texts), tested against the wildcard terms, and the matches joined back.
+    A match depends on the text alone. So each distinct text is cut into word
+    runs once, the runs are joined to the list on equality, and the matches are
+    joined back to the posts. Between the joins a digest stands for the text.
+    Both joins are salted: some words are in most texts, and one text may be a
+    third of all posts.
     """
-    wanted = terms.select(F.col(term).alias("_term")).where("_term is not null").distinct()
-    wild = F.col("_term").contains(EDGE)
+    name = F.col(f"`{term}`")
+    wild = name.contains(EDGE)
     if mode == LIKE:
-        wild = wild | F.col("_term").rlike(r"[%_\\]")
-    exact = wanted.where(~wild).withColumn("_k", F.size(F.split("_term", " ", -1)))
-    lengths = [r[0] for r in exact.select("_k").distinct().orderBy("_k").collect()]
-    texts = posts.select(F.col(text).alias("_text")).where("_text is not null").distinct()
+        wild = wild | name.rlike(r"[%_\\]")
+    exact, patterns = terms.where(~wild), terms.where(wild)
+    words_in = F.size(F.split(name, " ", -1))
+    lengths = sorted(r.k for r in exact.select(words_in.alias("k")).distinct().collect())
+    texts = posts.select(F.col(f"`{text}`").alias("_text")).where("_text is not null").distinct()
+    texts = texts.withColumn("_digest", digest("_text"))
 
-    def runs(words: Column) -> Column:
-        return F.concat(*[F.transform(_starts(words, k), _run_at(words, k)) for k in lengths])
+    cuts = [f"transform({_starts('ws', k)}, i -> {_run(k)})" for k in lengths]
+    runs = f"flatten(transform(array({_words('_text')}), ws -> concat({', '.join(cuts)})))"
 
-    found = _found_by_pattern(texts, wanted.where(wild), mode)
+    found = _found_by_pattern(texts, patterns, term, mode)
     if lengths:
-        run = F.explode(F.array_distinct(let(_words(F.col("_text")), runs)))
-        left, right = salted(texts.withColumn("_term", run), exact.select("_term"), salts)
-        found = found.unionByName(left.join(right, ["_term", SALT]).select("_text", "_term"))
+        run = F.explode(F.array_distinct(F.expr(runs))).alias("_run")
+        left, right = salted(texts.select("_digest", run), exact, salts)
+        on = (F.col("l._run") == F.col(f"r.`{term}`")) & (F.col(f"l.{SALT}") == F.col(f"r.{SALT}"))
+        joined = left.alias("l").join(right.alias("r"), on)
+        found = found.unionByName(
+            joined.select("_digest", *[F.col(f"r.`{c}`") for c in terms.columns])
+        )
 
-    if multiplicity == PER_POST:
-        found = found.select("_text").distinct()
-    left, right = salted(posts, found, salts)
-    on = (F.col(f"p.`{text}`") == F.col("h._text")) & (F.col(f"p.{SALT}") == F.col(f"h.{SALT}"))
-    kept = [F.col(f"p.`{c}`") for c in posts.columns]
-    if multiplicity == PER_POST:
-        return left.alias("p").join(right.alias("h"), on, "left_semi").select(*kept)
-    matched = left.alias("p").join(right.alias("h"), on).select(*kept, "h._term")
-    left, right = salted(matched, terms, salts)
-    return _both_sides(left, right, posts, terms, term, salted_too=True)
+    keyed = posts.withColumn("_digest", digest(text))
+    if multiplicity == PER_TERM:
+        left, right = salted(keyed, found, salts)
+        return _both_sides(left, right, posts, terms, ("_digest", "_digest"), (SALT, SALT))
+    left, right = salted(keyed, found.select("_digest").distinct(), salts)
+    return left.join(right, ["_digest", SALT], "left_semi").select(*posts.columns)
 
 
-def _found_by_pattern(texts: DataFrame, wild: DataFrame, mode: str) -> DataFrame:
-    """Matching (text, wildcard term) pairs. A LIKE pattern has no key to join on."""
-    compiled = compile_terms(wild, column="_term", mode=mode)
+def _found_by_pattern(texts: DataFrame, patterns: DataFrame, term: str, mode: str) -> DataFrame:
+    """Digests of the matching texts with the columns of the matching wildcard terms.
+
+    A LIKE pattern has no key to join on: wildcard terms beyond the bounds are
+    compared with every text.
+    """
+    compiled = compile_terms(patterns, column=term, mode=mode)
     if compiled is not None:
-        return texts.where(compiled.found_in("_text")).withColumn(
-            "_term", F.explode(compiled.matches_in("_text"))
+        matched = texts.where(compiled.found_in("_text")).select(
+            "_digest", F.explode(compiled.matches_in("_text")).alias("_term")
         )
+        digests = texts.select("_digest")
+        return _both_sides(matched, F.broadcast(patterns), digests, patterns, ("_term", term))
+    name = F.col(f"`{term}`")
     if mode == LITERAL:
-        hit = F.instr(F.col("_text"), F.concat(F.lit(" "), F.col("_term"), F.lit(" "))) > 0
+        hit = F.instr(F.col("_text"), F.concat(F.lit(" "), name, F.lit(" "))) > 0
     else:
         # A backslash that escapes nothing is literal, as in _like_body.
-        body = F.regexp_replace(
-            "_term", r"\G((?:[^\\]|\\[%_\\])*+)\\(?![%_\\])", r"$1\\\\"
-        )
+        body = F.regexp_replace(name, r"\G((?:[^\\]|\\[%_\\])*+)\\(?![%_\\])", r"$1\\\\")
         hit = F.col("_text").like(F.concat(F.lit("% "), body, F.lit(" %")))
-    return texts.join(wild, hit)
+    return texts.join(patterns, hit).select("_digest", *patterns.columns)
