@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import eventpulse as ep
 from eventpulse.functions.time import millis_of_ntz
@@ -37,11 +37,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def first_words(text: str) -> Column:
+    """The three words that stand for tags; what follows them is left in one piece."""
+    return F.slice(F.split(text, " ", 4), 1, 3)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as posts without a time."""
-    tags = F.slice(F.split("text", " "), 1, 3)
     return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("post_id"), "text", tags.alias("tags")
+        F.col("doc_id").alias("post_id"), "text", first_words("text").alias("tags")
     )
 
 
@@ -59,8 +63,8 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversation_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tags = F.slice(F.split("text", " "), 1, 3)
-    return ep.tag_counts(table(spark, sf_dir, "conversations").select(tags.alias("tags")))
+    talks = table(spark, sf_dir, "conversations").select(first_words("text").alias("tags"))
+    return ep.tag_counts(talks)
 
 
 def terms(spark: SparkSession, values: tuple[str, ...] = TERMS) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
@@ -23,14 +23,25 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
 
 
-def is_small(table: DataFrame, max_rows: int, max_bytes: int) -> bool:
-    """Whether a side table is within both bounds, so that it may be broadcast or collected.
+# No value of a collected side table is longer than this.
+MAX_VALUE_CHARS = 1000
 
-    Measured by an aggregate; the rows themselves stay where they are.
+
+def rows_if_small(table: DataFrame, max_rows: int) -> list[Row] | None:
+    """The rows of a side table, or None when it has more, or a text above the limit.
+
+    At most ``max_rows + 1`` rows with texts cut at the limit ever reach the
+    driver, however large the table is.
     """
-    strings = [f.name for f in table.schema if f.dataType.typeName() == "string"]
-    width = F.lit(16).cast("bigint")
-    for name in strings:
-        width = width + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
-    size = table.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
-    return size.n <= max_rows and (size.bytes or 0) <= max_bytes
+    texts = [f.name for f in table.schema if f.dataType.typeName() == "string"]
+    cut = [
+        F.left(F.col(f"`{c}`"), F.lit(MAX_VALUE_CHARS + 1)).alias(c) if c in texts
+        else F.col(f"`{c}`")
+        for c in table.columns
+    ]
+    rows = table.select(*cut).limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return None
+    if any(len(r[c] or "") > MAX_VALUE_CHARS for r in rows for c in texts):
+        return None
+    return rows

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventpulse._columns import ColumnOrName, as_column
-from eventpulse._session import is_small
+from eventpulse._session import rows_if_small
 from eventpulse._skew import SALT, digest, salted
 from eventpulse.calendars import TOURNAMENT, Calendar
 from eventpulse.functions.text import (
@@ -24,8 +24,8 @@ from eventpulse.operators.windows import with_window_name
 LABELS = ("very negative", "negative", "neutral", "positive", "very positive")
 NEGATIVE = 1  # classes up to this one are negative
 
+# A word list of at most this many tokens is written into the plan.
 MAX_PLAN_TOKENS = 10_000
-MAX_PLAN_BYTES = 1 << 20
 
 
 def split_sentences(
@@ -56,33 +56,40 @@ class Lexicon:
                 by_weight[weight].append(token)
         return Lexicon({w: tuple(t) for w, t in sorted(by_weight.items())})
 
-    def score(self, sentence: str) -> Column:
-        """Sum of the weights of all words of the column ``sentence``, 0 without a hit."""
-        if not self.tokens:
-            return F.when(F.col(f"`{sentence}`").isNotNull(), F.lit(0).cast("bigint"))
+    def rate(self, sentence: str) -> Column:
+        """Struct of ``score``, the sum of the weights of all words, and ``sentiment``.
+
+        The class is made where the sum ends, so both cost one pass over the words.
+        """
         weight = "CASE" + "".join(
             f" WHEN w IN {sql_list(tokens)} THEN {weight}L" for weight, tokens in self.tokens.items()
-        ) + " ELSE 0L END"
-        return F.expr(f"aggregate({words_sql(sentence)}, 0L, (total, w) -> total + {weight})")
+        ) + " ELSE 0L END" if self.tokens else "0L"
+        finish = f"named_struct('score', total, 'sentiment', {sentiment_sql('total')})"
+        return F.expr(
+            f"aggregate({words_sql(sentence)}, 0L, (total, w) -> total + {weight}, "
+            f"total -> {finish})"
+        )
 
 
 def compile_lexicon(
-    lexicon: DataFrame,
-    *,
-    max_tokens: int = MAX_PLAN_TOKENS,
-    max_bytes: int = MAX_PLAN_BYTES,
+    lexicon: DataFrame, *, max_tokens: int = MAX_PLAN_TOKENS
 ) -> Lexicon | None:
-    """The word list ``(token, weight)`` as a :class:`Lexicon`, or None beyond the bounds."""
-    if not is_small(lexicon, max_tokens, max_bytes):
+    """The word list ``(token, weight)`` as a :class:`Lexicon`, or None beyond the bound."""
+    rows = rows_if_small(lexicon.select("token", "weight"), max_tokens)
+    if rows is None:
         return None
-    return Lexicon.of({r.token: r.weight for r in _merged(lexicon).collect()})
+    weights: dict[str, int] = defaultdict(int)
+    for row in rows:
+        if row.token is not None and row.weight is not None:
+            weights[row.token] += row.weight
+    return Lexicon.of(weights)
 
 
-def sentiment_class(score: ColumnOrName) -> Column:
-    s = as_column(score)
+def sentiment_sql(score: str) -> str:
+    """SQL text of the class of a score."""
     return (
-        F.when(s <= -4, F.lit(0)).when(s < 0, F.lit(1)).when(s == 0, F.lit(2))
-        .when(s < 4, F.lit(3)).otherwise(F.lit(4))
+        f"CASE WHEN {score} <= -4 THEN 0 WHEN {score} < 0 THEN 1 WHEN {score} = 0 THEN 2 "
+        f"WHEN {score} < 4 THEN 3 ELSE 4 END"
     )
 
 
@@ -91,23 +98,19 @@ def sentiment_label(sentiment: ColumnOrName) -> Column:
 
 
 def score_sentences(
-    sentences: DataFrame,
-    lexicon: DataFrame,
-    *,
-    max_tokens: int = MAX_PLAN_TOKENS,
-    max_bytes: int = MAX_PLAN_BYTES,
+    sentences: DataFrame, lexicon: DataFrame, *, max_tokens: int = MAX_PLAN_TOKENS
 ) -> DataFrame:
     """Add ``score`` and ``sentiment`` (0..4) to every sentence.
 
     Scored row by row inside the scan, so nothing is shuffled. Only a word list
-    beyond the bounds is joined to the words of the distinct sentences instead.
+    beyond the bound is joined to the words of the distinct sentences instead.
     """
-    compiled = compile_lexicon(lexicon, max_tokens=max_tokens, max_bytes=max_bytes)
-    if compiled is not None:
-        scored = sentences.withColumn("score", compiled.score("sentence"))
-    else:
+    compiled = compile_lexicon(lexicon, max_tokens=max_tokens)
+    if compiled is None:
         scored = _score_by_join(sentences, lexicon)
-    return scored.withColumn("sentiment", sentiment_class("score"))
+        return scored.withColumn("sentiment", F.expr(sentiment_sql("score")))
+    rated = sentences.withColumn("_rate", compiled.rate("sentence"))
+    return rated.select(*sentences.columns, "_rate.score", "_rate.sentiment")
 
 
 def negatives(scored: DataFrame, calendar: Calendar = TOURNAMENT) -> DataFrame:
@@ -124,11 +127,11 @@ def negatives_per_window(scored: DataFrame) -> DataFrame:
 
 def windows_with_any(scored: DataFrame, calendar: Calendar = TOURNAMENT) -> DataFrame:
     """Windows with at least one negative sentence: ``bucket, name, sentences, negatives``."""
-    negative = F.col("sentiment") <= NEGATIVE
-    per_window = scored.groupBy("bucket").agg(
+    marked = scored.select("bucket", (F.col("sentiment") <= NEGATIVE).alias("_negative"))
+    per_window = marked.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("sentences"),
-        F.count_if(negative).alias("negatives"),
-        F.bool_or(negative).alias("_any"),
+        F.count_if("_negative").alias("negatives"),
+        F.bool_or("_negative").alias("_any"),
     )
     return with_window_name(per_window.where("_any").drop("_any"), calendar).select(
         "bucket", "name", "sentences", "negatives"
@@ -145,12 +148,6 @@ def keep_windows_with_any(scored: DataFrame) -> DataFrame:
     return scored.join(F.broadcast(hit), "bucket", "left_semi")
 
 
-def _merged(lexicon: DataFrame) -> DataFrame:
-    """One weight per token: entries for the same token add up."""
-    usable = lexicon.where("token is not null and weight is not null")
-    return usable.groupBy("token").agg(F.sum("weight").cast("bigint").alias("weight"))
-
-
 def _score_by_join(sentences: DataFrame, lexicon: DataFrame, salts: int = 16) -> DataFrame:
     """Scores for a word list of any size.
 
@@ -163,7 +160,7 @@ def _score_by_join(sentences: DataFrame, lexicon: DataFrame, salts: int = 16) ->
         digest("_sentence").alias("_digest"), F.explode(word_array("_sentence")).alias("token")
     )
     counted = words.groupBy("_digest", "token").agg(F.count(F.lit(1)).alias("_times"))
-    left, right = salted(counted, _merged(lexicon), salts)
+    left, right = salted(counted, lexicon.select("token", "weight"), salts)
     sums = (
         left.join(right, ["token", SALT]).groupBy("_digest")
         .agg(F.sum(F.col("_times") * F.col("weight")).alias("_sum"))

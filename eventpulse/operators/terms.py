@@ -20,7 +20,7 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventpulse._session import is_small
+from eventpulse._session import rows_if_small
 from eventpulse._skew import SALT, digest, salted
 from eventpulse.functions.text import sql_list, sql_string
 
@@ -29,9 +29,8 @@ PER_TERM = "per_term"
 LIKE = "like"
 LITERAL = "literal"
 
-# A list within these bounds is written into the plan.
+# A list of at most this many terms, none of them very long, is written into the plan.
 MAX_PLAN_TERMS = 10_000
-MAX_PLAN_BYTES = 1 << 20
 
 # Up to so many words a per-row overlap of two arrays beats a lookup per word,
 # and up to so many phrases a scan per phrase beats building all word runs.
@@ -47,11 +46,13 @@ EDGE = "\0"
 class TermSet:
     """A compiled filter list: exact phrases by number of words, and wildcard terms.
 
-    ``patterns`` holds each wildcard term with its LIKE pattern between the spaces.
+    ``patterns`` holds each wildcard term with its LIKE pattern between the
+    spaces; ``repeated`` says that the list named a term more than once.
     """
 
     phrases: dict[int, tuple[str, ...]]
     patterns: tuple[tuple[str, str], ...]
+    repeated: bool = False
 
     @staticmethod
     def of(terms: list[str | None], mode: str = LIKE) -> TermSet:
@@ -60,12 +61,17 @@ class TermSet:
             raise ValueError(f"mode must be {LIKE!r} or {LITERAL!r}, not {mode!r}")
         phrases: dict[int, list[str]] = defaultdict(list)
         patterns: list[tuple[str, str]] = []
-        for term in sorted({t for t in terms if t is not None}):
+        named = [t for t in terms if t is not None]
+        for term in sorted(set(named)):
             if _needs_pattern(term, mode):
                 patterns.append((term, _like_body(term, mode)))
             else:
                 phrases[term.count(" ") + 1].append(term)
-        return TermSet({k: tuple(v) for k, v in sorted(phrases.items())}, tuple(patterns))
+        return TermSet(
+            {k: tuple(v) for k, v in sorted(phrases.items())},
+            tuple(patterns),
+            repeated=len(named) > len(set(named)),
+        )
 
     def found_in(self, text: str) -> Column:
         """Whether any term occurs in the column ``text``."""
@@ -113,18 +119,11 @@ class TermSet:
 
 
 def compile_terms(
-    terms: DataFrame,
-    *,
-    column: str = "term",
-    mode: str = LIKE,
-    max_terms: int = MAX_PLAN_TERMS,
-    max_bytes: int = MAX_PLAN_BYTES,
+    terms: DataFrame, *, column: str = "term", mode: str = LIKE, max_terms: int = MAX_PLAN_TERMS
 ) -> TermSet | None:
-    """The filter list as a :class:`TermSet`, or None when it is beyond the bounds."""
-    if not is_small(terms, max_terms, max_bytes):
-        return None
-    rows = terms.select(column).distinct().collect()
-    return TermSet.of([r[0] for r in rows], mode)
+    """The filter list as a :class:`TermSet`, or None when it is beyond the bound."""
+    rows = rows_if_small(terms.select(F.col(f"`{column}`").alias("term")), max_terms)
+    return None if rows is None else TermSet.of([r.term for r in rows], mode)
 
 
 def flag_posts(
@@ -136,7 +135,6 @@ def flag_posts(
     multiplicity: str = PER_POST,
     mode: str = LIKE,
     max_terms: int = MAX_PLAN_TERMS,
-    max_bytes: int = MAX_PLAN_BYTES,
 ) -> DataFrame:
     """Posts with a term of the list.
 
@@ -146,16 +144,16 @@ def flag_posts(
     """
     if multiplicity not in (PER_POST, PER_TERM):
         raise ValueError(f"multiplicity must be {PER_POST!r} or {PER_TERM!r}")
-    compiled = compile_terms(
-        terms, column=term, mode=mode, max_terms=max_terms, max_bytes=max_bytes
-    )
+    compiled = compile_terms(terms, column=term, mode=mode, max_terms=max_terms)
     if compiled is None:
         return _flag_by_join(posts, terms, text, term, multiplicity, mode)
     flagged = posts.where(compiled.found_in(text))
     if multiplicity == PER_POST:
         return flagged
     matched = flagged.withColumn("_term", F.explode(compiled.matches_in(text)))
-    return _both_sides(matched, F.broadcast(terms), posts, terms, ("_term", term))
+    if terms.columns == [term] and not compiled.repeated:
+        return matched.select(*posts.columns, F.col("_term").alias(term))
+    return _both_sides(matched, terms, posts, terms, ("_term", term))
 
 
 def drop_copies(flagged: DataFrame, text: str = "text", time: str = "timestamp_ms") -> DataFrame:
@@ -282,8 +280,9 @@ def _found_by_pattern(texts: DataFrame, patterns: DataFrame, term: str, mode: st
         matched = texts.where(compiled.found_in("_text")).select(
             "_digest", F.explode(compiled.matches_in("_text")).alias("_term")
         )
-        digests = texts.select("_digest")
-        return _both_sides(matched, F.broadcast(patterns), digests, patterns, ("_term", term))
+        return _both_sides(
+            matched, patterns, texts.select("_digest"), patterns, ("_term", term)
+        )
     name = F.col(f"`{term}`")
     if mode == LITERAL:
         hit = F.instr(F.col("_text"), F.concat(F.lit(" "), name, F.lit(" "))) > 0
