@@ -14,8 +14,16 @@ def millis_of_ntz(ts: ColumnOrName) -> Column:
     """Epoch milliseconds of a ``timestamp_ntz`` read as UTC, rounded down.
 
     Subtracting two zone-less timestamps never consults the session time zone,
-    unlike a cast to ``timestamp``.
+    unlike a cast to ``timestamp``. Whole seconds and the rest are converted
+    apart, all in integer arithmetic, so no date overflows and none is rounded.
     """
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    seconds = (as_column(ts) - epoch).cast("interval second").cast("decimal(18,6)")
-    return F.floor(seconds * 1000).cast("bigint")
+    second = F.expr("INTERVAL '1' SECOND")
+    since = as_column(ts) - F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    whole = _seconds(since)
+    # Between 0 and 2 seconds, as `whole` is cut towards 1970; so the cut rounds down.
+    rest = since - whole * second + second
+    return whole * 1000 + _seconds(rest * 1000) - 1000
+
+
+def _seconds(interval: Column) -> Column:
+    return interval.cast("interval second").cast("bigint")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -28,26 +28,29 @@ def fit_negative(
     negative. Fitting is distributed; the driver holds one coefficient per
     hashed feature, however many rows there are.
     """
-    rows = labelled.select(F.col(text).alias("text"), F.col(label).cast("double").alias("label"))
-    counts = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).first()
-    if not counts.pos or counts.pos == counts.n:
-        raise ValueError("both labels must occur in the training data")
-    weight = F.when(F.col("label") == 1.0, counts.n / (2.0 * counts.pos)).otherwise(
-        counts.n / (2.0 * (counts.n - counts.pos))
+    words = RegexTokenizer(
+        inputCol="text", outputCol="_words", pattern=NON_LETTERS, gaps=True, toLowercase=True
     )
-    stages = [
-        RegexTokenizer(
-            inputCol="text", outputCol="_words", pattern=NON_LETTERS, gaps=True, toLowercase=True
-        ),
-        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features, binary=True),
-        IDF(inputCol="_tf", outputCol="_features"),
-        LogisticRegression(
+    hashed = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features, binary=True)
+    rows = labelled.select(F.col(text).alias("text"), F.col(label).cast("double").alias("label"))
+    # Kept for the fits below, which pass over it several times; lost parts are recomputed.
+    counted = hashed.transform(words.transform(rows)).select("label", "_tf").persist()
+    try:
+        counts = counted.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).first()
+        if not counts.pos or counts.pos == counts.n:
+            raise ValueError("both labels must occur in the training data")
+        weight = F.when(F.col("label") == 1.0, counts.n / (2.0 * counts.pos)).otherwise(
+            counts.n / (2.0 * (counts.n - counts.pos))
+        )
+        idf = IDF(inputCol="_tf", outputCol="_features").fit(counted)
+        regression = LogisticRegression(
             featuresCol="_features", labelCol="label", weightCol="weight",
             probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_prediction",
             maxIter=max_iter, regParam=reg_param,
-        ),
-    ]
-    return Pipeline(stages=stages).fit(rows.withColumn("weight", weight))
+        ).fit(idf.transform(counted.withColumn("weight", weight)))
+    finally:
+        counted.unpersist()
+    return PipelineModel(stages=[words, hashed, idf, regression])
 
 
 def classify(

@@ -17,7 +17,7 @@ from eventpulse._session import rows_if_small
 from eventpulse._skew import SALT, digest, salted
 from eventpulse.calendars import TOURNAMENT, Calendar
 from eventpulse.functions.text import (
-    longer_than_one, sentence_array, sql_list, trim_blank, word_array, words_sql,
+    has_controls, longer_than_one, sentence_array, sql_list, trim_blanks, word_array, words_sql,
 )
 from eventpulse.operators.windows import with_window_name
 
@@ -36,10 +36,12 @@ def split_sentences(
     Blank pieces are dropped; so are those of one character, unless ``short_too``.
     """
     others = [c for c in posts.columns if c != text]
-    pieces = posts.select(*others, F.posexplode(sentence_array(text)).alias("pos", "sentence"))
-    trimmed = pieces.withColumn("sentence", trim_blank("sentence"))
-    kept = F.length("sentence") > 0 if short_too else longer_than_one("sentence")
-    return trimmed.where(kept)
+    # Looked up once per text, below the explode; beside it, it would run per sentence.
+    marked = posts.withColumn("_controls", has_controls(text))
+    cut = marked.select(*others, "_controls", F.posexplode(sentence_array(text)).alias("pos", "_p"))
+    trimmed = trim_blanks("_p", F.col("_controls")).alias("sentence")
+    pieces = cut.select(*others, "pos", trimmed)
+    return pieces.where(F.col("sentence") != "" if short_too else longer_than_one("sentence"))
 
 
 @dataclass(frozen=True)
