@@ -140,22 +140,26 @@ def windows_with_any(scored: DataFrame, calendar: Calendar = TOURNAMENT) -> Data
     )
 
 
-def keep_windows_with_any(scored: DataFrame) -> DataFrame:
+def keep_windows_with_any(
+    scored: DataFrame, calendar: Calendar | None = TOURNAMENT
+) -> DataFrame:
     """All sentences of the windows that have a negative one.
 
-    The right side has at most one row per bucket of the calendar and is
-    broadcast, so the sentences are not shuffled.
+    The buckets of a calendar are few, so the list of hit windows is broadcast
+    and the sentences are not shuffled. ``None`` says that the buckets come from
+    a window table of any size and leaves the choice to Spark.
     """
     hit = scored.where(F.col("sentiment") <= NEGATIVE).select("bucket").distinct()
-    return scored.join(F.broadcast(hit), "bucket", "left_semi")
+    return scored.join(hit if calendar is None else F.broadcast(hit), "bucket", "left_semi")
 
 
 def _score_by_join(sentences: DataFrame, lexicon: DataFrame, salts: int = 16) -> DataFrame:
     """Scores for a word list of any size.
 
     The score depends on the sentence alone, so copies are scored once. Words
-    are counted per sentence before the salted join, as a few of them are in
-    nearly every sentence.
+    are counted per sentence before the join, which is salted, as a few of them
+    are in nearly every sentence. Adaptive execution splits a hot sentence when
+    the scores are joined back.
     """
     texts = sentences.select(F.col("sentence").alias("_sentence")).distinct()
     words = texts.select(
@@ -167,6 +171,6 @@ def _score_by_join(sentences: DataFrame, lexicon: DataFrame, salts: int = 16) ->
         left.join(right, ["token", SALT]).groupBy("_digest")
         .agg(F.sum(F.col("_times") * F.col("weight")).alias("_sum"))
     )
-    left, right = salted(sentences.withColumn("_digest", digest("sentence")), sums, salts)
+    keyed = sentences.withColumn("_digest", digest("sentence"))
     score = F.coalesce(F.col("_sum"), F.lit(0).cast("bigint")).alias("score")
-    return left.join(right, ["_digest", SALT], "left").select(*sentences.columns, score)
+    return keyed.join(sums, "_digest", "left").select(*sentences.columns, score)

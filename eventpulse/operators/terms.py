@@ -235,8 +235,9 @@ def _flag_by_join(
     A match depends on the text alone. So each distinct text is cut into word
     runs once, the runs are joined to the list on equality, and the matches are
     joined back to the posts. Between the joins a digest stands for the text.
-    Both joins are salted: some words are in most texts, and one text may be a
-    third of all posts.
+    The join on words is salted, as some words are in most texts; the list is
+    repeated for it. The matches are too many to repeat: where one text is a
+    third of all posts, adaptive execution splits that part of the last join.
     """
     name = F.col(f"`{term}`")
     wild = name.contains(EDGE)
@@ -263,10 +264,9 @@ def _flag_by_join(
 
     keyed = posts.withColumn("_digest", digest(text))
     if multiplicity == PER_TERM:
-        left, right = salted(keyed, found, salts)
-        return _both_sides(left, right, posts, terms, ("_digest", "_digest"), (SALT, SALT))
-    left, right = salted(keyed, found.select("_digest").distinct(), salts)
-    return left.join(right, ["_digest", SALT], "left_semi").select(*posts.columns)
+        return _both_sides(keyed, found, posts, terms, ("_digest", "_digest"))
+    hits = found.select("_digest").distinct()
+    return keyed.join(hits, "_digest", "left_semi").select(*posts.columns)
 
 
 def _found_by_pattern(texts: DataFrame, patterns: DataFrame, term: str, mode: str) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from eventpulse.calendars import TOURNAMENT
 from eventpulse.operators.classifier import classify, fit_negative, precision_recall
 from eventpulse.operators.sentiment import (
     compile_lexicon, keep_windows_with_any, negatives, negatives_per_window, score_sentences,
@@ -103,7 +104,9 @@ def test_windows_with_any(scored):
     assert sorted(map(tuple, windows_with_any(scored).collect())) == [
         (0, "TUR_ITA", 2, 1), (46, "POST_CUP", 2, 2)
     ]
-    assert sorted(r.bucket for r in keep_windows_with_any(scored).collect()) == [0, 0, 46, 46]
+    for calendar in (TOURNAMENT, None):
+        kept = keep_windows_with_any(scored, calendar)
+        assert sorted(r.bucket for r in kept.collect()) == [0, 0, 46, 46]
 
 
 def test_classifier_learns_a_rare_word(spark):

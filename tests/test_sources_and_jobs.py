@@ -62,6 +62,10 @@ def test_tweets_of_all_sub_folders(spark, folder):
     assert posts.columns == ["text", "timestamp_ms", "tags"]
     assert posts.where("timestamp_ms is null").count() == 1
     assert posts.where("text is null").count() == 2
+    from_file = posts_of_tweets(tweets, keep=("_metadata.file_name",))
+    assert {r.file_name: r["count"] for r in from_file.groupBy("file_name").count().collect()} == {
+        "one.json": 4, "two.json": 2
+    }
 
 
 def test_text_of_short_tweets_on_request(spark, folder):
