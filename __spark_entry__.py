@@ -212,7 +212,8 @@ def tags_in_both(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tags_with_counterpart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ep.tags_with_counterpart(tag_counts(spark, sf_dir), conversation_tags(spark, sf_dir))
+    both = ep.tags_with_counterpart(tag_counts(spark, sf_dir), conversation_tags(spark, sf_dir))
+    return both.fillna(0, "n_right")
 
 
 def flagged_tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -461,7 +462,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT d.tag, d.n + t.n AS n FROM doc_tags d JOIN talk_tags t ON t.tag = d.tag", _TAGS
         ),
         "tags_with_counterpart": with_(
-            "SELECT d.tag, d.n, t.n AS n_right FROM doc_tags d LEFT JOIN talk_tags t "
+            "SELECT d.tag, d.n, coalesce(t.n, 0) AS n_right FROM doc_tags d LEFT JOIN talk_tags t "
             "ON t.tag = d.tag", _TAGS,
         ),
         "flagged_tag_counts": with_("SELECT tag, n FROM c", _HITS, _tag_counts("c", "hit_docs")),
