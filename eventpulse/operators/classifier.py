@@ -29,10 +29,10 @@ def fit_negative(
     hashed feature, however many rows there are.
     """
     words = RegexTokenizer(
-        inputCol="text", outputCol="_words", pattern=NON_LETTERS, gaps=True, toLowercase=True
+        inputCol="_input", outputCol="_words", pattern=NON_LETTERS, gaps=True, toLowercase=True
     )
     hashed = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features, binary=True)
-    rows = labelled.select(F.col(text).alias("text"), F.col(label).cast("double").alias("label"))
+    rows = labelled.select(F.col(text).alias("_input"), F.col(label).cast("double").alias("label"))
     # Kept for the fits below, which pass over it several times; lost parts are recomputed.
     counted = hashed.transform(words.transform(rows)).select("label", "_tf").persist()
     try:
@@ -57,9 +57,9 @@ def classify(
     model: PipelineModel, table: DataFrame, *, text: str = "sentence", threshold: float = 0.5
 ) -> DataFrame:
     """Add ``probability`` of being negative and ``sentiment``: 1 negative, 2 neutral."""
-    renamed = table.withColumn("text", F.col(text)) if text != "text" else table
     probability = F.get(vector_to_array("_probability"), F.lit(1))
-    scored = model.transform(renamed).withColumn("probability", probability)
+    scored = model.transform(table.withColumn("_input", F.col(text)))
+    scored = scored.withColumn("probability", probability)
     sentiment = F.when(F.col("probability") > threshold, F.lit(1)).otherwise(F.lit(2))
     return scored.select(*table.columns, "probability", sentiment.alias("sentiment"))
 

@@ -171,6 +171,9 @@ def _score_by_join(sentences: DataFrame, lexicon: DataFrame, salts: int = 16) ->
         left.join(right, ["token", SALT]).groupBy("_digest")
         .agg(F.sum(F.col("_times") * F.col("weight")).alias("_sum"))
     )
-    keyed = sentences.withColumn("_digest", digest("sentence"))
+    # Joined on another form of the digest than was grouped by: otherwise the join
+    # would reuse the partitions of the grouping, and those cannot be split.
+    keyed = sentences.withColumn("_key", F.hex(digest("sentence")))
+    sums = sums.select(F.hex("_digest").alias("_key"), "_sum")
     score = F.coalesce(F.col("_sum"), F.lit(0).cast("bigint")).alias("score")
-    return keyed.join(sums, "_digest", "left").select(*sentences.columns, score)
+    return keyed.join(sums, "_key", "left").select(*sentences.columns, score)

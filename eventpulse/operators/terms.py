@@ -265,7 +265,8 @@ def _flag_by_join(
     keyed = posts.withColumn("_digest", digest(text))
     if multiplicity == PER_TERM:
         return _both_sides(keyed, found, posts, terms, ("_digest", "_digest"))
-    hits = found.select("_digest").distinct()
+    # Without a distinct: the join needs a shuffle of its own to be split.
+    hits = found.select("_digest")
     return keyed.join(hits, "_digest", "left_semi").select(*posts.columns)
 
 

@@ -93,13 +93,14 @@ def count_per_window(
 
 
 def window_name(bucket: ColumnOrName, calendar: Calendar = TOURNAMENT) -> Column:
-    """Name of a bucket, ``error`` for an unknown one.
-
-    Also takes the bucket as text, with or without the ending ``.txt``.
-    """
-    text = F.regexp_replace(as_column(bucket).cast("string"), r"\.txt", "")
+    """Name of a bucket, ``error`` for an unknown one."""
     names = F.array(*[F.lit(n) for n in calendar.names])
-    return F.coalesce(F.get(names, text.try_cast("int")), F.lit(UNKNOWN_NAME))
+    return F.coalesce(F.get(names, as_column(bucket).try_cast("int")), F.lit(UNKNOWN_NAME))
+
+
+def bucket_of_file(name: ColumnOrName) -> Column:
+    """The bucket a file is named after, with or without the ending ``.txt``."""
+    return F.replace(as_column(name), F.lit(".txt"), F.lit("")).try_cast("int")
 
 
 def with_window_name(
@@ -215,7 +216,7 @@ def _in_cells(windows: DataFrame, cell: int) -> DataFrame:
 
 
 __all__ = [
-    "HALF_OPEN", "OPEN", "assign_from_table", "bucket_sql", "calendar_table",
+    "HALF_OPEN", "OPEN", "assign_from_table", "bucket_of_file", "bucket_sql", "calendar_table",
     "count_per_window", "overlapping_windows", "rebased", "window_name",
     "with_bucket", "with_window_name",
 ]

@@ -9,7 +9,7 @@ from eventpulse.functions.share import percent_half_up
 from eventpulse.operators.sentiment import NEGATIVE, score_sentences, split_sentences
 from eventpulse.operators.tags import FONT_HIGH, FONT_LOW, TOP_TAGS, cloud_weights, tag_counts
 from eventpulse.operators.terms import LIKE, PER_POST, drop_copies, flag_posts
-from eventpulse.operators.windows import HALF_OPEN, calendar_table, window_name, with_bucket
+from eventpulse.operators.windows import HALF_OPEN, window_name, with_bucket
 
 # Fixed value: the line format of the report.
 REPORT_LINE = (
@@ -37,7 +37,9 @@ def report(
             negative.alias("negative_sentences"),
         )
 
-    rows = counting(calendar_table(posts.sparkSession, calendar), zero, zero, zero)
+    buckets = posts.sparkSession.range(len(calendar.names), numPartitions=1)
+    empty = buckets.select(F.col("id").cast("int").alias("bucket"))
+    rows = counting(empty, zero, zero, zero)
     for part in (
         counting(posts, one, zero, zero),
         counting(flagged, zero, one, zero),

@@ -118,8 +118,10 @@ def test_classifier_learns_a_rare_word(spark):
     assert scored.columns == ["text", "negative", "probability", "sentiment"]
     row = precision_recall(scored).first()
     assert (row.true_positive, row.false_negative) == (6, 0) and row.precision > 0.8
-    new = spark.createDataFrame([(1, "an idiot"), (2, "plain words")], "id int, sentence string")
-    assert {r.id: r.sentiment for r in classify(model, new).collect()} == {1: 1, 2: 2}
+    new = spark.createDataFrame(
+        [("x", "an idiot"), ("y", "plain words")], "text string, sentence string"
+    )
+    assert {r.text: r.sentiment for r in classify(model, new).collect()} == {"x": 1, "y": 2}
 
 
 def test_classifier_needs_both_labels(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from eventpulse.calendars import TOURNAMENT, Calendar
 from eventpulse.functions.time import event_millis, millis_of_ntz
 from eventpulse.operators.windows import (
-    OPEN, assign_from_table, bucket_sql, calendar_table, count_per_window, overlapping_windows,
+    OPEN, assign_from_table, bucket_of_file, bucket_sql, calendar_table, count_per_window, overlapping_windows,
     rebased, window_name, with_bucket, with_window_name,
 )
 
@@ -79,7 +79,8 @@ def test_names(spark):
     frame = spark.createDataFrame(
         [("0",), ("44.txt",), ("45",), ("46",), ("47",), ("-1",), ("x",), (None,)], "b string"
     )
-    assert [r.n for r in frame.select(window_name("b").alias("n")).collect()] == [
+    named = frame.select(window_name(bucket_of_file("b")).alias("n"))
+    assert [r.n for r in named.collect()] == [
         "TUR_ITA", "FINAL_ENG_ITA", "PRE_CUP", "POST_CUP", "error", "error", "error", "error",
     ]
     numbers = spark.range(2).select(F.col("id").cast("int").alias("bucket"))
