@@ -17,7 +17,8 @@ from eventpulse._session import rows_if_small
 from eventpulse._skew import SALT, digest, salted
 from eventpulse.calendars import TOURNAMENT, Calendar
 from eventpulse.functions.text import (
-    has_controls, longer_than_one, sentence_array, sql_list, trim_blanks, word_array, words_sql,
+    SENTENCE_END, has_controls, longer_than_one, sentence_array, sql_list, sql_string, trim_blanks,
+    word_array, words_sql,
 )
 from eventpulse.operators.windows import with_window_name
 
@@ -63,11 +64,28 @@ class Lexicon:
 
         The class is made where the sum ends, so both cost one pass over the words.
         """
+        finish = f"named_struct('score', total, 'sentiment', {sentiment_sql('total')})"
+        return F.expr(self._sum_sql(sentence, finish))
+
+    def negatives_in(self, text: str) -> Column:
+        """Number of negative sentences in a text, null for a null text.
+
+        As many as :func:`split_sentences` with ``short_too`` and :meth:`rate`
+        find, without a row per sentence: what a trim takes off holds no words,
+        and a blank piece is neutral.
+        """
+        sentences = f"split(`{text}`, {sql_string(SENTENCE_END)}, -1)"
+        negative = f"{self._sum_sql('s', sentiment_sql('total'))} <= {NEGATIVE}"
+        return F.when(
+            F.col(f"`{text}`").isNotNull(), F.expr(f"size(filter({sentences}, s -> {negative}))")
+        )
+
+    def _sum_sql(self, sentence: str, finish: str) -> str:
+        """SQL text of ``finish``, an expression of the ``total`` of all word weights."""
         weight = "CASE" + "".join(
             f" WHEN w IN {sql_list(tokens)} THEN {weight}L" for weight, tokens in self.tokens.items()
         ) + " ELSE 0L END" if self.tokens else "0L"
-        finish = f"named_struct('score', total, 'sentiment', {sentiment_sql('total')})"
-        return F.expr(
+        return (
             f"aggregate({words_sql(sentence)}, 0L, (total, w) -> total + {weight}, "
             f"total -> {finish})"
         )

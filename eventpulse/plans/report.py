@@ -6,10 +6,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from eventpulse.calendars import TOURNAMENT, Calendar
 from eventpulse.functions.share import percent_half_up
-from eventpulse.operators.sentiment import NEGATIVE, score_sentences, split_sentences
+from eventpulse.functions.time import event_millis
+from eventpulse.operators.sentiment import (
+    NEGATIVE, Lexicon, compile_lexicon, score_sentences, split_sentences,
+)
 from eventpulse.operators.tags import FONT_HIGH, FONT_LOW, TOP_TAGS, cloud_weights, tag_counts
-from eventpulse.operators.terms import LIKE, PER_POST, drop_copies, flag_posts
-from eventpulse.operators.windows import HALF_OPEN, window_name, with_bucket
+from eventpulse.operators.terms import (
+    LIKE, PER_POST, TermSet, compile_terms, drop_copies, flag_posts,
+)
+from eventpulse.operators.windows import HALF_OPEN, bucket_sql, window_name, with_bucket
 
 # Fixed value: the line format of the report.
 REPORT_LINE = (
@@ -37,16 +42,74 @@ def report(
             negative.alias("negative_sentences"),
         )
 
-    buckets = posts.sparkSession.range(len(calendar.names), numPartitions=1)
-    empty = buckets.select(F.col("id").cast("int").alias("bucket"))
-    rows = counting(empty, zero, zero, zero)
+    rows = counting(posts, one, zero, zero)
     for part in (
-        counting(posts, one, zero, zero),
         counting(flagged, zero, one, zero),
         counting(scored.where(F.col("sentiment") <= NEGATIVE), zero, zero, one),
     ):
         rows = rows.unionByName(part)
-    sums = rows.groupBy("bucket").agg(
+    return _summed(rows, calendar)
+
+
+def tally(
+    posts: DataFrame,
+    terms: TermSet,
+    calendar: Calendar = TOURNAMENT,
+    *,
+    bounds: str = HALF_OPEN,
+) -> DataFrame:
+    """All posts and the distinct flagged ones in one pass: ``all_bucket, bucket, text,
+    timestamp_ms, n``.
+
+    A flagged post keeps text and time, so its copies become one row; all others
+    of a bucket become one row with null for both. ``bucket`` is null where the
+    time is unusable or the post not flagged; ``all_bucket``, under ``bounds``, never is.
+    """
+    timed = posts.select("text", "timestamp_ms", event_millis("timestamp_ms").alias("_millis"))
+    found = timed.withColumn("_found", F.coalesce(terms.found_in("text"), F.lit(False)))
+    flagged, usable = F.col("_found"), F.col("_millis").isNotNull()
+    keys = found.select(
+        F.expr(bucket_sql(calendar, "_millis", bounds)).alias("all_bucket"),
+        F.when(flagged & usable, F.expr(bucket_sql(calendar, "_millis"))).alias("bucket"),
+        F.when(flagged, F.col("text")).alias("text"),
+        F.when(flagged, F.col("timestamp_ms")).alias("timestamp_ms"),
+    )
+    return keys.groupBy(*keys.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def report_of_tally(
+    tallied: DataFrame, lexicon: Lexicon, calendar: Calendar = TOURNAMENT
+) -> DataFrame:
+    """The report from a :func:`tally`, row by row up to the sums per bucket."""
+    zero = F.lit(0).cast("bigint")
+    hit = F.col("bucket").isNotNull()
+    negative = F.when(hit, lexicon.negatives_in("text")).otherwise(0).cast("bigint")
+    counted = tallied.select(
+        "all_bucket", "bucket", "n", hit.cast("int").cast("bigint").alias("_flag"),
+        negative.alias("_negative"),
+    )
+    # With open bounds the two buckets of a row may differ, so each row is counted under both.
+    in_all = F.struct(
+        F.col("all_bucket").alias("bucket"), F.col("n").alias("all_posts"),
+        zero.alias("flagged_posts"), zero.alias("negative_sentences"),
+    )
+    in_flagged = F.struct(
+        "bucket", zero.alias("all_posts"), F.col("_flag").alias("flagged_posts"),
+        F.col("_negative").alias("negative_sentences"),
+    )
+    rows = counted.select(F.inline(F.array(in_all, in_flagged))).where("bucket is not null")
+    return _summed(rows, calendar)
+
+
+def _summed(rows: DataFrame, calendar: Calendar) -> DataFrame:
+    """Sums per bucket of ``all_posts, flagged_posts, negative_sentences``, with name and share."""
+    buckets = rows.sparkSession.range(len(calendar.names), numPartitions=1)
+    zero = F.lit(0).cast("bigint")
+    empty = buckets.select(
+        F.col("id").cast("int").alias("bucket"), zero.alias("all_posts"),
+        zero.alias("flagged_posts"), zero.alias("negative_sentences"),
+    )
+    sums = empty.unionByName(rows).groupBy("bucket").agg(
         F.sum("flagged_posts").alias("flagged_posts"),
         F.sum("negative_sentences").alias("negative_sentences"),
         F.sum("all_posts").alias("all_posts"),
@@ -93,10 +156,14 @@ def window_report(
 ) -> DataFrame:
     """The whole main job as one lazy plan, from posts to the report.
 
-    Of a columnar source the totals read the time alone; the text is read once,
-    as both uses of the flagged posts share the shuffle that drops the copies.
-    ``bounds="open"`` applies to the totals only.
+    The posts are read once: one grouping counts them all and drops the copies of
+    the flagged ones, and the sentences are rated where that ends. With a filter
+    or word list beyond what fits into a plan, totals and flagged posts are made
+    apart. ``bounds="open"`` applies to the totals only.
     """
+    compiled, rated = compile_terms(terms, mode=mode), compile_lexicon(lexicon)
+    if compiled is not None and rated is not None:
+        return report_of_tally(tally(posts, compiled, calendar, bounds=bounds), rated, calendar)
     flagged = flagged_in_windows(posts, terms, calendar, mode=mode)
     return report(
         with_bucket(posts, calendar, bounds=bounds),
