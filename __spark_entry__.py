@@ -177,7 +177,9 @@ def negative_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def window_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ep.window_report(posts(spark, sf_dir), terms(spark), lexicon(spark), CALENDAR)
+    return ep.window_report(
+        posts(spark, sf_dir), terms(spark), lexicon(spark), CALENDAR, one_pass=True
+    )
 
 
 def window_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

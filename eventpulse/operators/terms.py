@@ -243,6 +243,9 @@ def _flag_by_join(
     wild = name.contains(EDGE)
     if mode == LIKE:
         wild = wild | name.rlike(r"[%_\\]")
+    if multiplicity == PER_POST:
+        # A term listed many times would otherwise meet every hot word as often.
+        terms = terms.select(name).distinct()
     exact, patterns = terms.where(~wild), terms.where(wild)
     words_in = F.size(F.split(name, " ", -1))
     lengths = sorted(r.k for r in exact.select(words_in.alias("k")).distinct().collect())

@@ -138,7 +138,7 @@ MAX_BROADCAST_CELLS = 300_000
 
 def overlapping_windows(windows: DataFrame) -> DataFrame:
     """Windows that start before an earlier one has ended; empty for a valid table."""
-    cell = _cell_width(windows)[0]
+    cell = _cell_width(windows)
     if cell is None:
         return windows.limit(0)
     earlier = Window.partitionBy("_cell").orderBy("lo_ms", "hi_ms", "bucket")
@@ -165,42 +165,60 @@ def assign_from_table(
 ) -> DataFrame:
     """As :func:`with_bucket` for a window table ``(bucket, lo_ms, hi_ms)`` of any size.
 
-    The point-in-interval lookup becomes an equi-join: both sides are cut into
-    time cells about as wide as an average window, then the bounds are checked.
-    A table within the bound is broadcast; a larger one is shuffled, with the
-    posts of a busy cell spread over ``salts`` partitions.
+    The point-in-interval lookup becomes an equi-join on time cells, then the
+    bounds are checked: one join for every power of two among the lengths of the
+    windows, with cells of that width. A window then lies in at most two cells
+    and, as windows are disjoint, a cell has at most three, however unequal the
+    lengths are. A table within the bound is broadcast; a larger one is shuffled,
+    with the posts of a busy cell spread over ``salts`` partitions.
     """
-    cell, n_windows = _cell_width(windows)
     offset = event_millis(time) - F.lit(base_ms)
     missing = F.when(F.col("_z") < 0, F.lit(before)).otherwise(F.lit(other))
-    if cell is None:
-        timed = posts.withColumn("_z", offset)
-        return timed.withColumn("bucket", missing).drop("_z")
-
-    columns = [F.col(f"p.`{c}`") for c in posts.columns]
-    left = posts.withColumn("_z", offset).withColumn("_cell", _cell_start(F.col("_z"), cell))
-    right = _in_cells(windows.select("bucket", "lo_ms", "hi_ms"), cell)
+    found = posts.withColumn("_z", offset).withColumn("_bucket", F.lit(None).cast("int"))
+    sized = windows.select("bucket", "lo_ms", "hi_ms", _cell_of_length().alias("_width"))
+    # At most 63 rows, one per power of two.
+    widths = dict(map(tuple, sized.groupBy("_width").count().collect()))
+    small = 2 * sum(widths.values()) <= max_broadcast_cells
+    for width in sorted(widths):
+        same = sized.where(F.col("_width") == width).drop("_width")
+        found = _look_up(found, same, width, small, salts)
+    bucket = F.coalesce(F.col("_bucket"), missing).cast("int")
+    return found.withColumn("bucket", bucket).select(*posts.columns, "bucket")
+
+
+def _look_up(
+    posts: DataFrame, windows: DataFrame, cell: int, small: bool, salts: int
+) -> DataFrame:
+    """Fill ``_bucket`` where ``_z`` lies in one of the windows, none longer than a cell."""
+    kept = [F.col(f"p.`{c}`") for c in posts.columns if c != "_bucket"]
+    left = posts.withColumn("_cell", _cell_start(F.col("_z"), cell))
+    right = _in_cells(windows, cell)
     on = (
         (F.col("p._cell") == F.col("w._cell"))
         & (F.col("p._z") >= F.col("w.lo_ms"))
         & (F.col("p._z") < F.col("w.hi_ms"))
     )
-    # At most three cells per window on average, as a cell is an average length wide.
-    if 3 * n_windows <= max_broadcast_cells:
+    if small:
         right = F.broadcast(right)
     else:
         left, right = salted(left, right, salts)
         on = on & (F.col("p._salt") == F.col("w._salt"))
     joined = left.alias("p").join(right.alias("w"), on, "left")
-    bucket = F.coalesce(F.col("w.bucket"), missing).cast("int").alias("bucket")
-    return joined.select(*columns, bucket)
+    bucket = F.coalesce(F.col("p._bucket"), F.col("w.bucket")).alias("_bucket")
+    return joined.select(*kept, bucket)
+
+
+def _cell_of_length() -> Column:
+    """The smallest power of two that is no less than the length of a window."""
+    length = F.col("hi_ms") - F.col("lo_ms")
+    digits = F.when(length <= 1, F.lit(0)).otherwise(F.length(F.bin(length - 1)))
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), digits)
 
 
-def _cell_width(windows: DataFrame) -> tuple[int | None, int]:
-    size = windows.agg(
-        F.count(F.lit(1)).alias("n"), F.avg(F.col("hi_ms") - F.col("lo_ms")).alias("width")
-    ).first()
-    return (math.ceil(size.width) if size.n else None), size.n
+def _cell_width(windows: DataFrame) -> int | None:
+    """The average length of a window, None where there are no windows."""
+    width = windows.agg(F.avg(F.col("hi_ms") - F.col("lo_ms"))).first()[0]
+    return None if width is None else math.ceil(width)
 
 
 def _cell_start(millis: Column, cell: int) -> Column:

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from eventpulse.calendars import TOURNAMENT, Calendar
-from eventpulse.operators.sentiment import keep_windows_with_any, negatives
+from eventpulse.operators.sentiment import compile_lexicon, keep_windows_with_any, negatives
 from eventpulse.operators.tags import TOP_TAGS, cloud_weights, tag_counts
-from eventpulse.operators.terms import PER_POST, drop_copies, flag_posts, matched_timestamps
+from eventpulse.operators.terms import (
+    PER_POST, compile_terms, drop_copies, flag_posts, matched_timestamps,
+)
 from eventpulse.operators.windows import with_bucket
-from eventpulse.plans.report import flagged_tag_counts, report, scored_in_windows
+from eventpulse.plans.report import (
+    flagged_tag_counts, report, report_of_tally, scored_in_windows, tally,
+)
 from eventpulse.sources.readers import read_posts, read_tag_counts, read_terms
 from eventpulse.sources.writers import (
     write_by_window, write_negatives, write_report, write_tag_counts, write_timestamps,
@@ -25,24 +29,36 @@ def run_report(
     calendar: Calendar = TOURNAMENT,
 ) -> None:
     """Posts and filter list in; below ``out``: ``flagged``, ``times``, ``windows``,
-    ``negatives`` and ``report``.
+    ``negatives`` and ``report``, and ``tally``, from which they are made.
 
-    The flagged posts are written as a table first and read back from it: they
-    are a small part of the input, four outputs use them, and a lost executor
-    then costs no second pass over the text.
+    The posts are parsed once, into the tally: counts per bucket and the flagged
+    posts, a small part of the input. All outputs read that table, so a lost
+    executor costs no second pass over the text. With a filter or word list
+    beyond what fits into a plan there is no tally, and the totals parse the
+    posts a second time.
     """
     posts = read_posts(spark, posts_path)
     terms = read_terms(spark, terms_path)
-    drop_copies(flag_posts(posts, terms)).write.mode("overwrite").parquet(f"{out}/flagged")
+    compiled, rated = compile_terms(terms), compile_lexicon(lexicon)
+    one_pass = compiled is not None and rated is not None
+    if one_pass:
+        tally(posts, compiled, calendar).write.mode("overwrite").parquet(f"{out}/tally")
+        tallied = spark.read.parquet(f"{out}/tally")
+        kept = tallied.where("text is not null").select("text", "timestamp_ms")
+    else:
+        kept = drop_copies(flag_posts(posts, terms))
+    kept.write.mode("overwrite").parquet(f"{out}/flagged")
     copies_dropped = spark.read.parquet(f"{out}/flagged")
     write_timestamps(matched_timestamps(copies_dropped), f"{out}/times")
     flagged = with_bucket(copies_dropped, calendar, drop_bad_time=True)
     write_by_window(flagged, f"{out}/windows")
     scored = scored_in_windows(flagged, lexicon)
     write_negatives(negatives(keep_windows_with_any(scored), calendar), f"{out}/negatives")
-    write_report(
-        report(with_bucket(posts, calendar), flagged, scored, calendar), f"{out}/report"
-    )
+    if one_pass:
+        table = report_of_tally(tallied, rated, calendar)
+    else:
+        table = report(with_bucket(posts, calendar), flagged, scored, calendar)
+    write_report(table, f"{out}/report")
 
 
 def run_cloud(spark: SparkSession, posts_path: str, out: str, k: int = TOP_TAGS) -> DataFrame:

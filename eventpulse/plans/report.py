@@ -153,17 +153,23 @@ def window_report(
     *,
     mode: str = LIKE,
     bounds: str = HALF_OPEN,
+    one_pass: bool = False,
 ) -> DataFrame:
     """The whole main job as one lazy plan, from posts to the report.
 
-    The posts are read once: one grouping counts them all and drops the copies of
-    the flagged ones, and the sentences are rated where that ends. With a filter
-    or word list beyond what fits into a plan, totals and flagged posts are made
-    apart. ``bounds="open"`` applies to the totals only.
+    Of a columnar source the totals read the time alone; the text is read once,
+    as both uses of the flagged posts share the shuffle that drops the copies.
+    Where every reading of the posts is costly, as they are JSON or come out of a
+    join, ``one_pass`` goes through a :func:`tally`: one scan, one grouping that
+    counts all posts and drops the copies, and sentences rated where it ends. A
+    filter or word list too large for a plan is done in two all the same.
+    ``bounds="open"`` applies to the totals only.
     """
-    compiled, rated = compile_terms(terms, mode=mode), compile_lexicon(lexicon)
-    if compiled is not None and rated is not None:
-        return report_of_tally(tally(posts, compiled, calendar, bounds=bounds), rated, calendar)
+    if one_pass:
+        compiled, rated = compile_terms(terms, mode=mode), compile_lexicon(lexicon)
+        if compiled is not None and rated is not None:
+            tallied = tally(posts, compiled, calendar, bounds=bounds)
+            return report_of_tally(tallied, rated, calendar)
     flagged = flagged_in_windows(posts, terms, calendar, mode=mode)
     return report(
         with_bucket(posts, calendar, bounds=bounds),

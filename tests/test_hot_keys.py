@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventpulse.operators.sentiment import score_sentences
-from eventpulse.operators.terms import PER_TERM, drop_copies, flag_posts
+from eventpulse.operators.terms import PER_TERM, TermSet, drop_copies, flag_posts
 from eventpulse.operators.windows import assign_from_table, calendar_table
+from eventpulse.plans.report import tally
 
 ROWS = 30_000
 
@@ -63,6 +64,19 @@ def test_hot_text_is_split_when_matches_are_joined_back(spark, posts, terms_of):
     assert got == {"the": ROWS, "hot": ROWS // 3, "the same": ROWS // 3, "w1": 1}
 
 
+def test_term_listed_many_times_flags_a_post_once(spark, posts, terms_of):
+    listed = terms_of(*["the"] * 500, "w1")
+    assert flag_posts(posts, listed, max_terms=0).count() == ROWS
+
+
+def test_posts_that_are_not_flagged_cost_one_row_per_task(spark, posts, terms_of):
+    counted = tally(posts, TermSet.of(["w1"]))
+    rows = counted.collect()
+    assert {(r.text, r.n) for r in rows} == {(None, ROWS - 1), ("x the w1 z", 1)}
+    plan = final_plan(counted)
+    assert plan.count("HashAggregate") == 2 and plan.count("FileScan") == 1
+
+
 def test_hot_text_costs_one_row_per_task_when_copies_are_dropped(spark, posts):
     same_time = posts.select("text", F.lit("1").alias("timestamp_ms"))
     kept = drop_copies(same_time)

@@ -143,8 +143,10 @@ def test_negatives_by_name(spark, tmp_path):
     assert text_files(tmp_path / "neg" / "name=POST_CUP") == ["worse"]
 
 
-def test_report_job(spark, folder):
-    lexicon = spark.createDataFrame([("idiot", -2)], "token string, weight int")
+@pytest.mark.parametrize("token", ["other", "x" * 1001])
+def test_report_job(spark, folder, token):
+    """In one pass, and with a word list that is too large for it."""
+    lexicon = spark.createDataFrame([("idiot", -2), (token, 1)], "token string, weight int")
     out = str(folder / "out")
     for _ in range(2):
         ep.run_report(spark, str(folder / "in"), str(folder / "terms.csv"), lexicon, out)

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from eventpulse.calendars import TOURNAMENT
@@ -7,8 +8,10 @@ from eventpulse.operators.tags import (
     top_tags,
 )
 from eventpulse.operators.terms import PER_TERM
+from eventpulse.operators.windows import HALF_OPEN, OPEN, with_bucket
 from eventpulse.plans.report import (
-    flagged_tag_cloud, flagged_tag_counts, report_lines, tag_cloud, window_report,
+    flagged_in_windows, flagged_tag_cloud, flagged_tag_counts, report, report_lines,
+    scored_in_windows, tag_cloud, window_report,
 )
 
 BASE = TOURNAMENT.base_ms
@@ -136,3 +139,27 @@ def test_hot_tag_is_combined_before_the_shuffle(spark):
     posts = spark.range(1000).select(F.array(F.lit("hot")).alias("tags"))
     plan = tag_counts(posts)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan and as_dict(tag_counts(posts)) == {"hot": 1000}
+
+
+@pytest.mark.parametrize("bounds", [HALF_OPEN, OPEN])
+def test_one_pass_report_equals_the_composed_one(spark, posts_of, terms_of, bounds):
+    base = TOURNAMENT.base_ms
+    texts = [
+        "you idiot you. idiot! fine, idiot ok", "no match", "idiot", None, "", "an idiot \x01.\n . x",
+        "the clown here. Nice IDIOT\u03a3 . idiot. \U0001f600!",
+    ]
+    times = [base, base + 1, base - 1, base + 64800000, base + 75600000, None, "soon", " 7"]
+    rows = [(x, None if t is None else str(t)) for x in texts for t in times]
+    posts = posts_of(*rows, *rows[:9])
+    terms = terms_of("idiot", "clown here.")
+    lexicon = spark.createDataFrame(
+        [("idiot", -2), ("you", 1), ("fine", 3)], "token string, weight int"
+    )
+    flagged = flagged_in_windows(posts, terms)
+    composed = report(
+        with_bucket(posts, bounds=bounds), flagged, scored_in_windows(flagged, lexicon)
+    )
+    got = window_report(posts, terms, lexicon, bounds=bounds, one_pass=True)
+    assert got.dtypes == composed.dtypes
+    assert list(map(tuple, got.collect())) == list(map(tuple, composed.collect()))
+    assert sum(r.negative_sentences for r in got.collect()) > 0

@@ -118,6 +118,25 @@ def test_window_table_equals_calendar(spark, limit):
     assert sorted(map(str, got.collect())) == sorted(map(str, with_bucket(times).collect()))
 
 
+@pytest.mark.parametrize("limit", [300_000, 0])
+def test_windows_of_very_unequal_length(spark, limit):
+    """One long window, and many short ones that an average cell would all hold."""
+    bounds = [(i, 3 * i, 3 * i + 1 + i % 2) for i in range(200)] + [(200, 1000, 1_000_000)]
+    windows = spark.createDataFrame(bounds, "bucket int, lo_ms bigint, hi_ms bigint")
+    times = [*range(-2, 620), 999, 1000, 65_536, 999_999, 1_000_000]
+    posts = spark.createDataFrame([(t,) for t in times], "timestamp_ms bigint")
+    got = assign_from_table(
+        posts, windows, base_ms=0, before=300, other=301, max_broadcast_cells=limit, salts=3
+    )
+    want = {
+        t: next((b for b, lo, hi in bounds if lo <= t < hi), 300 if t < 0 else 301) for t in times
+    }
+    rows = got.collect()
+    assert len(rows) == len(times)
+    assert {r.timestamp_ms: r.bucket for r in rows} == want
+    assert got.schema["bucket"].dataType.simpleString() == "int"
+
+
 def test_window_table_may_be_empty(spark, posts_of):
     empty = calendar_table(spark).where("false")
     posts = posts_of(("a", str(BASE)), ("b", str(BASE - 1)))
