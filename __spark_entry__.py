@@ -265,8 +265,26 @@ def entry(spark: SparkSession) -> DataFrame:
     return window_report(spark, "/root/testdata/sf0.001")
 
 
+def _corpus_queries() -> tuple[dict, dict]:
+    """Queries and SQL of the optional subpackage for training corpora; none where it is absent."""
+    found, sql = {}, {}
+    try:
+        from eventpulse.llm import queries as corpus
+
+        found, sql = dict(corpus.QUERIES), dict(corpus.ORACLE_SQL)
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ImportError as missing:
+        if not (missing.name or "").startswith(("eventpulse.llm", "corpus_pipeline")):
+            raise
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in QUERIES}
+    return {q.__name__: q for q in QUERIES} | _corpus_queries()[0]
 
 
 # ---- the same in SQL ----------------------------------------------------------
@@ -386,7 +404,7 @@ def oracle_sql() -> dict[str, str]:
 
     per_bucket = "SELECT bucket, count(*) AS n FROM {} GROUP BY bucket"
     wild = f"wild(term) AS (VALUES {_rows(*[(t,) for t in WILD_TERMS])})"
-    return {
+    own = {
         "posts_per_window": with_(per_bucket.format("b"), _bucketed("b", "posts")),
         "posts_per_window_open": with_(per_bucket.format("b"), _bucketed("b", "posts", ">")),
         "events_per_window_by_table": with_(per_bucket.format("b"), _bucketed("b", "times")),
@@ -474,3 +492,4 @@ def oracle_sql() -> dict[str, str]:
             _CLOUD_SELECT, _HITS, _tag_counts("c", "hit_docs"), _cloud("c")
         ),
     }
+    return own | _corpus_queries()[1]

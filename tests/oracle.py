@@ -8,7 +8,8 @@ import os
 import duckdb
 import pandas as pd
 
-KINDS = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double"}
+KINDS = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double",
+         "BOOLEAN": "boolean"}
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
