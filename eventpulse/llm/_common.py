@@ -50,3 +50,8 @@ def col(name: str) -> Column:
 
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def broadcast_if_small(table: DataFrame, max_rows: int) -> DataFrame:
+    """A saved table of narrow rows, marked for broadcast when it has at most ``max_rows``."""
+    return F.broadcast(table) if table.limit(max_rows + 1).count() <= max_rows else table

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from eventpulse.llm._common import col, lower_ascii, numbered, saved
+from eventpulse.llm._common import broadcast_if_small, col, lower_ascii, numbered, saved
 
 # Entries of a bucket before it is split, and bits that the directory may use: at most 65,536
 # slots, which are broadcast. Buckets of the last depth may hold any number of entries.
@@ -126,10 +126,8 @@ def exact_groups(
     index = build_index(keyed.select("key"), capacity=capacity, max_depth=max_depth)
 
     chained = index.where("n > 1").select(F.col("key").alias("_chained"))
-    few = chained.count() <= broadcast_keys
-    rows = keyed.join(
-        F.broadcast(chained) if few else chained, F.col("key") == F.col("_chained"), "left"
-    )
+    chained = broadcast_if_small(chained, broadcast_keys)
+    rows = keyed.join(chained, F.col("key") == F.col("_chained"), "left")
     rows = saved(
         numbered(rows, "row_no").select(
             "doc_id", "row_no", "key",

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventpulse.llm.exact_dedup import exact_groups
+from eventpulse.llm.hash_forest import nearest_neighbours
 from eventpulse.llm.license_scan import license_scan
 from eventpulse.llm.secret_scan import by_kind, find_secrets
+from eventpulse.llm.simhash import hex16, near_duplicates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,10 +64,21 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+    return found.select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op5_license_scan": op5_license_scan,
     "op6_secret_scan": op6_secret_scan,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
 ORACLE_SQL: dict[str, str] = {
