@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventpulse.llm.exact_dedup import exact_groups
+from eventpulse.llm import language_id
 from eventpulse.llm.hash_forest import nearest_neighbours
 from eventpulse.llm.license_scan import license_scan
+from eventpulse.llm.packing import pack_documents
 from eventpulse.llm.secret_scan import by_kind, find_secrets
 from eventpulse.llm.simhash import hex16, near_duplicates
 
@@ -24,6 +27,21 @@ def _spans_text(spans: Column) -> Column:
     )
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    """The fold that language models must not learn from."""
+    return F.crc32(F.col(doc_id).cast("string")) % 4 == 2
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(~F.coalesce(held_out(), F.lit(False))))
+    found = language_id.predict(model, docs)
+    return found.select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score",
+        "entropy", "rejected",
+    )
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -69,15 +87,25 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def tokenizer_file() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file(), keep_ids=False)
+
+
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_license_scan": op5_license_scan,
     "op6_secret_scan": op6_secret_scan,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
