@@ -11,6 +11,7 @@ from eventpulse.llm.exact_dedup import exact_groups
 from eventpulse.llm import language_id
 from eventpulse.llm.hash_forest import nearest_neighbours
 from eventpulse.llm.license_scan import license_scan
+from eventpulse.llm.line_dedup import MIN_WORDS, delete_repeated_runs
 from eventpulse.llm.packing import pack_documents
 from eventpulse.llm.secret_scan import by_kind, find_secrets
 from eventpulse.llm.simhash import hex16, near_duplicates
@@ -82,6 +83,47 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sizes = docs.withColumn("n_lines", F.size(F.split("text", "\n", -1)).cast("bigint"))
+    return delete_repeated_runs(sizes).select(
+        "doc_id", F.greatest("n_lines", F.lit(0)).alias("n_lines"),
+        F.expr("aggregate(deleted_runs, 0L, (n, r) -> n + r.n_lines)").alias("n_deleted"),
+        F.array_join(F.transform(
+            "deleted_runs", lambda r: F.concat_ws("+", r["first_line"], r["n_lines"])
+        ), ",").alias("runs"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+    )
+
+
+# Every line of a later copy lies in a shortest run that counts, beginning or ending with it.
+LINE_DEDUP_SQL = f"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+l AS (SELECT doc_id, generate_subscripts(ls, 1) AS i, unnest(ls) AS line FROM d),
+w AS (SELECT doc_id, i, line, len(regexp_extract_all(line, '[^ \t\n\x0B\f\r]+')) AS n FROM l),
+c AS (SELECT doc_id, i, line, n, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM w),
+f AS (SELECT a.doc_id, a.i AS s, min(b.i) AS e FROM c a JOIN c b ON b.doc_id = a.doc_id AND b.i >= a.i
+      AND b.upto - a.upto + a.n >= {MIN_WORDS} GROUP BY 1, 2),
+b AS (SELECT a.doc_id, max(b.i) AS s, a.i AS e FROM c a JOIN c b ON b.doc_id = a.doc_id AND b.i <= a.i
+      AND a.upto - b.upto + b.n >= {MIN_WORDS} GROUP BY 1, 3),
+r AS (SELECT x.*, array_to_string(list_slice(d.ls, x.s, x.e), chr(10)) AS body
+      FROM (SELECT * FROM f UNION SELECT * FROM b) x JOIN d ON d.doc_id = x.doc_id),
+o AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, s) AS nth FROM r),
+g AS (SELECT DISTINCT c.doc_id, c.i FROM c JOIN o ON o.doc_id = c.doc_id AND c.i BETWEEN o.s AND o.e
+      WHERE o.nth > 1),
+k AS (SELECT doc_id, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS island, i FROM g),
+m AS (SELECT doc_id, min(i) - 1 AS first, count(*) AS n FROM k GROUP BY doc_id, island),
+u AS (SELECT doc_id, string_agg(first || '+' || n, ',' ORDER BY first) AS runs, sum(n) AS n
+      FROM m GROUP BY doc_id),
+t AS (SELECT c.doc_id, string_agg(c.line, chr(10) ORDER BY c.i) AS text FROM c
+      LEFT JOIN g ON g.doc_id = c.doc_id AND g.i = c.i WHERE g.i IS NULL GROUP BY c.doc_id)
+SELECT x.doc_id, CAST(coalesce(len(d.ls), 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(u.n, 0) AS BIGINT) AS n_deleted, coalesce(u.runs, '') AS runs,
+       sha256(coalesce(t.text, '')) AS text_sha256
+FROM documents x LEFT JOIN d ON d.doc_id = x.doc_id LEFT JOIN u ON u.doc_id = x.doc_id
+LEFT JOIN t ON t.doc_id = x.doc_id"""
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
     return found.select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
@@ -104,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op5_license_scan": op5_license_scan,
     "op6_secret_scan": op6_secret_scan,
+    "op7_line_dedup": op7_line_dedup,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_nearest_neighbours": op10_nearest_neighbours,
@@ -111,4 +154,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": EXACT_DEDUP_SQL,
+    "op7_line_dedup": LINE_DEDUP_SQL,
 }
