@@ -15,6 +15,7 @@ from eventpulse.llm.line_dedup import MIN_WORDS, delete_repeated_runs
 from eventpulse.llm.packing import pack_documents
 from eventpulse.llm.secret_scan import by_kind, find_secrets
 from eventpulse.llm.simhash import hex16, near_duplicates
+from eventpulse.llm.url_filter import ALLOW, BLOCK, Rule, judge_urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +58,16 @@ EXACT_DEDUP_SQL = (
 )
 
 
+URL_RULES = (
+    Rule("com/", ALLOW), Rule("example.com/en/", BLOCK), Rule("www.example.com/en/", ALLOW),
+    Rule("net/es/", BLOCK), Rule("net/fr/", BLOCK),
+)
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scan = license_scan(table(spark, sf_dir, "documents"))
     words = F.transform("places", lambda p: p["word"])
@@ -144,6 +155,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_url_filter": op4_url_filter,
     "op5_license_scan": op5_license_scan,
     "op6_secret_scan": op6_secret_scan,
     "op7_line_dedup": op7_line_dedup,
