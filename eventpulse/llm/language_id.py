@@ -255,7 +255,7 @@ def fit(
 ) -> Model:
     """A calibrated model from rows with a label; rows without label, text or letters do not count.
 
-    Raises ``ValueError`` when nothing is left to fit.
+    Where nothing is left to fit, the model knows no language and calls every text ``und``.
     """
     rows = labelled.select(
         col(lang).cast("string").alias("lang"), col(text).alias("text"), col(id_column).alias("id")
@@ -267,7 +267,8 @@ def fit(
         counts = saved(_counted(rows.select("lang", "text")), "grams")
     top = counts.orderBy(F.desc("n"), "lang", "gram").limit(max_grams).toPandas()
     if not len(top):
-        raise ValueError("no labelled text with a letter to fit on")
+        none = np.empty(0)
+        return Model((), {}, {}, none, none, none, none)
     model = build(
         (name, g["gram"].to_numpy().view(np.uint64), g["n"].to_numpy())
         for name, g in top.groupby("lang", sort=True)
@@ -314,6 +315,8 @@ def classify(model: Model, codes: np.ndarray, reject_at: float = REJECT_AT) -> t
     """Language, score, cross-entropy per letter in nats, and whether the text is rejected."""
     if len(codes) < 2:
         return UNKNOWN, 0.0, None, True
+    if not model.languages:
+        return UNKNOWN, 0.0, None, False
     n = len(codes) - 1
     costs = model.costs(codes)[0]
     best = int(np.argmin(costs))
@@ -333,7 +336,8 @@ def predict(
 ) -> DataFrame:
     """``(doc_id, lang_pred, score, entropy, rejected)`` per row of ``table``.
 
-    A null text, and one without a letter, is ``und`` with score 0, and rejected. A tie goes to
+    A null text, and one without a letter, is ``und`` with score 0, and rejected. A model without
+    languages calls all else ``und`` too, and rejects none of it. A tie goes to
     the language that comes first by name. Ids may be null or repeated; other columns are not
     looked at.
     """
