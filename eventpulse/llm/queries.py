@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventpulse.llm.exact_dedup import exact_groups
-from eventpulse.llm import language_id
+from eventpulse.llm import gumbel_pieces, language_id
 from eventpulse.llm.hash_forest import nearest_neighbours
 from eventpulse.llm.license_scan import license_scan
 from eventpulse.llm.line_dedup import MIN_WORDS, delete_repeated_runs
@@ -29,6 +29,16 @@ def _spans_text(spans: Column) -> Column:
     )
 
 
+def op1_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sampled segmentations of every document."""
+    docs = table(spark, sf_dir, "documents")
+    found = gumbel_pieces.sample_segmentations(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select(
+        "doc_id", "sample", (F.octet_length("ids") / 4).cast("bigint").alias("n_pieces"),
+        F.crc32("ids").alias("ids_crc32"), "log_prob", "gumbel", "inclusion",
+    )
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """The fold that language models must not learn from."""
     return F.crc32(F.col(doc_id).cast("string")) % 4 == 2
@@ -153,6 +163,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_gumbel_pieces": op1_gumbel_pieces,
     "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_url_filter": op4_url_filter,
