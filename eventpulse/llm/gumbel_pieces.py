@@ -7,7 +7,7 @@ probabilities are a sample of ``k`` without replacement. They are found by a per
 agenda holds sets of segmentations with the perturbed maximum of each; the set of the largest maximum
 is opened by fixing one segmentation in it, edge by edge, and at every node of that path the edges not
 taken form a new set, whose maximum is drawn below that of the path. Nothing is enumerated, and each
-sample costs one path. The inclusion score of a sample is its probability of being among the ``k``,
+sample costs one path. The inclusion score of a sample is the logarithm of its probability of being among the ``k``,
 given the perturbed value of the best segmentation that was left out.
 
 Perturbed values are kept as the logarithms of arrival times, ``-gumbel``: below a maximum, the time
@@ -333,7 +333,7 @@ class Search:
 
 
 def sampled(texts: list[str], keys: np.ndarray, model, pieces: Pieces, k: int) -> list[list[tuple]]:
-    """Per text up to ``k`` of ``(ids, log probability, gumbel, inclusion)``, the largest gumbel first."""
+    """Per text up to ``k`` of ``(ids, log probability, gumbel, log inclusion)``, the largest gumbel first."""
     index: dict[str, int] = {}
     words, text_of = [], []
     for t, text in enumerate(texts):
@@ -354,15 +354,16 @@ def sampled(texts: list[str], keys: np.ndarray, model, pieces: Pieces, k: int) -
         size = len(pieces.weights)
         ascii_ = (ids >= size) & (ids < size + 128)
         ids[ascii_] = pieces.byte_ids[ids[ascii_] - size]
-        with np.errstate(over="ignore", invalid="ignore"):
-            inclusion = -np.expm1(-np.exp(path["logp"] + left_out))
+        with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+            rate = path["logp"] + left_out
+            inclusion = np.where(rate < -30, rate, np.log(-np.expm1(-np.exp(rate))))
         for t in np.flatnonzero(path["drawn"]).tolist():
             own = ids[path["bounds"][t]:path["bounds"][t + 1]]
             if len(own) and own.max() >= size:
                 own = _spelt(own, pieces)
             found[t].append((
                 own.astype("<u4").tobytes(), float(path["logp"][t]), -float(path["time"][t]),
-                1.0 if np.isinf(left_out[t]) else float(inclusion[t]),
+                0.0 if np.isinf(left_out[t]) else float(inclusion[t]),
             ))
     return found
 
@@ -382,16 +383,16 @@ def sample_segmentations(
     table: DataFrame, model_file: str, *, k: int = SAMPLES, sharpness: float = SHARPNESS,
     id_column: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """``doc_id, sample, ids, log_prob, gumbel, inclusion`` per row of ``table`` and sample, from 1.
+    """``doc_id, sample, ids, log_prob, gumbel, log_inclusion`` per row of ``table`` and sample, from 1.
 
     ``ids`` are little-endian unsigned 32-bit numbers in one binary value. A text with fewer than
-    ``k`` segmentations gives all of them, with inclusion 1. A null text counts as empty, and an
+    ``k`` segmentations gives all of them, each included with certainty. A null text counts as empty, and an
     empty text has one segmentation, of no pieces. The id is the key of the random numbers: rows of
     one id and text get the same samples, a null id is a key of its own. Other columns are not
     looked at; an empty table gives no rows.
     """
     rows = table.select(col(id_column).alias("doc_id"), col(text).cast("string").alias("text"))
-    names = ["doc_id", "sample", "ids", "log_prob", "gumbel", "inclusion"]
+    names = ["doc_id", "sample", "ids", "log_prob", "gumbel", "log_inclusion"]
     kinds = (pa.int32(), pa.binary(), pa.float64(), pa.float64(), pa.float64())
 
     def sample(batches):
@@ -416,7 +417,7 @@ def sample_segmentations(
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        sample, f"doc_id {kind}, sample int, ids binary, log_prob double, gumbel double, inclusion double"
+        sample, f"doc_id {kind}, sample int, ids binary, log_prob double, gumbel double, log_inclusion double"
     )
 
 

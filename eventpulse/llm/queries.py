@@ -35,7 +35,7 @@ def op1_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = gumbel_pieces.sample_segmentations(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return found.select(
         "doc_id", "sample", (F.octet_length("ids") / 4).cast("bigint").alias("n_pieces"),
-        F.crc32("ids").alias("ids_crc32"), "log_prob", "gumbel", "inclusion",
+        F.crc32("ids").alias("ids_crc32"), "log_prob", "gumbel", "log_inclusion",
     )
 
 
