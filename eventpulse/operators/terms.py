@@ -6,8 +6,8 @@ punctuation, and ``%``/``_`` in a term are wildcards unless ``mode="literal"``.
 
 Run as a theta join this compares every post with every term. Here the list is
 compiled into one predicate over the words of a post, so the flagging is part of
-the scan: no join, no shuffle, and a cost that does not grow with the list. A
-list too large for that goes through a shuffled equi-join on the words.
+the scan: no join, no shuffle, and for exact terms a cost that does not grow with
+the list. A list too large for that, or with many wildcards, is joined to the words.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventpulse._session import rows_if_small
+from eventpulse._session import MAX_VALUE_CHARS, rows_if_small
 from eventpulse._skew import SALT, digest, salted
 from eventpulse.functions.text import sql_list, sql_string
 
@@ -31,6 +31,11 @@ LITERAL = "literal"
 
 # A list of at most this many terms, none of them very long, is written into the plan.
 MAX_PLAN_TERMS = 10_000
+# Wildcard terms are tried one after the other on the whole text.
+MAX_PLAN_PATTERNS = 20
+
+# A longer list is broadcast up to this many terms.
+BROADCAST_TERMS = 100_000
 
 # Up to so many words a per-row overlap of two arrays beats a lookup per word,
 # and up to so many phrases a scan per phrase beats building all word runs.
@@ -123,7 +128,8 @@ def compile_terms(
 ) -> TermSet | None:
     """The filter list as a :class:`TermSet`, or None when it is beyond the bound."""
     rows = rows_if_small(terms.select(F.col(f"`{column}`").alias("term")), max_terms)
-    return None if rows is None else TermSet.of([r.term for r in rows], mode)
+    found = None if rows is None else TermSet.of([r.term for r in rows], mode)
+    return found if found is None or len(found.patterns) <= MAX_PLAN_PATTERNS else None
 
 
 def flag_posts(
@@ -135,6 +141,7 @@ def flag_posts(
     multiplicity: str = PER_POST,
     mode: str = LIKE,
     max_terms: int = MAX_PLAN_TERMS,
+    broadcast_terms: int = BROADCAST_TERMS,
 ) -> DataFrame:
     """Posts with a term of the list.
 
@@ -146,7 +153,7 @@ def flag_posts(
         raise ValueError(f"multiplicity must be {PER_POST!r} or {PER_TERM!r}")
     compiled = compile_terms(terms, column=term, mode=mode, max_terms=max_terms)
     if compiled is None:
-        return _flag_by_join(posts, terms, text, term, multiplicity, mode)
+        return _flag_by_join(posts, terms, text, term, multiplicity, mode, broadcast_terms)
     flagged = posts.where(compiled.found_in(text))
     if multiplicity == PER_POST:
         return flagged
@@ -228,70 +235,135 @@ def _both_sides(
 
 def _flag_by_join(
     posts: DataFrame, terms: DataFrame, text: str, term: str, multiplicity: str, mode: str,
-    salts: int = 16,
+    broadcast_terms: int = BROADCAST_TERMS, salts: int = 16,
 ) -> DataFrame:
     """The same result for a list of any size.
 
-    A match depends on the text alone. So each distinct text is cut into word
-    runs once, the runs are joined to the list on equality, and the matches are
-    joined back to the posts. Between the joins a digest stands for the text.
-    The join on words is salted, as some words are in most texts; the list is
-    repeated for it. The matches are too many to repeat: where one text is a
-    third of all posts, adaptive execution splits that part of the last join.
+    A match depends on the text alone: which terms a text holds is found by digests of the texts,
+    and joined back to the posts. An exact term is looked for by its first word, and the run that
+    begins there compared with it; a wildcard term by a part of it without wildcards, and the text
+    compared with the whole pattern. A list within the bound is broadcast to the words, so that
+    only what was found is shuffled. Beyond it the words of the distinct texts are, and the join is
+    salted, as some words are in most texts. The matches are too many to repeat: where one text is
+    a third of all posts, adaptive execution splits that part of the last join.
     """
     name = F.col(f"`{term}`")
-    wild = name.contains(EDGE)
+    names = terms.select(name.alias("_term")).where("_term is not null").distinct()
+    wild = F.contains(F.col("_term"), F.lit(EDGE))
     if mode == LIKE:
-        wild = wild | name.rlike(r"[%_\\]")
-    if multiplicity == PER_POST:
-        # A term listed many times would otherwise meet every hot word as often.
-        terms = terms.select(name).distinct()
-    exact, patterns = terms.where(~wild), terms.where(wild)
-    words_in = F.size(F.split(name, " ", -1))
-    lengths = sorted(r.k for r in exact.select(words_in.alias("k")).distinct().collect())
-    texts = posts.select(F.col(f"`{text}`").alias("_text")).where("_text is not null").distinct()
-    texts = texts.withColumn("_digest", digest("_text"))
-
-    cuts = [f"transform({_starts('ws', k)}, i -> {_run(k)})" for k in lengths]
-    runs = f"flatten(transform(array({_words('_text')}), ws -> concat({', '.join(cuts)})))"
-
-    found = _found_by_pattern(texts, patterns, term, mode)
-    if lengths:
-        run = F.explode(F.array_distinct(F.expr(runs))).alias("_run")
-        left, right = salted(texts.select("_digest", run), exact, salts)
-        on = (F.col("l._run") == F.col(f"r.`{term}`")) & (F.col(f"l.{SALT}") == F.col(f"r.{SALT}"))
-        joined = left.alias("l").join(right.alias("r"), on)
-        found = found.unionByName(
-            joined.select("_digest", *[F.col(f"r.`{c}`") for c in terms.columns])
+        wild = wild | F.col("_term").rlike(r"[%_\\]")
+    length = F.size(F.split("_term", " ", -1))
+    # All that has to be known about the list, in one pass over it.
+    known = names.agg(
+        F.count_if(~wild).alias("exact"), F.count_if(wild).alias("wild"),
+        F.max(F.when(~wild, length)).alias("words"), F.max(F.length("_term")).alias("longest"),
+    ).first()
+    small = known.exact + known.wild <= broadcast_terms and (known.longest or 0) <= MAX_VALUE_CHARS
+    texts = posts.select(F.col(f"`{text}`").alias("_text")).where("_text is not null")
+    texts = (texts if small else texts.distinct()).withColumn("_digest", digest("_text"))
+    cut = texts.select("_digest", F.expr(_words("_text")).alias("_ws"))
+
+    found = names.select(F.unhex("_term").alias("_digest"), "_term").limit(0)
+    exact = names.where(~wild)
+    if known.exact:
+        word = F.explode(F.array_distinct("_ws")).alias("_key")
+        one = exact.where(length == 1).select(F.col("_term").alias("_key"), "_term")
+        met = _meet(cut.select("_digest", word), one, small, salts)
+        found = found.unionByName(met.select("_digest", "_term"))
+    if (known.words or 0) > 1:
+        place = F.posexplode("_ws").alias("_at", "_key")
+        more = exact.where(length > 1).select(
+            F.substring_index("_term", " ", 1).alias("_key"), "_term", length.alias("_k")
         )
+        met = _meet(cut.select("_digest", "_ws", place), more, small, salts)
+        met = met.where(F.expr("array_join(slice(_ws, _at + 1, _k), ' ') = _term"))
+        found = found.unionByName(met.select("_digest", "_term"))
+    if known.wild:
+        met = _meet_patterns(texts, names.where(wild), mode, small, salts)
+        found = found.unionByName(met.select("_digest", "_term"))
 
     keyed = posts.withColumn("_digest", digest(text))
-    if multiplicity == PER_TERM:
-        return _both_sides(keyed, found, posts, terms, ("_digest", "_digest"))
-    # Without a distinct: the join needs a shuffle of its own to be split.
-    hits = found.select("_digest")
-    return keyed.join(hits, "_digest", "left_semi").select(*posts.columns)
+    if multiplicity == PER_POST:
+        # Without a distinct: the join needs a shuffle of its own to be split.
+        return keyed.join(found.select("_digest"), "_digest", "left_semi").select(*posts.columns)
+    listed = _both_sides(found.distinct(), terms, found, terms, ("_term", term))
+    listed = listed.select("_digest", *terms.columns)
+    return _both_sides(keyed, listed, posts, terms, ("_digest", "_digest"))
+
 
+def _meet(words: DataFrame, terms: DataFrame, small: bool, salts: int) -> DataFrame:
+    """Join on ``_key``."""
+    if small:
+        return words.join(F.broadcast(terms), "_key")
+    left, right = salted(words, terms, salts)
+    return left.join(right, ["_key", SALT])
 
-def _found_by_pattern(texts: DataFrame, patterns: DataFrame, term: str, mode: str) -> DataFrame:
-    """Digests of the matching texts with the columns of the matching wildcard terms.
 
-    A LIKE pattern has no key to join on: wildcard terms beyond the bounds are
-    compared with every text.
+# A part of a pattern is looked up by at most so many characters.
+PART_CHARS = 8
+
+
+def _meet_patterns(
+    texts: DataFrame, names: DataFrame, mode: str, small: bool, salts: int
+) -> DataFrame:
+    """Texts with the wildcard terms they hold, by an index of literal parts.
+
+    Between spaces, a pattern is cut at its wildcards. A part between two spaces is a word of any
+    text that matches; a part after a space begins a word, one before a space ends a word. The
+    longest of these is the pattern's key, and only texts with that key are compared with it.
+    A pattern without any, such as ``%``, meets every text.
     """
-    compiled = compile_terms(patterns, column=term, mode=mode)
-    if compiled is not None:
-        matched = texts.where(compiled.found_in("_text")).select(
-            "_digest", F.explode(compiled.matches_in("_text")).alias("_term")
-        )
-        return _both_sides(
-            matched, patterns, texts.select("_digest"), patterns, ("_term", term)
-        )
-    name = F.col(f"`{term}`")
     if mode == LITERAL:
-        hit = F.instr(F.col("_text"), F.concat(F.lit(" "), name, F.lit(" "))) > 0
+        body = F.regexp_replace("_term", r"([%_\\])", r"\\$1")
+        literal = F.array(F.concat(F.lit(" "), "_term", F.lit(" ")))
     else:
         # A backslash that escapes nothing is literal, as in _like_body.
-        body = F.regexp_replace(name, r"\G((?:[^\\]|\\[%_\\])*+)\\(?![%_\\])", r"$1\\\\")
-        hit = F.col("_text").like(F.concat(F.lit("% "), body, F.lit(" %")))
-    return texts.join(patterns, hit).select("_digest", *patterns.columns)
+        body = F.regexp_replace(
+            "_term", r"\G((?:[^\\]|\\[%_\\])*+)\\(?![%_\\])", r"$1\\\\"
+        )
+        # Parts end at a wildcard, and at an escaped character to be on the safe side.
+        literal = F.split(F.concat(F.lit(" "), "_term", F.lit(" ")), r"[%_\\]", -1)
+    keyed = names.withColumn("_parts", literal).select(
+        "_term", F.concat(F.lit("% "), body, F.lit(" %")).alias("_pattern"),
+        F.expr(_pattern_keys("_parts")).alias("_keys"),
+    )
+    best = F.expr("array_max(transform(_keys, k -> struct(length(k) AS n, k)))")
+    keyed = keyed.withColumn("_best", best).select(
+        "_term", "_pattern", F.coalesce(F.col("_best.k"), F.lit("")).alias("_key")
+    )
+    # Which kinds of keys there are, at most three of each length.
+    kinds = [
+        (r.kind, r.n) for r in
+        keyed.select(F.left("_key", F.lit(1)).alias("kind"), (F.length("_key") - 1).alias("n"))
+        .distinct().collect()
+    ]
+    cuts, whole = [], []
+    for kind, n in sorted(kinds):
+        if kind == "=":
+            whole.append("transform(ws, w -> concat('=', w))")
+        elif kind == "<":
+            cuts.append(f"transform(filter(ws, w -> length(w) >= {n}), w -> concat('<', left(w, {n})))")
+        elif kind == ">":
+            cuts.append(f"transform(filter(ws, w -> length(w) >= {n}), w -> concat('>', right(w, {n})))")
+        else:
+            cuts.append("array('')")
+    cuts += whole[:1]
+    keys = f"flatten(transform(array({_words('_text')}), ws -> array_distinct(concat({', '.join(cuts)}))))"
+    words = texts.select("_digest", "_text", F.explode(F.expr(keys)).alias("_key"))
+    return _meet(words, keyed, small, salts).where(F.expr("_text LIKE _pattern"))
+
+
+def _pattern_keys(parts: str) -> str:
+    """SQL text: the keys of literal parts, ``=word``, ``<beginning`` or ``>end``.
+
+    The parts of a word are those between spaces; outer ones of a part without a space at that
+    side are incomplete.
+    """
+    pieces = f"flatten(transform({parts}, p -> transform(split(p, ' ', -1), (w, i) -> struct(w, " \
+             f"i > 0 AS begins, i < size(split(p, ' ', -1)) - 1 AS ends))))"
+    key = (
+        f"CASE WHEN x.begins AND x.ends AND length(x.w) <= {PART_CHARS} THEN concat('=', x.w) "
+        f"WHEN x.begins THEN concat('<', left(x.w, {PART_CHARS})) "
+        f"ELSE concat('>', right(x.w, {PART_CHARS})) END"
+    )
+    return f"transform(filter({pieces}, x -> length(x.w) > 0 AND (x.begins OR x.ends)), x -> {key})"

@@ -73,8 +73,10 @@ def test_words_equal_like_join(spark, posts_of, terms_of, texts, terms):
     posts = posts_of(*[(t, str(i)) for i, t in enumerate(texts)])
     listed = terms_of(*terms)
     joined = posts.join(listed, F.expr("text LIKE concat('% ', term, ' %')"))
-    for limit in (10_000, 0):
-        got = flag_posts(posts, listed, multiplicity=PER_TERM, max_terms=limit)
+    for limit, broadcast in ((10_000, 0), (0, 10_000), (0, 0)):
+        got = flag_posts(
+            posts, listed, multiplicity=PER_TERM, max_terms=limit, broadcast_terms=broadcast
+        )
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, joined.collect()))
 
 
@@ -104,6 +106,38 @@ def test_copies_stay_until_dropped(posts_of, terms_of, limit):
     ]
 
 
+WILD = [
+    "st_pid", "id%t", "100%", "%", "_", "%less", "wor%less", "of t_e", "a\\%b", "a\\b", "c\\\\d", "%x%", "\0", "e\0f",
+    "", "a  b", "very%long%pattern of words", "un_erscore", "z" * 20 + "%",
+]
+WILD_TEXTS = [
+    "a stupid b", "st pid", " st pid ", "x idiot y", "an id or t here", " 100% ", " 1000 of ", " less ", " a worthless b",
+    " of the ", " a%b ", " a\\b ", " c\\d ", " c\\\\d ", "  ", " ", "", " e\0f ", " a  b ", " very x long y pattern of words z",
+    " underscore ", " " + "z" * 25 + " ", "axa x b", " \0 ",
+]
+
+
+@pytest.mark.parametrize("mode", ["like", "literal"])
+@pytest.mark.parametrize("broadcast", [10_000, 0])
+def test_wildcards_by_index_equal_a_list_in_the_plan(posts_of, terms_of, mode, broadcast):
+    posts, terms = posts_of(*[(t, str(i)) for i, t in enumerate(WILD_TEXTS)]), terms_of(*WILD)
+    want = {(t, w) for t in WILD_TEXTS for w in WILD if like(t, w, mode == LITERAL)}
+    got = flag_posts(
+        posts, terms, multiplicity=PER_TERM, mode=mode, max_terms=0, broadcast_terms=broadcast
+    ).collect()
+    assert {(r.text, r.term) for r in got} == want and len(got) == len(want)
+    kept = flag_posts(posts, terms, mode=mode, max_terms=0, broadcast_terms=broadcast).collect()
+    assert {r.text for r in kept} == {t for t, _ in want}
+
+
+def test_ten_thousand_wildcards_do_not_crash(spark, posts_of):
+    posts = posts_of(("a word7 b", "1"), ("a other b", "2"))
+    terms = spark.range(10_001).selectExpr("concat('wo_d', id) AS term")
+    assert [r.term for r in flag_posts(posts, terms, multiplicity=PER_TERM).collect()] == ["wo_d7"]
+    long = terms.limit(1).selectExpr("concat(repeat('x', 1200), '%') AS term")
+    assert flag_posts(posts, long).count() == 0
+
+
 def test_timestamps_are_written_as_read(posts_of, terms_of):
     flagged = flag_posts(posts_of((" x ", "soon"), (" x ", None), (" y ", "1")), terms_of("x"))
     rows = matched_timestamps(flagged)
