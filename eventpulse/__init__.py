@@ -17,7 +17,7 @@ from eventpulse.operators.tags import (
 )
 from eventpulse.operators.terms import drop_copies, flag_posts, matched_timestamps
 from eventpulse.operators.windows import (
-    assign_from_table, calendar_table, count_per_window, window_name, with_bucket,
+    WindowTable, assign_from_table, calendar_table, count_per_window, window_name, with_bucket,
     with_window_name,
 )
 from eventpulse.plans.jobs import run_cloud, run_flagged_cloud, run_report
@@ -30,7 +30,7 @@ from eventpulse.sources.readers import (
 )
 
 __all__ = [
-    "TOURNAMENT", "Calendar", "assign_from_table", "calendar_table", "classify", "cloud_weights",
+    "TOURNAMENT", "Calendar", "WindowTable", "assign_from_table", "calendar_table", "classify", "cloud_weights",
     "count_per_window", "drop_copies", "fit_negative", "flag_posts", "flagged_in_windows",
     "flagged_tag_cloud", "flagged_tag_counts", "keep_windows_with_any", "matched_timestamps",
     "merge_counts", "negatives", "negatives_per_window", "posts_of_tweets", "precision_recall",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
@@ -12,14 +11,11 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder name that every executor can reach.
 
-    Lies below ``spark.checkpoint.dir``. Only a local session may do without
-    that setting; it gets a temporary folder.
+    Lies below ``spark.checkpoint.dir``, or in the warehouse where that is not set.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="run-")
+        root = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_runs")
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
 
 

@@ -65,8 +65,8 @@ class Calendar:
 
     Bucket ``i`` is the i-th window, ``before`` is everything earlier than the
     base and ``other`` is everything else: gaps, later times, unknown times.
-    A calendar that is itself a table goes to
-    :func:`eventpulse.operators.windows.assign_from_table`.
+    A calendar that is itself a table is a
+    :class:`eventpulse.operators.windows.WindowTable`.
     """
 
     base_ms: int
@@ -81,7 +81,7 @@ class Calendar:
         if len(self.windows) > self.MAX_WINDOWS:
             raise ValueError(
                 f"{len(self.windows)} windows do not fit into an expression; "
-                "use assign_from_table with a window table"
+                "use a WindowTable"
             )
         end = 0
         for name, lo, hi in self.windows:

@@ -20,13 +20,15 @@ from eventpulse.functions.text import (
     SENTENCE_END, has_controls, longer_than_one, sentence_array, sql_list, sql_string, trim_blanks,
     word_array, words_sql,
 )
-from eventpulse.operators.windows import with_window_name
+from eventpulse.operators.windows import AnyCalendar, with_window_name
 
 LABELS = ("very negative", "negative", "neutral", "positive", "very positive")
 NEGATIVE = 1  # classes up to this one are negative
 
 # A word list of at most this many tokens is written into the plan.
 MAX_PLAN_TOKENS = 10_000
+# Each different weight is a comparison per word.
+MAX_PLAN_WEIGHTS = 32
 
 
 def split_sentences(
@@ -102,6 +104,8 @@ def compile_lexicon(
     for row in rows:
         if row.token is not None and row.weight is not None:
             weights[row.token] += row.weight
+    if len(set(weights.values())) > MAX_PLAN_WEIGHTS:
+        return None
     return Lexicon.of(weights)
 
 
@@ -133,7 +137,7 @@ def score_sentences(
     return rated.select(*sentences.columns, "_rate.score", "_rate.sentiment")
 
 
-def negatives(scored: DataFrame, calendar: Calendar = TOURNAMENT) -> DataFrame:
+def negatives(scored: DataFrame, calendar: AnyCalendar = TOURNAMENT) -> DataFrame:
     """Negative sentences worth writing out, with the name of their window."""
     found = scored.where((F.col("sentiment") <= NEGATIVE) & longer_than_one("sentence"))
     return with_window_name(found, calendar)
@@ -145,7 +149,7 @@ def negatives_per_window(scored: DataFrame) -> DataFrame:
     return found.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
-def windows_with_any(scored: DataFrame, calendar: Calendar = TOURNAMENT) -> DataFrame:
+def windows_with_any(scored: DataFrame, calendar: AnyCalendar = TOURNAMENT) -> DataFrame:
     """Windows with at least one negative sentence: ``bucket, name, sentences, negatives``."""
     marked = scored.select("bucket", (F.col("sentiment") <= NEGATIVE).alias("_negative"))
     per_window = marked.groupBy("bucket").agg(
@@ -159,16 +163,16 @@ def windows_with_any(scored: DataFrame, calendar: Calendar = TOURNAMENT) -> Data
 
 
 def keep_windows_with_any(
-    scored: DataFrame, calendar: Calendar | None = TOURNAMENT
+    scored: DataFrame, calendar: AnyCalendar = TOURNAMENT
 ) -> DataFrame:
     """All sentences of the windows that have a negative one.
 
-    The buckets of a calendar are few, so the list of hit windows is broadcast
-    and the sentences are not shuffled. ``None`` says that the buckets come from
-    a window table of any size and leaves the choice to Spark.
+    The buckets of a calendar in a plan are few, so the list of hit windows is broadcast and
+    the sentences are not shuffled. Those of a window table are left to Spark.
     """
     hit = scored.where(F.col("sentiment") <= NEGATIVE).select("bucket").distinct()
-    return scored.join(hit if calendar is None else F.broadcast(hit), "bucket", "left_semi")
+    few = isinstance(calendar, Calendar)
+    return scored.join(F.broadcast(hit) if few else hit, "bucket", "left_semi")
 
 
 def _score_by_join(sentences: DataFrame, lexicon: DataFrame, salts: int = 16) -> DataFrame:

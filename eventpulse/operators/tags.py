@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from eventpulse._columns import ColumnOrName, as_column
 from eventpulse.functions.share import linear_scale
@@ -56,15 +56,12 @@ def top_tags(counts: DataFrame, k: int = TOP_TAGS) -> DataFrame:
 
 
 def cloud_weights(
-    counts: DataFrame, k: int = TOP_TAGS, low: float = FONT_LOW, high: float = FONT_HIGH
+    counts: DataFrame, low: float = FONT_LOW, high: float = FONT_HIGH
 ) -> DataFrame:
-    """Font size ``weight`` of the k most frequent tags, linear in the count.
+    """Font size ``weight`` of every tag, linear in the count.
 
-    The window without partitions only ever sees the k rows of the top-k.
+    The bounds of the scale are one row, which every task gets.
     """
-    top = top_tags(counts, k)
-    everything = Window.partitionBy()
-    weight = linear_scale(
-        F.col("n"), F.min("n").over(everything), F.max("n").over(everything), low, high
-    )
-    return top.withColumn("weight", weight)
+    bounds = counts.agg(F.min("n").alias("_min"), F.max("n").alias("_max"))
+    weight = linear_scale(F.col("n"), F.col("_min"), F.col("_max"), low, high)
+    return counts.crossJoin(F.broadcast(bounds)).select(*counts.columns, weight.alias("weight"))

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from eventpulse._columns import ColumnOrName, as_column
-from eventpulse._skew import salted
-from eventpulse.calendars import TOURNAMENT, UNKNOWN_NAME, Calendar
+from eventpulse.calendars import (
+    BEFORE_NAME, OTHER_NAME, TOURNAMENT, UNKNOWN_NAME, Calendar,
+)
 from eventpulse.functions.time import event_millis
 
 HALF_OPEN = "half_open"
@@ -54,15 +56,65 @@ def bucket_sql(calendar: Calendar, millis: str, bounds: str = HALF_OPEN) -> str:
     return f"CASE WHEN {millis} IS NULL THEN {other} ELSE {tree(0, len(segments) - 1)} END"
 
 
+@dataclass(frozen=True)
+class WindowTable:
+    """A calendar of any size: disjoint windows as a table ``(bucket, name, lo_ms, hi_ms)``.
+
+    Bucket ids count from 0; the two after the largest are ``before`` and ``other``.
+    """
+
+    windows: DataFrame
+    base_ms: int
+    size: int
+    before_name: str = BEFORE_NAME
+    other_name: str = OTHER_NAME
+
+    @staticmethod
+    def of(windows: DataFrame, base_ms: int) -> WindowTable:
+        largest = windows.agg(F.max("bucket")).first()[0]
+        return WindowTable(windows, base_ms, 0 if largest is None else largest + 1)
+
+    @property
+    def before(self) -> int:
+        return self.size
+
+    @property
+    def other(self) -> int:
+        return self.size + 1
+
+
+AnyCalendar = Calendar | WindowTable
+
+
+def name_table(spark: SparkSession, calendar: AnyCalendar) -> DataFrame:
+    """``(bucket, name)``, one row per bucket."""
+    if isinstance(calendar, Calendar):
+        return calendar_table(spark, calendar).select("bucket", "name")
+    rest = F.array(*[
+        F.struct(F.lit(b).alias("bucket"), F.lit(n).alias("name"))
+        for b, n in ((calendar.before, calendar.before_name), (calendar.other, calendar.other_name))
+    ])
+    return calendar.windows.select(F.col("bucket").cast("int").alias("bucket"), "name").unionByName(
+        spark.range(1, numPartitions=1).select(F.inline(rest))
+    )
+
+
 def with_bucket(
     posts: DataFrame,
-    calendar: Calendar = TOURNAMENT,
+    calendar: AnyCalendar = TOURNAMENT,
     *,
     time: str = "timestamp_ms",
     bounds: str = HALF_OPEN,
     drop_bad_time: bool = False,
 ) -> DataFrame:
     """Add ``bucket``; posts without a usable time go to ``other`` or are dropped."""
+    if isinstance(calendar, WindowTable):
+        if drop_bad_time:
+            posts = posts.where(event_millis(time).isNotNull())
+        return assign_from_table(
+            posts, calendar.windows, base_ms=calendar.base_ms, before=calendar.before,
+            other=calendar.other, time=time, bounds=bounds,
+        )
     # Parsed once in its own projection; the tree reads the parsed column.
     posts = posts.withColumn("_millis", event_millis(time))
     if drop_bad_time:
@@ -79,7 +131,7 @@ def rebased(
 
 def count_per_window(
     posts: DataFrame,
-    calendar: Calendar = TOURNAMENT,
+    calendar: AnyCalendar = TOURNAMENT,
     *,
     time: str = "timestamp_ms",
     bounds: str = HALF_OPEN,
@@ -104,8 +156,12 @@ def bucket_of_file(name: ColumnOrName) -> Column:
 
 
 def with_window_name(
-    table: DataFrame, calendar: Calendar = TOURNAMENT, bucket: str = "bucket"
+    table: DataFrame, calendar: AnyCalendar = TOURNAMENT, bucket: str = "bucket"
 ) -> DataFrame:
+    if isinstance(calendar, WindowTable):
+        names = name_table(table.sparkSession, calendar).withColumnRenamed("bucket", "_bucket")
+        joined = table.join(names, F.col(f"`{bucket}`") == F.col("_bucket"), "left").drop("_bucket")
+        return joined.withColumn("name", F.coalesce("name", F.lit(UNKNOWN_NAME)))
     return table.withColumn("name", window_name(bucket, calendar))
 
 
@@ -160,54 +216,71 @@ def assign_from_table(
     before: int,
     other: int,
     time: str = "timestamp_ms",
+    bounds: str = HALF_OPEN,
     max_broadcast_cells: int = MAX_BROADCAST_CELLS,
-    salts: int = 16,
 ) -> DataFrame:
     """As :func:`with_bucket` for a window table ``(bucket, lo_ms, hi_ms)`` of any size.
 
-    The point-in-interval lookup becomes an equi-join on time cells, then the
-    bounds are checked: one join for every power of two among the lengths of the
-    windows, with cells of that width. A window then lies in at most two cells
-    and, as windows are disjoint, a cell has at most three, however unequal the
-    lengths are. A table within the bound is broadcast; a larger one is shuffled,
-    with the posts of a busy cell spread over ``salts`` partitions.
+    The point-in-interval lookup becomes an equi-join on time cells, then the bounds are checked:
+    for every power of two among the lengths of the windows there are cells of that width. A
+    window lies in at most two of them and, as windows are disjoint, a cell has at most three,
+    however unequal the lengths are. A table within the bound is broadcast, a width at a time.
+    Beyond it, the distinct times are joined to the cells of all widths at once and the posts to
+    what was found, so the posts are shuffled once, whatever the lengths.
     """
     offset = event_millis(time) - F.lit(base_ms)
     missing = F.when(F.col("_z") < 0, F.lit(before)).otherwise(F.lit(other))
-    found = posts.withColumn("_z", offset).withColumn("_bucket", F.lit(None).cast("int"))
     sized = windows.select("bucket", "lo_ms", "hi_ms", _cell_of_length().alias("_width"))
     # At most 63 rows, one per power of two.
     widths = dict(map(tuple, sized.groupBy("_width").count().collect()))
-    small = 2 * sum(widths.values()) <= max_broadcast_cells
-    for width in sorted(widths):
-        same = sized.where(F.col("_width") == width).drop("_width")
-        found = _look_up(found, same, width, small, salts)
+    placed = posts.withColumn("_z", offset)
+    if 2 * sum(widths.values()) <= max_broadcast_cells:
+        found = placed.withColumn("_bucket", F.lit(None).cast("int"))
+        for width in sorted(widths):
+            same = sized.where(F.col("_width") == width).drop("_width")
+            found = _look_up(found, same, width, bounds)
+    else:
+        found = placed.join(_buckets_of_times(placed, sized, sorted(widths), bounds), "_z", "left")
     bucket = F.coalesce(F.col("_bucket"), missing).cast("int")
     return found.withColumn("bucket", bucket).select(*posts.columns, "bucket")
 
 
-def _look_up(
-    posts: DataFrame, windows: DataFrame, cell: int, small: bool, salts: int
-) -> DataFrame:
+def _inside(time: str, lo: str, hi: str, bounds: str) -> Column:
+    z = F.col(time)
+    return (z > F.col(lo) if bounds == OPEN else z >= F.col(lo)) & (z < F.col(hi))
+
+
+def _look_up(posts: DataFrame, windows: DataFrame, cell: int, bounds: str) -> DataFrame:
     """Fill ``_bucket`` where ``_z`` lies in one of the windows, none longer than a cell."""
     kept = [F.col(f"p.`{c}`") for c in posts.columns if c != "_bucket"]
     left = posts.withColumn("_cell", _cell_start(F.col("_z"), cell))
-    right = _in_cells(windows, cell)
-    on = (
-        (F.col("p._cell") == F.col("w._cell"))
-        & (F.col("p._z") >= F.col("w.lo_ms"))
-        & (F.col("p._z") < F.col("w.hi_ms"))
-    )
-    if small:
-        right = F.broadcast(right)
-    else:
-        left, right = salted(left, right, salts)
-        on = on & (F.col("p._salt") == F.col("w._salt"))
+    right = F.broadcast(_in_cells(windows, cell))
+    on = (F.col("p._cell") == F.col("w._cell")) & _inside("p._z", "w.lo_ms", "w.hi_ms", bounds)
     joined = left.alias("p").join(right.alias("w"), on, "left")
     bucket = F.coalesce(F.col("p._bucket"), F.col("w.bucket")).alias("_bucket")
     return joined.select(*kept, bucket)
 
 
+def _buckets_of_times(
+    placed: DataFrame, sized: DataFrame, widths: list[int], bounds: str
+) -> DataFrame:
+    """``(_z, _bucket)`` of every distinct time that lies in a window."""
+    times = placed.select("_z").where("_z is not null").distinct()
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(w).cast("bigint").alias("width"), _cell_start(F.col("_z"), w).alias("cell"))
+        for w in widths
+    ]))
+    left = times.select("_z", cells.alias("c"))
+    first = F.expr("lo_ms - pmod(lo_ms, _width)")
+    last = F.expr("hi_ms - 1 - pmod(hi_ms - 1, _width)")
+    right = sized.withColumn("_cell", F.explode(F.sequence(first, last, F.col("_width"))))
+    on = (
+        (F.col("c.width") == F.col("w._width")) & (F.col("c.cell") == F.col("w._cell"))
+        & _inside("_z", "w.lo_ms", "w.hi_ms", bounds)
+    )
+    return left.join(right.alias("w"), on).select("_z", F.col("w.bucket").alias("_bucket"))
+
+
 def _cell_of_length() -> Column:
     """The smallest power of two that is no less than the length of a window."""
     length = F.col("hi_ms") - F.col("lo_ms")
@@ -234,7 +307,7 @@ def _in_cells(windows: DataFrame, cell: int) -> DataFrame:
 
 
 __all__ = [
-    "HALF_OPEN", "OPEN", "assign_from_table", "bucket_of_file", "bucket_sql", "calendar_table",
-    "count_per_window", "overlapping_windows", "rebased", "window_name",
+    "AnyCalendar", "HALF_OPEN", "OPEN", "WindowTable", "assign_from_table", "bucket_of_file", "bucket_sql", "calendar_table",
+    "count_per_window", "name_table", "overlapping_windows", "rebased", "window_name",
     "with_bucket", "with_window_name",
 ]

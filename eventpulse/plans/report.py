@@ -10,11 +10,13 @@ from eventpulse.functions.time import event_millis
 from eventpulse.operators.sentiment import (
     NEGATIVE, Lexicon, compile_lexicon, score_sentences, split_sentences,
 )
-from eventpulse.operators.tags import FONT_HIGH, FONT_LOW, TOP_TAGS, cloud_weights, tag_counts
+from eventpulse.operators.tags import FONT_HIGH, FONT_LOW, cloud_weights, tag_counts
 from eventpulse.operators.terms import (
     LIKE, PER_POST, TermSet, compile_terms, drop_copies, flag_posts,
 )
-from eventpulse.operators.windows import HALF_OPEN, bucket_sql, window_name, with_bucket
+from eventpulse.operators.windows import (
+    HALF_OPEN, AnyCalendar, bucket_sql, name_table, with_bucket,
+)
 
 # Fixed value: the line format of the report.
 REPORT_LINE = (
@@ -26,7 +28,7 @@ def report(
     posts: DataFrame,
     flagged: DataFrame,
     scored: DataFrame,
-    calendar: Calendar = TOURNAMENT,
+    calendar: AnyCalendar = TOURNAMENT,
 ) -> DataFrame:
     """One row per bucket of the calendar: all, flagged, negative, share flagged.
 
@@ -77,8 +79,24 @@ def tally(
     return keys.groupBy(*keys.columns).agg(F.count(F.lit(1)).alias("n"))
 
 
+def tally_of_parts(posts: DataFrame, flagged: DataFrame) -> DataFrame:
+    """A :func:`tally` from bucketed posts and the flagged ones without copies, for lists and
+    calendars of any size: counts of all posts, beside flagged posts that count none."""
+    nothing = F.lit(None).cast("string")
+    counts = posts.groupBy(F.col("bucket").alias("all_bucket")).agg(F.count(F.lit(1)).alias("n"))
+    totals = counts.select(
+        "all_bucket", F.lit(None).cast("int").alias("bucket"), nothing.alias("text"),
+        F.lit(None).cast(flagged.schema["timestamp_ms"].dataType).alias("timestamp_ms"), "n",
+    )
+    hits = flagged.select(
+        F.col("bucket").alias("all_bucket"), "bucket", "text", "timestamp_ms",
+        F.lit(0).cast("bigint").alias("n"),
+    )
+    return totals.unionByName(hits)
+
+
 def report_of_tally(
-    tallied: DataFrame, lexicon: Lexicon, calendar: Calendar = TOURNAMENT
+    tallied: DataFrame, lexicon: Lexicon, calendar: AnyCalendar = TOURNAMENT
 ) -> DataFrame:
     """The report from a :func:`tally`, row by row up to the sums per bucket."""
     zero = F.lit(0).cast("bigint")
@@ -101,22 +119,23 @@ def report_of_tally(
     return _summed(rows, calendar)
 
 
-def _summed(rows: DataFrame, calendar: Calendar) -> DataFrame:
+def _summed(rows: DataFrame, calendar: AnyCalendar) -> DataFrame:
     """Sums per bucket of ``all_posts, flagged_posts, negative_sentences``, with name and share."""
-    buckets = rows.sparkSession.range(len(calendar.names), numPartitions=1)
     zero = F.lit(0).cast("bigint")
-    empty = buckets.select(
-        F.col("id").cast("int").alias("bucket"), zero.alias("all_posts"),
-        zero.alias("flagged_posts"), zero.alias("negative_sentences"),
+    empty = name_table(rows.sparkSession, calendar).select(
+        "bucket", zero.alias("all_posts"), zero.alias("flagged_posts"),
+        zero.alias("negative_sentences"), "name",
     )
+    rows = rows.withColumn("name", F.lit(None).cast("string"))
     sums = empty.unionByName(rows).groupBy("bucket").agg(
+        F.max("name").alias("name"),
         F.sum("flagged_posts").alias("flagged_posts"),
         F.sum("negative_sentences").alias("negative_sentences"),
         F.sum("all_posts").alias("all_posts"),
     )
     return sums.select(
         "bucket",
-        window_name("bucket", calendar).alias("name"),
+        "name",
         "flagged_posts",
         "negative_sentences",
         "all_posts",
@@ -133,7 +152,7 @@ def report_lines(table: DataFrame) -> DataFrame:
 
 
 def flagged_in_windows(
-    posts: DataFrame, terms: DataFrame, calendar: Calendar = TOURNAMENT, *, mode: str = LIKE
+    posts: DataFrame, terms: DataFrame, calendar: AnyCalendar = TOURNAMENT, *, mode: str = LIKE
 ) -> DataFrame:
     """Flagged posts without copies and without unusable times: ``text, timestamp_ms, bucket``."""
     flagged = drop_copies(flag_posts(posts, terms, mode=mode))
@@ -149,7 +168,7 @@ def window_report(
     posts: DataFrame,
     terms: DataFrame,
     lexicon: DataFrame,
-    calendar: Calendar = TOURNAMENT,
+    calendar: AnyCalendar = TOURNAMENT,
     *,
     mode: str = LIKE,
     bounds: str = HALF_OPEN,
@@ -162,10 +181,10 @@ def window_report(
     Where every reading of the posts is costly, as they are JSON or come out of a
     join, ``one_pass`` goes through a :func:`tally`: one scan, one grouping that
     counts all posts and drops the copies, and sentences rated where it ends. A
-    filter or word list too large for a plan is done in two all the same.
+    filter list, word list or calendar too large for a plan is done in two all the same.
     ``bounds="open"`` applies to the totals only.
     """
-    if one_pass:
+    if one_pass and isinstance(calendar, Calendar):
         compiled, rated = compile_terms(terms, mode=mode), compile_lexicon(lexicon)
         if compiled is not None and rated is not None:
             tallied = tally(posts, compiled, calendar, bounds=bounds)
@@ -180,10 +199,10 @@ def window_report(
 
 
 def tag_cloud(
-    posts: DataFrame, k: int = TOP_TAGS, low: float = FONT_LOW, high: float = FONT_HIGH
+    posts: DataFrame, low: float = FONT_LOW, high: float = FONT_HIGH
 ) -> DataFrame:
-    """Weights of the most frequent tags of all posts."""
-    return cloud_weights(tag_counts(posts), k, low, high)
+    """Weights of the tags of all posts."""
+    return cloud_weights(tag_counts(posts), low, high)
 
 
 def flagged_tag_counts(
@@ -197,13 +216,12 @@ def flagged_tag_counts(
 def flagged_tag_cloud(
     posts: DataFrame,
     terms: DataFrame,
-    k: int = TOP_TAGS,
     low: float = FONT_LOW,
     high: float = FONT_HIGH,
     *,
     multiplicity: str = PER_POST,
     mode: str = LIKE,
 ) -> DataFrame:
-    """Weights of the most frequent tags of the flagged posts."""
+    """Weights of the tags of the flagged posts."""
     counts = flagged_tag_counts(posts, terms, multiplicity=multiplicity, mode=mode)
-    return cloud_weights(counts, k, low, high)
+    return cloud_weights(counts, low, high)

@@ -9,10 +9,10 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
 from eventpulse._session import shared_folder
-from eventpulse.calendars import TOURNAMENT, Calendar
+from eventpulse.calendars import TOURNAMENT
 from eventpulse.functions.time import event_millis
 from eventpulse.operators.terms import LIKE, compile_terms, flag_posts
-from eventpulse.operators.windows import HALF_OPEN, count_per_window
+from eventpulse.operators.windows import HALF_OPEN, AnyCalendar, count_per_window
 from eventpulse.schemas import TWEET
 
 
@@ -42,7 +42,7 @@ def stream_files(
 
 
 def running_counts(
-    posts: DataFrame, calendar: Calendar = TOURNAMENT, *, time: str = "timestamp_ms",
+    posts: DataFrame, calendar: AnyCalendar = TOURNAMENT, *, time: str = "timestamp_ms",
     bounds: str = HALF_OPEN,
 ) -> DataFrame:
     """Count per window over all files so far; the state has one row per bucket."""
@@ -61,22 +61,23 @@ def flag_stream(
 
     With ``copies_within``, such as ``"1 hour"``, exact copies arriving within that
     span of event time are dropped. The span is also the watermark: a post later
-    than that, or without a usable time, is dropped by the state. A list that
-    does not fit into a plan goes through :func:`flag_batches`.
+    than that is dropped by the state; one without a usable time goes past it, copies
+    and all. A list that does not fit into a plan has to be joined, batch by batch:
+    :func:`run_flagged` takes a list of any size.
     """
     compiled = compile_terms(terms, mode=mode)
     if compiled is None:
-        raise ValueError("the filter list is too large for a plan; use flag_batches")
+        raise ValueError("the filter list is too large for a plan; use run_flagged")
     flagged = posts.where(compiled.found_in("text"))
     if copies_within is None:
         return flagged
     timed = flagged.withColumn("event_time", F.timestamp_millis(event_millis(time)))
-    return (
+    distinct = (
         timed.where("event_time is not null")
         .withWatermark("event_time", copies_within)
         .dropDuplicatesWithinWatermark(["text", time])
-        .drop("event_time")
     )
+    return distinct.unionByName(timed.where("event_time is null")).drop("event_time")
 
 
 def flag_batches(
@@ -100,22 +101,48 @@ def flag_batches(
     )
 
 
+def run_flagged(
+    posts: DataFrame, terms: DataFrame, path: str | None = None, *, mode: str = LIKE
+) -> DataFrame:
+    """Flag a stream over all files present into a table, and read that table.
+
+    The list may have any size. Beyond a plan, each batch replaces its own folder,
+    so one that is repeated after a failure is not doubled.
+    """
+    spark = posts.sparkSession
+    if compile_terms(terms, mode=mode) is not None:
+        return run_to_parquet(flag_stream(posts, terms, mode=mode), path)
+    path = path or shared_folder(spark, "rows")
+    empty = spark.createDataFrame([], posts.schema)
+    empty.write.mode("overwrite").parquet(f"{path}/batch=-1")
+
+    def write(flagged: DataFrame, batch_id: int) -> None:
+        flagged.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    flag_batches(posts, terms, write, shared_folder(spark, "progress"), mode=mode).awaitTermination()
+    return spark.read.parquet(path).select(*posts.columns)
+
+
 def run_counts(counts: DataFrame) -> DataFrame:
     """Run a counting stream over all files present and give the final counts.
 
-    The result is at most one row per window, so a memory table holds it.
+    Each batch replaces the table of counts in the shared folder.
     """
     spark = counts.sparkSession
-    checkpoint = shared_folder(spark, "counts")
-    name = "counts_" + checkpoint.rsplit("-", 1)[-1]
+    path = shared_folder(spark, "counts")
+    spark.createDataFrame([], counts.schema).write.parquet(path)
+
+    def write(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
     query = (
-        counts.writeStream.format("memory").queryName(name).outputMode("complete")
-        .option("checkpointLocation", checkpoint)
+        counts.writeStream.foreachBatch(write).outputMode("complete")
+        .option("checkpointLocation", shared_folder(spark, "progress"))
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.table(name)
+    return spark.read.schema(counts.schema).parquet(path)
 
 
 def run_to_parquet(rows: DataFrame, path: str | None = None) -> DataFrame:

@@ -96,11 +96,11 @@ def test_hot_sentence_and_hot_word(spark, posts):
     assert got == {1: ROWS - ROWS // 3, -2: ROWS // 3}
 
 
-def test_hot_window_is_spread_by_salt(spark, posts):
+def test_hot_window_is_spread_by_time(spark, posts):
     windows = calendar_table(spark).where("bucket < 45")
     with small_thresholds(spark):
         assigned = assign_from_table(
-            posts, windows, base_ms=0, before=45, other=46, max_broadcast_cells=0, salts=8
+            posts, windows, base_ms=0, before=45, other=46, max_broadcast_cells=0
         )
         assert {r.bucket for r in assigned.select("bucket").distinct().collect()} == {0}
         used = assigned.select(F.spark_partition_id().alias("p")).distinct().count()

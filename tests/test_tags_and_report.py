@@ -59,8 +59,12 @@ def test_merging_equals_counting_all_posts(spark):
 def test_top_and_weights(spark):
     counts = counts_of(spark, a=10, b=30, c=20, d=20, e=1)
     assert [r.tag for r in top_tags(counts, 3).collect()] == ["b", "c", "d"]
-    got = {r.tag: r.weight for r in cloud_weights(counts, 4).collect()}
-    assert got == {"b": 50.0, "c": 35.0, "d": 35.0, "a": 20.0}
+    got = {r.tag: r.weight for r in cloud_weights(counts).collect()}
+    assert got == {
+        "b": 50.0, "c": 20 + 19 * 30.0 / 29, "d": 20 + 19 * 30.0 / 29, "a": 20 + 9 * 30.0 / 29, "e": 20.0
+    }
+    many = spark.range(150).selectExpr("cast(id AS string) AS tag", "id + 1 AS n")
+    assert cloud_weights(many).count() == 150
     assert [r.weight for r in cloud_weights(counts_of(spark, a=1, b=1)).collect()] == [50.0, 50.0]
     assert cloud_weights(counts_of(spark, a=1).where("false")).count() == 0
 
@@ -132,7 +136,7 @@ def test_flagged_tags(spark, terms_of):
     per_term = flagged_tag_counts(posts, terms, multiplicity=PER_TERM)
     assert as_dict(per_term) == {"x": 5, "y": 2}
     assert as_dict(flagged_tag_cloud(posts, terms)) == {"x": 4, "y": 2}
-    assert as_dict(tag_cloud(posts, k=1)) == {"x": 4}
+    assert as_dict(tag_cloud(posts)) == as_dict(tag_counts(posts))
 
 
 def test_hot_tag_is_combined_before_the_shuffle(spark):

@@ -113,7 +113,7 @@ def test_window_table_equals_calendar(spark, limit):
     )
     windows = calendar_table(spark).where("bucket < 45")
     got = assign_from_table(
-        times, windows, base_ms=BASE, before=45, other=46, max_broadcast_cells=limit, salts=3
+        times, windows, base_ms=BASE, before=45, other=46, max_broadcast_cells=limit
     )
     assert sorted(map(str, got.collect())) == sorted(map(str, with_bucket(times).collect()))
 
@@ -126,7 +126,7 @@ def test_windows_of_very_unequal_length(spark, limit):
     times = [*range(-2, 620), 999, 1000, 65_536, 999_999, 1_000_000]
     posts = spark.createDataFrame([(t,) for t in times], "timestamp_ms bigint")
     got = assign_from_table(
-        posts, windows, base_ms=0, before=300, other=301, max_broadcast_cells=limit, salts=3
+        posts, windows, base_ms=0, before=300, other=301, max_broadcast_cells=limit
     )
     want = {
         t: next((b for b, lo, hi in bounds if lo <= t < hi), 300 if t < 0 else 301) for t in times
