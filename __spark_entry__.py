@@ -1,8 +1,8 @@
 """Queries over the driver tables, and the SQL they are checked against.
 
 ``documents`` are the posts; the event with five times the id of a document
-gives it its time. There are no tags in the texts, so the first three words of a
-text stand for them. The calendar is moved so that the events fall into it.
+gives it its time. There are no tags in the texts, so all words of a text stand
+for them. The calendar is moved so that the events fall into it.
 """
 
 from __future__ import annotations
@@ -12,11 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import eventpulse as ep
+from eventpulse._session import shared_folder
 from eventpulse.functions.time import millis_of_ntz
 from eventpulse.operators.terms import PER_TERM
 from eventpulse.operators.windows import OPEN
+from eventpulse.sources.readers import (
+    posts_of_tweets, read_annotated, read_posts, read_tag_counts, read_tweets,
+)
+from eventpulse.sources.writers import (
+    write_annotated, write_by_window, write_chunks, write_json, write_tag_counts,
+)
 from eventpulse.streaming.intake import (
-    flag_stream, run_counts, run_to_parquet, running_counts, stream_files,
+    flag_stream, run_counts, run_flagged, run_to_parquet, running_counts, stream_files,
 )
 
 BASE_MS = 1704133800000  # 2024-01-01 18:30 UTC
@@ -37,15 +44,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def first_words(text: str) -> Column:
-    """The three words that stand for tags; what follows them is left in one piece."""
-    return F.slice(F.split(text, " ", 4), 1, 3)
+def all_words(text: str) -> Column:
+    """The words that stand for tags."""
+    return F.split(text, " ", -1)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as posts without a time."""
     return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("post_id"), "text", first_words("text").alias("tags")
+        F.col("doc_id").alias("post_id"), "text", all_words("text").alias("tags")
     )
 
 
@@ -58,12 +65,12 @@ def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the time of their event."""
     docs, times = documents(spark, sf_dir), event_times(spark, sf_dir)
-    joined = docs.join(times, F.col("event_id") == F.col("post_id") * 5)
+    joined = docs.join(times, F.col("event_id") == F.col("post_id") * 5, "left")
     return joined.select("post_id", "text", "timestamp_ms", "tags")
 
 
 def conversation_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    talks = table(spark, sf_dir, "conversations").select(first_words("text").alias("tags"))
+    talks = table(spark, sf_dir, "conversations").select(all_words("text").alias("tags"))
     return ep.tag_counts(talks)
 
 
@@ -87,11 +94,12 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- queries ------------------------------------------------------------------
 
 def posts_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ep.count_per_window(posts(spark, sf_dir), CALENDAR).orderBy("bucket")
+    return ep.count_per_window(event_times(spark, sf_dir), CALENDAR).orderBy("bucket")
 
 
 def posts_per_window_open(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ep.count_per_window(posts(spark, sf_dir), CALENDAR, bounds=OPEN).orderBy("bucket")
+    times = event_times(spark, sf_dir)
+    return ep.count_per_window(times, CALENDAR, bounds=OPEN).orderBy("bucket")
 
 
 def events_per_window_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +111,16 @@ def events_per_window_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assigned.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
+def events_per_window_by_table_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as if the window table were too large for a broadcast."""
+    windows = ep.calendar_table(spark, CALENDAR).where(F.col("bucket") < CALENDAR.before)
+    assigned = ep.assign_from_table(
+        event_times(spark, sf_dir), windows, base_ms=BASE_MS,
+        before=CALENDAR.before, other=CALENDAR.other, max_broadcast_cells=0,
+    )
+    return assigned.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
 def flag_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ep.drop_copies(ep.flag_posts(posts(spark, sf_dir), terms(spark)))
 
@@ -131,6 +149,21 @@ def flag_posts_long_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.groupBy("post_id").agg(F.count(F.lit(1)).alias("n_terms"))
 
 
+def conversation_wildcards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list of wildcard terms that grows with the data: longer words, one letter left open."""
+    words = table(spark, sf_dir, "conversations").select(F.explode(F.split("text", " ")).alias("w"))
+    plain = words.where(F.col("w").rlike("^[A-Za-z]{4,}$")).distinct()
+    return plain.select(F.expr("concat(left(w, 1), '_', substring(w, 3))").alias("term")).distinct()
+
+
+def flag_posts_wildcards_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = ep.flag_posts(
+        documents(spark, sf_dir).select("post_id", "text"), conversation_wildcards(spark, sf_dir),
+        multiplicity=PER_TERM,
+    )
+    return pairs.groupBy("post_id").agg(F.count(F.lit(1)).alias("n_terms"))
+
+
 def flagged_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     flags = ep.drop_copies(ep.flag_posts(posts(spark, sf_dir), terms(spark)))
     return ep.count_per_window(flags, CALENDAR, drop_bad_time=True)
@@ -153,8 +186,9 @@ def sentence_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sentence_sentiment_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
     model = ep.fit_negative(labelled.select("text", F.col("toxic").alias("negative")))
+    known = F.col("probability").between(0.0, 1.0) & F.col("sentiment").isin(1, 2)
     return ep.classify(model, sentences(spark, sf_dir)).select(
-        "post_id", "pos", "probability", "sentiment"
+        "post_id", "pos", known.alias("rated")
     )
 
 
@@ -182,6 +216,17 @@ def window_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def window_report_two_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ep.window_report(posts(spark, sf_dir), terms(spark), lexicon(spark), CALENDAR)
+
+
+def window_report_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a calendar that is a table, and so may have any size."""
+    windows = ep.calendar_table(spark, CALENDAR).where(F.col("bucket") < CALENDAR.before)
+    calendar = ep.WindowTable.of(windows, BASE_MS)
+    return ep.window_report(posts(spark, sf_dir), terms(spark), lexicon(spark), calendar)
+
+
 def window_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ep.report_lines(window_report(spark, sf_dir))
 
@@ -248,6 +293,65 @@ def flag_posts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_to_parquet(flag_stream(arriving, terms(spark)))
 
 
+def flag_posts_stream_long_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream and a list beyond what fits into a plan."""
+    schema = table(spark, sf_dir, "documents").select("doc_id", "text").schema
+    arriving = stream_files(spark, f"{sf_dir}/documents*.parquet", schema, format="parquet")
+    return run_flagged(arriving, conversation_wildcards(spark, sf_dir)).select("doc_id")
+
+
+def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts in the nested shape in which they come as JSON."""
+    hashtags = F.transform("tags", lambda t: F.struct(t.alias("text")))
+    return posts(spark, sf_dir).select(
+        F.col("timestamp_ms").cast("string").alias("timestamp_ms"),
+        F.struct(
+            F.col("text").alias("full_text"), F.struct(hashtags.alias("hashtags")).alias("entities")
+        ).alias("extended_tweet"),
+    )
+
+
+def json_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "tweets")
+    write_json(tweets(spark, sf_dir), path)
+    return read_posts(spark, path)
+
+
+def json_posts_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ep.drop_copies(ep.flag_posts(json_posts(spark, sf_dir), terms(spark)))
+
+
+def json_tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ep.tag_counts(json_posts(spark, sf_dir))
+
+
+def chunks_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "chunks")
+    write_chunks(tweets(spark, sf_dir), path, records=100)
+    return posts_of_tweets(read_tweets(spark, path)).select("text", "timestamp_ms")
+
+
+def routed_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagged posts in a folder per window, and read from there."""
+    path = shared_folder(spark, "routed")
+    write_by_window(flagged(spark, sf_dir), path)
+    return spark.read.text(path).select("bucket", F.col("value").alias("line"))
+
+
+def tag_file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "tags")
+    write_tag_counts(tag_counts(spark, sf_dir), path)
+    return read_tag_counts(spark, path, broken_lines=True)
+
+
+def annotated_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored sentences as annotated text, and the negative ones of it by their label."""
+    path = shared_folder(spark, "annotated")
+    write_annotated(scored(spark, sf_dir), path)
+    read = read_annotated(spark, path).where(F.contains(F.lower("label"), F.lit("negative")))
+    return read.select("bucket", "label", "sentence")
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     posts_per_window, posts_per_window_open, events_per_window_by_table, flag_posts,
     flag_posts_per_term, flag_posts_wildcards, flag_posts_long_list, flagged_per_window,
@@ -256,7 +360,10 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     negative_per_window, window_report, window_report_lines, window_names, tag_counts, top_tags,
     tag_counts_merged, tags_only_new, tags_in_both, tags_with_counterpart, flagged_tag_counts,
     flagged_tag_counts_per_term, tag_cloud_weights, flagged_tag_cloud_weights,
-    posts_per_window_stream, flag_posts_stream,
+    posts_per_window_stream, flag_posts_stream, events_per_window_by_table_shuffled,
+    flag_posts_wildcards_long, window_report_two_pass, window_report_by_table,
+    flag_posts_stream_long_list, json_posts_flagged, json_tag_counts, chunks_round_trip,
+    routed_round_trip, tag_file_round_trip, annotated_round_trip,
 )
 
 
@@ -313,9 +420,9 @@ _BASE = f"""
     terms(term) AS (VALUES {_rows(*[(t,) for t in TERMS])}),
     lexicon(token, weight) AS (VALUES {_rows(*LEXICON.items())}),
     times AS (SELECT event_id, epoch_us(ts) // 1000 AS timestamp_ms FROM events),
-    docs AS (SELECT doc_id AS post_id, text, string_split(text, ' ')[1:3] AS tags FROM documents),
+    docs AS (SELECT doc_id AS post_id, text, string_split(text, ' ') AS tags FROM documents),
     posts AS (SELECT d.post_id, d.text, t.timestamp_ms, d.tags
-              FROM docs d JOIN times t ON t.event_id = d.post_id * 5)"""
+              FROM docs d LEFT JOIN times t ON t.event_id = d.post_id * 5)"""
 
 _FLAGGED = """
     flags AS (SELECT DISTINCT p.text, p.timestamp_ms FROM posts p JOIN terms t
@@ -378,13 +485,13 @@ def _tag_counts(name: str, source: str) -> str:
 
 _TAGS = ",".join((
     _tag_counts("doc_tags", "docs"),
-    "talks AS (SELECT string_split(text, ' ')[1:3] AS tags FROM conversations)",
+    "talks AS (SELECT string_split(text, ' ') AS tags FROM conversations)",
     _tag_counts("talk_tags", "talks"),
 ))
 
 
 def _cloud(counts: str) -> str:
-    return f"""top AS (SELECT tag, n FROM {counts} ORDER BY n DESC, tag LIMIT 100),
+    return f"""top AS (SELECT tag, n FROM {counts}),
     span AS (SELECT min(n) AS lo, max(n) AS hi FROM top)"""
 
 
@@ -393,6 +500,10 @@ _CLOUD_SELECT = """
       ELSE 20.0::DOUBLE + (n - lo)::DOUBLE * 30.0::DOUBLE / (hi - lo)::DOUBLE END AS weight
     FROM top, span"""
 
+_OPEN = """open AS (SELECT DISTINCT w[1:1] || '_' || w[3:] AS term FROM (
+      SELECT unnest(string_split(text, ' ')) AS w FROM conversations)
+      WHERE regexp_full_match(w, '[A-Za-z]{4,}'))"""
+
 _HITS = """hits AS (SELECT d.*, t.term FROM docs d JOIN terms t
       ON d.text LIKE '% ' || t.term || ' %'),
     hit_docs AS (SELECT DISTINCT post_id, tags FROM hits)"""
@@ -405,8 +516,9 @@ def oracle_sql() -> dict[str, str]:
     per_bucket = "SELECT bucket, count(*) AS n FROM {} GROUP BY bucket"
     wild = f"wild(term) AS (VALUES {_rows(*[(t,) for t in WILD_TERMS])})"
     own = {
-        "posts_per_window": with_(per_bucket.format("b"), _bucketed("b", "posts")),
-        "posts_per_window_open": with_(per_bucket.format("b"), _bucketed("b", "posts", ">")),
+        "posts_per_window": with_(per_bucket.format("b"), _bucketed("b", "times")),
+        "posts_per_window_open": with_(per_bucket.format("b"), _bucketed("b", "times", ">")),
+        "events_per_window_by_table_shuffled": with_(per_bucket.format("b"), _bucketed("b", "times")),
         "events_per_window_by_table": with_(per_bucket.format("b"), _bucketed("b", "times")),
         "posts_per_window_stream": with_(per_bucket.format("b"), _bucketed("b", "times")),
         "flag_posts": with_("SELECT text, timestamp_ms FROM flags", _FLAGGED),
@@ -424,6 +536,33 @@ def oracle_sql() -> dict[str, str]:
             "GROUP BY post_id",
             "inner_words AS (SELECT post_id, unnest(string_split(text, ' ')[2:-2]) AS word FROM docs)",
         ),
+        "flag_posts_wildcards_long": with_(
+            "SELECT d.post_id, count(*) AS n_terms FROM docs d JOIN open t "
+            "ON d.text LIKE '% ' || t.term || ' %' GROUP BY d.post_id", _OPEN,
+        ),
+        "flag_posts_stream_long_list": with_(
+            "SELECT d.post_id AS doc_id FROM docs d WHERE EXISTS "
+            "(SELECT 1 FROM open t WHERE d.text LIKE '% ' || t.term || ' %')", _OPEN,
+        ),
+        "json_posts_flagged": with_(
+            "SELECT text, CAST(timestamp_ms AS VARCHAR) AS timestamp_ms FROM flags", _FLAGGED
+        ),
+        "json_tag_counts": with_("SELECT tag, n FROM doc_tags", _TAGS),
+        "tag_file_round_trip": with_("SELECT tag, n FROM doc_tags", _TAGS),
+        "chunks_round_trip": with_(
+            "SELECT text, CAST(timestamp_ms AS VARCHAR) AS timestamp_ms FROM posts"
+        ),
+        "routed_round_trip": with_(
+            "SELECT bucket, replace(replace(text, chr(13), '\\r'), chr(10), '\\n') AS line FROM flagged",
+            _FLAGGED, _bucketed("flagged", "flags"),
+        ),
+        "annotated_round_trip": with_(
+            "SELECT bucket, CASE sentiment WHEN 0 THEN 'very negative' ELSE 'negative' END AS label, "
+            "sentence FROM scored WHERE sentiment <= 1", _SCORED,
+        ),
+        "sentence_sentiment_model": with_(
+            "SELECT post_id, pos, true AS rated FROM s", _sentences("s", "docs", "post_id", _LONG)
+        ),
         "flag_posts_stream": with_(
             "SELECT DISTINCT d.post_id AS doc_id, d.text FROM docs d JOIN terms t "
             "ON d.text LIKE '% ' || t.term || ' %'"
@@ -459,6 +598,8 @@ def oracle_sql() -> dict[str, str]:
             "SELECT bucket, count(*) AS n FROM scored WHERE sentiment <= 1 GROUP BY bucket", _SCORED
         ),
         "window_report": with_("SELECT * FROM report", _REPORT),
+        "window_report_two_pass": with_("SELECT * FROM report", _REPORT),
+        "window_report_by_table": with_("SELECT * FROM report", _REPORT),
         "window_report_lines": with_(
             "SELECT bucket, name || chr(9) || ' hate tweets:' || flagged_posts || chr(9) || "
             "' sentiment hate tweets: ' || negative_sentences || chr(9) || ' all tweets:' || "

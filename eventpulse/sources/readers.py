@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from eventpulse.operators.windows import bucket_of_file
 from eventpulse.schemas import TWEET
 
 
@@ -60,9 +61,35 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).text(path)
 
 
-def read_tag_counts(spark: SparkSession, path: str) -> DataFrame:
-    """``(tag, n)`` from ``count:tag`` lines; all part files are one table."""
-    table = spark.read.schema("n BIGINT, tag STRING").option("sep", ":").csv(path)
+# Fixed value: how annotated text gives a sentence, its label in the line before it.
+ANNOTATED = r"^\d+ \(\d+ tokens, sentiment: ([^)]*)\):\r?\n([^\n]*)"
+ANNOTATED_START = "Sentence #"
+
+
+def read_annotated(spark: SparkSession, path: str) -> DataFrame:
+    """``bucket, label, sentence`` of annotated text: a header line with the label, then the
+    sentence. Records without both are dropped.
+
+    The bucket is that of the folder (``bucket=7``), or else the one the file is named after
+    (``7.txt``), null where it is named otherwise.
+    """
+    records = spark.read.option("lineSep", ANNOTATED_START).text(path)
+    own = bucket_of_file("_metadata.file_name")
+    bucket = F.coalesce("bucket", own) if "bucket" in records.columns else own
+    return records.where(F.col("value").rlike(ANNOTATED)).select(
+        bucket.cast("int").alias("bucket"),
+        F.regexp_extract("value", ANNOTATED, 1).alias("label"),
+        F.trim(F.regexp_extract("value", ANNOTATED, 2)).alias("sentence"),
+    )
+
+
+def read_tag_counts(spark: SparkSession, path: str, *, broken_lines: bool = False) -> DataFrame:
+    """``(tag, n)`` from ``count:tag`` lines; all part files are one table.
+
+    With ``broken_lines``, quoted tags may hold line breaks; a file is then read by one task.
+    """
+    reader = spark.read.schema("n BIGINT, tag STRING").option("sep", ":")
+    table = reader.option("multiLine", broken_lines).csv(path)
     return table.select("tag", "n")
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from eventpulse.calendars import TOURNAMENT, Calendar
+from eventpulse.functions.text import word_array
+from eventpulse.operators.sentiment import sentiment_label
 from eventpulse.operators.windows import with_window_name
 from eventpulse.plans.report import report_lines
 
@@ -62,6 +64,15 @@ def write_negatives(
     _partitioned(named.select("sentence", "name"), "name").mode(mode).text(path)
 
 
+def write_annotated(scored: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Sentences with their labels as annotated text, one folder per ``bucket``."""
+    value = F.format_string(
+        "Sentence #%d (%d tokens, sentiment: %s):\n%s", F.col("pos") + 1,
+        F.size(word_array("sentence")), sentiment_label("sentiment"), F.col("sentence"),
+    )
+    _partitioned(scored.select(value.alias("value"), "bucket"), "bucket").mode(mode).text(path)
+
+
 def write_report(table: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The report as one text file; it has one row per window of the calendar."""
     lines = report_lines(table).coalesce(1).sortWithinPartitions("bucket")
