@@ -55,8 +55,9 @@ PLACEHOLDER = re.compile(
 THRESHOLD = 0.6
 
 _NAME = r"[A-Za-z_][A-Za-z0-9_]*(?:[.\-][A-Za-z_][A-Za-z0-9_]*)*"
+# A name begins where no name goes on, so that a long run of letters is tried once.
 _TARGET = re.compile(
-    rf"""(?:(?P<q>["'])(?P<quoted>{_NAME})(?P=q)|(?P<bare>{_NAME}))(?:\[[^\]\n]{{0,80}}\])?"""
+    rf"""(?<![A-Za-z0-9_])(?<![A-Za-z0-9_][.\-])(?:(?P<q>["'])(?P<quoted>{_NAME})(?P=q)|(?P<bare>{_NAME}))(?:\[[^\]\n]{{0,80}}\])?"""
     r"""[ \t]*(?::[ \t]*[A-Za-z_][\w.\[\]]{0,60}[ \t]*(?==))?(?:=>|:=|\+=|==|=|:(?!//))[ \t]*"""
 )
 _XML = re.compile(rf"<(?P<tag>{_NAME})>(?P<value>[^<>\n]{{1,4096}})</(?P=tag)>")
