@@ -26,12 +26,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventpulse.llm._common import col, saved
+from eventpulse.llm._common import broadcast_if_small, col, saved
 
 UNKNOWN = "und"
 # Bounds of what is fitted: labelled rows per language, and 4-grams in all, the most frequent.
 TRAIN_ROWS = 40_000
 MAX_GRAMS = 2_000_000
+# So many labels at most are broadcast with the hash at which their rows are cut.
+MAX_LANGUAGES = 10_000
 # Of the labelled rows, one in this many calibrates and is not counted.
 CALIBRATION = 8
 # A text is rejected this many standard deviations above the mean of its language.
@@ -246,7 +248,8 @@ def _sampled(rows: DataFrame, per_language: int) -> DataFrame:
         "sum(n) OVER (PARTITION BY lang ORDER BY _cell)"
     )).where(F.col("_upto") <= per_language)
     cut = upto.groupBy("lang").agg((F.max("_cell") + 1).alias("_cut"))
-    return hashed.join(F.broadcast(cut), "lang").where("_cell < _cut").drop("_cell", "_cut")
+    cut = broadcast_if_small(saved(cut, "cut"), MAX_LANGUAGES)
+    return hashed.join(cut, "lang").where("_cell < _cut").drop("_cell", "_cut")
 
 
 def fit(

@@ -97,8 +97,10 @@ def shape(path: str) -> Column:
 def _named(units: DataFrame) -> DataFrame:
     """``host, tree, seg, name``: what each segment at a node is called; ``*`` where variable."""
     node = ["host", "tree"]
-    children = units.groupBy(*node, "seg").agg(F.sum("n").alias("n"))
-    nodes = children.groupBy(*node).agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
+    children = saved(units.groupBy(*node, "seg").agg(F.sum("n").alias("n")), "children")
+    nodes = saved(
+        children.groupBy(*node).agg(F.sum("n").alias("all"), F.count("*").alias("kinds")), "nodes"
+    )
     fold = (F.col("kinds") > MAX_LITERALS) & (F.col("n") < LITERAL_SHARE * F.col("all"))
     name = F.when(fold, F.lit("*")).otherwise(F.col("seg"))
     return children.join(nodes, node).select(*node, "seg", name.alias("name"))
