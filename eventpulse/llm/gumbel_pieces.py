@@ -251,8 +251,13 @@ class Search:
         text = self.text_of[occ]
         bounds = np.searchsorted(text, np.arange(len(self.keys) + 1))
         logp = self.lattice.logp[edges]
-        upto = np.cumsum(logp)
-        before = upto - logp - np.concatenate([[0.0], upto])[bounds[text]]
+        # Text by text, so that sums are the same whatever other texts there are.
+        before, total = np.zeros(len(edges)), np.zeros(len(self.keys))
+        for t in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist():
+            part = slice(bounds[t], bounds[t + 1])
+            before[part] = np.cumsum(logp[part])
+            total[t] = before[bounds[t + 1] - 1]
+        before -= logp
         with np.errstate(divide="ignore"):
             # A lone edge has all probability, but for rounding.
             lone = np.diff(self.lattice.begin)[self.lattice.start[edges]] == 1
@@ -262,7 +267,6 @@ class Search:
         wait = np.log(-np.log(uniform(self.keys[text], 2 + (sample << 8), nth, 0)))
         beside = np.logaddexp(time[text], wait - mass)
         beside[(nth < fresh[text]) | ~drawn[text] | ~np.isfinite(mass)] = np.inf
-        total = np.add.reduceat(np.append(logp, 0.0), bounds[:-1]) * (bounds[1:] > bounds[:-1])
         self.paths.append({
             "edges": edges, "occ": occ, "bounds": bounds, "time": time, "logp": total,
             "before": before, "beside": beside, "drawn": drawn,
