@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import unicodedata
 import zlib
 from bisect import bisect_left, insort
@@ -24,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from eventpulse.llm._common import col, numbered, saved, shuffle_parts
+from eventpulse.llm._common import broadcast_if_small, col, numbered, saved, shuffle_parts
 
 CAPACITY = 4096
 END = 1  # fixed value: the id after each document
@@ -36,6 +37,7 @@ GENERATIONS = 4
 POPULATION = 4
 # A bin is final when at most this share of it is free.
 FINAL_FREE = 1 / 500
+BROADCAST_PLACES = 1_000_000
 SEED = 9
 CACHED_WORDS = 400_000
 
@@ -64,20 +66,35 @@ def word_pattern() -> tuple[re.Pattern, re.Pattern]:
     return known, words
 
 
+def byte_alphabet() -> dict[int, str]:
+    """The characters by which byte-level tokenizers spell bytes: fixed values, given by their rule.
+
+    Visible Latin-1 characters spell themselves; the other bytes take those from U+0100 on, in order.
+    """
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class WordIds(dict):
-    """Ids of words as bytes, from the tokenizer where they are not remembered."""
+    """Ids of words as bytes, from the tokenizer's model where they are not remembered."""
 
     def __init__(self, tokenizer, size: int):
         super().__init__()
-        self.tokenizer, self.size = tokenizer, size
+        self.model, self.size, self.alphabet = tokenizer.model, size, byte_alphabet()
 
     def learn(self, words: set) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > self.size:
+        if len(self) + len(words) > self.size:
             self.clear()
-            new = list(words)
-        found = self.tokenizer.encode_batch(new, add_special_tokens=False)
-        self.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found)))
+        for word in words:
+            if word not in self:
+                self[word] = self._ids(word)
+
+    def _ids(self, word: str) -> bytes:
+        if not word.isascii() or not word.isprintable():
+            word = "".join(map(self.alphabet.__getitem__, word.encode()))
+        ids = [t.id for t in self.model.tokenize(word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def id_bytes(texts: list[str | None], tokenizer, words: WordIds, patterns) -> list[bytes]:
@@ -94,7 +111,7 @@ def id_bytes(texts: list[str | None], tokenizer, words: WordIds, patterns) -> li
             split.append(None)
         else:
             split.append(pattern.findall(text.lower()))
-    words.learn({w for s in split if s for w in s})
+    words.learn(set().union(*filter(None, split)))
     end, out = np.array([END], "<u4").tobytes(), []
     for text, parts in zip(texts, split):
         if parts is None:
@@ -365,5 +382,7 @@ def pack_documents(
     })
     short = pieces.where(~full)
     places = pack_pieces(short, capacity=capacity, shard_pieces=shard_pieces)
+    # Numbers only: broadcast up to a bound, so that pieces with their ids are not shuffled.
+    places = broadcast_if_small(places, BROADCAST_PLACES)
     together = short.join(places, "piece_no").select(alone.columns)
     return alone.unionByName(together).drop("piece_no")
