@@ -9,6 +9,10 @@ from eventpulse._session import shared_folder
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+# Folders that this driver has written, oldest first.
+_WRITTEN: list[str] = []
+
+
 def saved(table: DataFrame, purpose: str) -> DataFrame:
     """The table written once into the shared folder and read again.
 
@@ -17,9 +21,26 @@ def saved(table: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_folder(table.sparkSession, purpose)
     table.write.option("compression", "zstd").parquet(path)
+    _WRITTEN.append(path)
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
+def discard_scratch(still_read: DataFrame) -> None:
+    """Delete what :func:`saved` has written so far, but for what ``still_read`` reads.
+
+    For a pipeline that has stored the result of a stage: nothing else that is to be read later
+    may come from those folders.
+    """
+    spark = still_read.sparkSession
+    needed = still_read.inputFiles()
+    kept = [path for path in _WRITTEN if any(path in file for file in needed)]
+    for path in _WRITTEN:
+        if path not in kept:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _WRITTEN[:] = kept
+
+
 def numbered(table: DataFrame, number: str) -> DataFrame:
     """Add a distinct number per row; save the result before it is used twice."""
     return table.withColumn(number, F.monotonically_increasing_id())

@@ -1,18 +1,18 @@
-"""Repeated runs of lines, found with a suffix array by prefix doubling, and deletion of later copies.
+"""Repeated runs of lines by a suffix array made by prefix doubling; later copies are deleted.
 
 The lines of all documents, in order of the documents, are one sequence of line ids. A suffix
-begins at every line, and never reaches beyond its document. Prefix doubling sorts suffixes by their
-first 1, 2, 4, ... lines: the rank by ``2h`` lines comes from the sorted pairs of the ranks by ``h``
-lines, at the position and ``h`` further on. Every step is a grouping, a global sort of the distinct
-pairs, and a join. Suffixes whose first lines occur once are settled and leave, and the doubling
-ends with the longest run that has to be told apart.
-
-All suffixes that begin with the same ``m`` lines are an interval of the suffix array, with a longest
-common prefix of ``m`` lines at least; two ranks, of the first and the last ``2 ** k`` of these lines,
-identify it. A run that counts has ``min_words`` words or more. Wherever a run occurs again, each of
-its lines lies in a shortest run that counts, from its first line on or up to its last one, inside it.
-So these shortest runs are looked up, and where their interval begins earlier in the corpus the lines
-are deleted; adjoining and overlapping ones add up to the maximal repeated run.
+begins at every line, and never reaches beyond its document. Prefix doubling sorts suffixes by
+their first 1, 2, 4, ... lines: the rank by ``2h`` lines comes from the sorted pairs of the ranks
+by ``h`` lines, at the position and ``h`` further on. Every step is a grouping, a global sort of
+the distinct pairs, and a join. Suffixes whose first lines occur once are settled and leave, and
+the doubling ends with the longest run that has to be told apart.
+
+All suffixes that begin with the same ``m`` lines are an interval of the suffix array, with a
+longest common prefix of ``m`` lines at least; two ranks, of the first and the last ``2 ** k`` of
+these lines, identify it. A run that counts has ``min_words`` words or more. Wherever a run occurs
+again, each of its lines lies in a shortest run that counts, from that line on or up to it, inside
+the run. So these shortest runs are looked up, and where their interval begins earlier in the
+corpus the lines are deleted; adjoining and overlapping ones add up to the maximal repeated run.
 
 Lines are grouped by digest and by rank, with counts and minima combined before each shuffle. The
 joins that lead ranks back to positions are of shuffled tables, so adaptive execution can split
@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from eventpulse.llm._common import col, free_name, numbered, saved
 
 MIN_WORDS = 30
+BROADCAST_RUNS = 1_000_000
 
 
 def line_table(docs: DataFrame) -> DataFrame:
@@ -178,12 +179,16 @@ def delete_repeated_runs(
     ))
     copies = later_copies(lines, min_words)
     first_pos = lines.where("line_no = 0").select("row_no", F.col("pos").alias("begin"))
-    listed = copies.join(first_pos, "row_no").groupBy("row_no").agg(
+    listed = copies.join(first_pos, "row_no").groupBy(F.col("row_no").alias("_listed")).agg(
         F.collect_list(F.struct((F.col("pos") - F.col("begin")).cast("int").alias("s"), "m")).alias("runs")
     )
+    # So few runs are broadcast, and no text is shuffled; beyond that both sides are.
+    listed = saved(listed, "listed")
+    n_runs = listed.agg(F.sum(F.size("runs"))).first()[0] or 0
+    listed = F.broadcast(listed) if n_runs <= BROADCAST_RUNS else listed
     names, at = [*docs.columns, runs_column], docs.columns.index(text)
     joined = docs.join(
-        listed.withColumnRenamed("row_no", "_listed"), col(number) == F.col("_listed"), "left"
+        listed, col(number) == F.col("_listed"), "left"
     ).select(*[col(c) for c in docs.columns], "runs")
 
     def clean(batches):
