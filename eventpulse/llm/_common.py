@@ -25,8 +25,13 @@ def saved(table: DataFrame, purpose: str) -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
+def leave_scratch() -> None:
+    """What has been written so far is not deleted by :func:`discard_scratch`."""
+    _WRITTEN.clear()
+
+
 def discard_scratch(still_read: DataFrame) -> None:
-    """Delete what :func:`saved` has written so far, but for what ``still_read`` reads.
+    """Delete what :func:`saved` has written, but for what ``still_read`` reads.
 
     For a pipeline that has stored the result of a stage: nothing else that is to be read later
     may come from those folders.
