@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventpulse.llm import language_id
 from eventpulse.llm._common import (
-    broadcast_if_small, col, discard_scratch, free_name, numbered, saved,
+    broadcast_if_small, col, discard_scratch, free_name, leave_scratch, numbered, saved,
 )
 from eventpulse.llm.line_dedup import delete_repeated_runs
 from eventpulse.llm.packing import pack_documents
@@ -35,7 +35,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     A document without a letter, or whose text is null, is rejected.
     """
-    discard_scratch(docs)
+    leave_scratch()  # what was written before the pipeline is not its own
     return language_id.keep_recognised(language_id.fit(docs), docs)
 
 
