@@ -500,9 +500,19 @@ _CLOUD_SELECT = """
       ELSE 20.0::DOUBLE + (n - lo)::DOUBLE * 30.0::DOUBLE / (hi - lo)::DOUBLE END AS weight
     FROM top, span"""
 
+# The letter left open is one of a word, or the space between two words.
 _OPEN = """open AS (SELECT DISTINCT w[1:1] || '_' || w[3:] AS term FROM (
       SELECT unnest(string_split(text, ' ')) AS w FROM conversations)
-      WHERE regexp_full_match(w, '[A-Za-z]{4,}'))"""
+      WHERE regexp_full_match(w, '[A-Za-z]{4,}')),
+    placed AS (SELECT post_id, len(ws) AS n, generate_subscripts(ws, 1) AS i, unnest(ws) AS w
+      FROM (SELECT post_id, string_split(text, ' ') AS ws FROM docs)),
+    within AS (SELECT * FROM placed WHERE i BETWEEN 2 AND n - 1),
+    opened AS (SELECT DISTINCT k.post_id, k.term FROM (
+      SELECT post_id, w[1:1] || '_' || w[3:] AS term FROM within WHERE length(w) >= 2
+      UNION ALL
+      SELECT a.post_id, a.w || '_' || b.w FROM within a
+      JOIN within b ON b.post_id = a.post_id AND b.i = a.i + 1 WHERE length(a.w) = 1) k
+      JOIN open t ON t.term = k.term)"""
 
 _HITS = """hits AS (SELECT d.*, t.term FROM docs d JOIN terms t
       ON d.text LIKE '% ' || t.term || ' %'),
@@ -537,12 +547,10 @@ def oracle_sql() -> dict[str, str]:
             "inner_words AS (SELECT post_id, unnest(string_split(text, ' ')[2:-2]) AS word FROM docs)",
         ),
         "flag_posts_wildcards_long": with_(
-            "SELECT d.post_id, count(*) AS n_terms FROM docs d JOIN open t "
-            "ON d.text LIKE '% ' || t.term || ' %' GROUP BY d.post_id", _OPEN,
+            "SELECT post_id, count(*) AS n_terms FROM opened GROUP BY post_id", _OPEN,
         ),
         "flag_posts_stream_long_list": with_(
-            "SELECT d.post_id AS doc_id FROM docs d WHERE EXISTS "
-            "(SELECT 1 FROM open t WHERE d.text LIKE '% ' || t.term || ' %')", _OPEN,
+            "SELECT DISTINCT post_id AS doc_id FROM opened", _OPEN,
         ),
         "json_posts_flagged": with_(
             "SELECT text, CAST(timestamp_ms AS VARCHAR) AS timestamp_ms FROM flags", _FLAGGED

@@ -279,7 +279,10 @@ def _flag_by_join(
         met = met.where(F.expr("array_join(slice(_ws, _at + 1, _k), ' ') = _term"))
         found = found.unionByName(met.select("_digest", "_term"))
     if known.wild:
-        met = _meet_patterns(texts, names.where(wild), mode, small, salts)
+        masked = F.col("_term").rlike(ONE_OPEN) if mode == LIKE else F.lit(False)
+        met = _meet_masked(cut, names.where(wild & masked), small, salts)
+        found = found.unionByName(met.select("_digest", "_term"))
+        met = _meet_patterns(texts, names.where(wild & ~masked), mode, small, salts)
         found = found.unionByName(met.select("_digest", "_term"))
 
     keyed = posts.withColumn("_digest", digest(text))
@@ -299,6 +302,35 @@ def _meet(words: DataFrame, terms: DataFrame, small: bool, salts: int) -> DataFr
     return left.join(right, ["_key", SALT])
 
 
+# A term of one word whose only wildcard is one open character, among its first so many.
+MASK_PLACES = 16
+ONE_OPEN = rf"^[^ %_\\\x00]{{0,{MASK_PLACES - 1}}}_[^ %_\\\x00]*$"
+
+
+def _meet_masked(cut: DataFrame, names: DataFrame, small: bool, salts: int) -> DataFrame:
+    """Terms with one open character, by words with that character masked: no comparison is left.
+
+    The character may also be the space between two words.
+    """
+    at = F.instr("_term", "_")
+    places = sorted(r.at for r in names.select(at.alias("at")).distinct().collect())
+    keys = [
+        f"transform(filter(ws, w -> length(w) >= {k}), "
+        f"w -> concat(left(w, {k - 1}), '_', substring(w, {k + 1})))"
+        for k in places
+    ] + [
+        f"transform(filter(sequence(0, size(ws) - 1), i -> i < size(ws) - 1 AND "
+        f"length(ws[i]) = {k - 1}), i -> concat(ws[i], '_', ws[i + 1]))"
+        for k in places
+    ]
+    every = f"concat({', '.join(keys)})" if keys else "CAST(array() AS array<string>)"
+    words = cut.select("_digest", F.explode(F.expr(
+        "flatten(transform(array(slice(_ws, 2, greatest(size(_ws) - 2, 0))), "
+        f"ws -> array_distinct({every})))"
+    )).alias("_key"))
+    return _meet(words, names.withColumn("_key", F.col("_term")), small, salts)
+
+
 # A part of a pattern is looked up by at most so many characters.
 PART_CHARS = 8
 
@@ -347,7 +379,7 @@ def _meet_patterns(
             cuts.append(f"transform(filter(ws, w -> length(w) >= {n}), w -> concat('>', right(w, {n})))")
         else:
             cuts.append("array('')")
-    cuts += whole[:1]
+    cuts = cuts + whole[:1] or ["array('')"]
     keys = f"flatten(transform(array({_words('_text')}), ws -> array_distinct(concat({', '.join(cuts)}))))"
     words = texts.select("_digest", "_text", F.explode(F.expr(keys)).alias("_key"))
     return _meet(words, keyed, small, salts).where(F.expr("_text LIKE _pattern"))
