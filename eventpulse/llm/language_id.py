@@ -4,15 +4,16 @@ A text is read as lower-case letters with single blanks between words. For every
 model holds the 4-grams, 3-grams and 2-grams seen in training with their interpolated Kneser-Ney
 probabilities: absolute discounting with a discount per order from the counts of counts, and
 continuation counts below the highest order. All languages share one table per order, an array of
-sorted n-gram hashes beside a matrix with a column per language, so that a text is looked up once
-whatever the number of languages. The language of the lowest cross-entropy per character wins.
+sorted n-gram hashes with the languages that have each, so that a text is looked up once whatever
+the number of languages. The language of the lowest cross-entropy per character wins.
 
 A text is rejected when its cross-entropy lies further above what texts of the winning language
 have than their spread allows at its length. Mean and spread come from labelled texts that the
 model was not fitted on.
 
 Counting is a Spark aggregation over the labelled texts: tasks emit distinct n-grams with counts.
-The counts of the highest order are all that reaches the driver, at most ``max_grams`` of them.
+All counts of the highest order reach the driver, some languages at a time, and all n-grams are in
+the model: what bounds it is the number of labelled rows per language.
 """
 
 from __future__ import annotations
@@ -29,9 +30,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from eventpulse.llm._common import broadcast_if_small, col, saved
 
 UNKNOWN = "und"
-# Bounds of what is fitted: labelled rows per language, and 4-grams in all, the most frequent.
+# Bound of what is fitted: labelled rows per language.
 TRAIN_ROWS = 40_000
-MAX_GRAMS = 2_000_000
+# Languages are gathered together up to so many 4-grams, and one by one beyond.
+GRAMS_AT_ONCE = 2_000_000
+# Letters times languages that are looked up at once.
+LOOKED_UP = 4_000_000
 # So many labels at most are broadcast with the hash at which their rows are cut.
 MAX_LANGUAGES = 10_000
 # Of the labelled rows, one in this many calibrates and is not counted.
@@ -92,22 +96,33 @@ def gram_hash(grams: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Table:
-    """Sorted hashes of the n-grams of one order with a row per n-gram."""
+    """Sorted hashes of the n-grams of one order, with a run of languages and values per n-gram."""
 
     hashes: np.ndarray
+    begin: np.ndarray
+    languages: np.ndarray
     values: np.ndarray
 
     @staticmethod
-    def of(grams: np.ndarray, values: np.ndarray) -> Table:
-        hashes = gram_hash(grams)
-        order = np.argsort(hashes)
-        return Table(hashes[order], values[order])
-
-    def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Row of each n-gram, and whether it is there."""
+    def of(per_language: list[tuple[np.ndarray, np.ndarray]]) -> Table:
+        """From the distinct n-grams of each language and their values."""
+        hashes = gram_hash(np.concatenate([grams for grams, _ in per_language]))
+        order = np.argsort(hashes, kind="stable")
+        hashes, begin = np.unique(hashes[order], return_index=True)
+        sizes = [len(grams) for grams, _ in per_language]
+        languages = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
+        values = np.concatenate([values for _, values in per_language])[order]
+        return Table(hashes, np.append(begin, len(order)), languages, values)
+
+    def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of the n-grams are in which languages, and the values there."""
         wanted = gram_hash(grams)
         at = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
-        return at, self.hashes[at] == wanted
+        row = np.flatnonzero(self.hashes[at] == wanted)
+        first, size = self.begin[at[row]], np.diff(self.begin)[at[row]]
+        within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        entry = np.repeat(first, size) + within
+        return np.repeat(row, size), self.languages[entry], self.values[entry]
 
 
 @dataclass(frozen=True)
@@ -124,6 +139,7 @@ class Model:
     mean: np.ndarray
     spread: np.ndarray
     own_spread: np.ndarray
+    reject_at: float
 
     def sent(self, spark: SparkSession):
         """A broadcast of the model, made of arrays only, as workers may lack this package."""
@@ -136,25 +152,53 @@ class Model:
 
     def costs(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per language, the sum over the letters of the negative log probability, and of its square."""
-        grams = grams4(codes)
-        distinct, times = np.unique(grams, return_counts=True)
-        logp = self._order(distinct, 4)
-        return -times @ logp, times @ np.square(logp)
+        cost, square = self.costs_of([codes])
+        return cost[0], square[0]
+
+    def costs_of(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The costs of texts of two codes or more, a row per text; they do not depend on each other."""
+        at_once = max(1024, LOOKED_UP // len(self.languages))
+        cost, square = np.zeros((2, len(texts), len(self.languages)))
+        held, size = [], 0
+
+        def add():
+            begin = np.cumsum([0, *(len(g) for _, g in held[:-1])])
+            distinct, where = np.unique(np.concatenate([g for _, g in held]), return_inverse=True)
+            text = [t for t, _ in held]
+            for k, logp in enumerate(self._order(distinct, 4).T):
+                own = logp[where]
+                cost[text, k] -= np.add.reduceat(own, begin)
+                square[text, k] += np.add.reduceat(np.square(own), begin)
+
+        for t, codes in enumerate(texts):
+            grams = grams4(codes)
+            for a in range(0, len(grams), at_once):  # of a text, a piece at a time
+                part = grams[a:a + at_once]
+                if held and (a or size + len(part) > at_once):
+                    add()
+                    held, size = [], 0
+                held.append((t, part))
+                size += len(part)
+        if held:
+            add()
+        return cost, square
 
     def _order(self, grams: np.ndarray, n: int) -> np.ndarray:
+        """Log probabilities of distinct n-grams of 4 letters' width, a column per language."""
         if n == 1:
-            table = self.grams[1]
-            at, found = table.find(grams & np.uint64(0xFFFF))
-            return np.where(found[:, None], table.values[at], self.floor)
-        mask = np.uint64((1 << 16 * n) - 1)
-        at, found = self.grams[n].find(grams & mask)
-        logp = self.grams[n].values[at]
-        if not found.all():
-            rest = grams[~found]
-            contexts = (rest & mask) >> np.uint64(16)
-            row, known = self.backoff[n - 1].find(contexts)
-            left = np.where(known[:, None], self.backoff[n - 1].values[row], 0.0)
-            logp[~found] = left + self._order(rest, n - 1)
+            logp = np.repeat(self.floor[None], len(grams), 0)
+        else:  # what a language has not seen costs what it does after backing off
+            lower, where = np.unique(
+                grams & np.uint64((1 << 16 * (n - 1)) - 1), return_inverse=True
+            )
+            logp = self._order(lower, n - 1)[where]
+            contexts, where = np.unique(grams >> np.uint64(16), return_inverse=True)
+            left = np.zeros((len(contexts), len(self.languages)))
+            row, language, value = self.backoff[n - 1].find(contexts)
+            left[row, language] = value
+            logp += left[where]
+        row, language, value = self.grams[n].find(grams)
+        logp[row, language] = value
         return logp
 
 
@@ -192,25 +236,11 @@ def build(counts: Iterable[tuple[str, np.ndarray, np.ndarray]]) -> Model:
     languages = tuple(c[0] for c in counts)
     floor = np.log(np.array([f[2] for f in fitted]))
     one = np.ones(len(languages))
-    model = Model(languages, {}, {}, floor, one, one, one)
+    model = Model(languages, {}, {}, floor, one, one, one, REJECT_AT)
     for n in (1, 2, 3, 4):
         if n > 1:
-            contexts = np.unique(np.concatenate([f[1][n - 1][0] for f in fitted]))
-            left = np.zeros((len(contexts), len(languages)))
-            for k, f in enumerate(fitted):
-                left[np.searchsorted(contexts, f[1][n - 1][0]), k] = np.log(f[1][n - 1][1])
-            model.backoff[n - 1] = Table.of(contexts, left)
-        keys = np.unique(np.concatenate([f[0][n][0] for f in fitted]))
-        # What a language has not seen costs what it would after backing off.
-        if n == 1:
-            logp = np.repeat(floor[None], len(keys), 0)
-        else:
-            row, known = model.backoff[n - 1].find(keys >> np.uint64(16))
-            left = np.where(known[:, None], model.backoff[n - 1].values[row], 0.0)
-            logp = left + model._order(keys, n - 1)
-        for k, f in enumerate(fitted):
-            logp[np.searchsorted(keys, f[0][n][0]), k] = np.log(f[0][n][1])
-        model.grams[n] = Table.of(keys, logp)
+            model.backoff[n - 1] = Table.of([(k, np.log(v)) for k, v in (f[1][n - 1] for f in fitted)])
+        model.grams[n] = Table.of([(k, np.log(v)) for k, v in (f[0][n] for f in fitted)])
     return model
 
 
@@ -240,21 +270,59 @@ def _sampled(rows: DataFrame, per_language: int) -> DataFrame:
     """At most so many rows per language, those of the smallest hash; all where there are fewer.
 
     The hash at which a language is cut comes from a histogram of hashes, so no language is sorted.
+    Where the first cell alone has more rows, it is cut by a histogram of its own. Rows of one
+    text and id stay together, and some rows of every language stay.
     """
     cells = 4096
-    hashed = rows.withColumn("_cell", F.pmod(F.xxhash64("text", "id"), F.lit(cells)))
-    sizes = hashed.groupBy("lang", "_cell").agg(F.count("*").alias("n"))
-    upto = sizes.withColumn("_upto", F.expr(
-        "sum(n) OVER (PARTITION BY lang ORDER BY _cell)"
-    )).where(F.col("_upto") <= per_language)
-    cut = upto.groupBy("lang").agg((F.max("_cell") + 1).alias("_cut"))
-    cut = broadcast_if_small(saved(cut, "cut"), MAX_LANGUAGES)
-    return hashed.join(cut, "lang").where("_cell < _cut").drop("_cell", "_cut")
+    both = F.xxhash64("text", "id")
+    hashed = rows.withColumn("_cell", F.pmod(both, F.lit(cells))).withColumn(
+        "_fine", F.col("_cell") * cells + F.pmod(F.shiftright(both, 32), F.lit(cells))
+    )
+
+    def cuts(rows: DataFrame, cell: str) -> DataFrame:
+        sizes = rows.groupBy("lang", cell).agg(F.count("*").alias("n"))
+        upto = sizes.withColumn("_upto", F.expr(
+            f"sum(n) OVER (PARTITION BY lang ORDER BY {cell})"
+        ))
+        return upto.groupBy("lang").agg(
+            F.max(F.when(F.col("_upto") <= per_language, F.col(cell))).alias("_last"),
+            F.min(cell).alias("_first"),
+        )
+
+    cut = saved(cuts(hashed, "_cell"), "cut")
+    dense = cut.where("_last IS NULL").select("lang", "_first")
+    cut = cut.where("_last IS NOT NULL").select("lang", ((F.col("_last") + 1) * cells).alias("_cut"))
+    if not dense.isEmpty():
+        within = hashed.join(broadcast_if_small(dense, MAX_LANGUAGES), "lang").where("_cell = _first")
+        fine = cuts(within.select("lang", "_fine"), "_fine")
+        fine = fine.select("lang", (F.coalesce("_last", "_first") + 1).alias("_cut"))
+        cut = saved(cut.unionByName(fine), "cut")
+    cut = broadcast_if_small(cut, MAX_LANGUAGES)
+    return hashed.join(cut, "lang").where("_fine < _cut").drop("_cell", "_fine", "_cut")
+
+
+def _gathered(counts: DataFrame):
+    """Each language with all its 4-grams and their counts; some languages at a time."""
+    sizes = counts.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").collect()
+    while sizes:
+        some, n = [], 0
+        while sizes and (not some or n + sizes[0].n <= GRAMS_AT_ONCE):
+            some.append(sizes[0].lang)
+            n += sizes.pop(0).n
+        place = counts.where(F.col("lang").isin(some)).select(
+            (F.array_position(F.array(*map(F.lit, some)), F.col("lang")) - 1).alias("k"), "gram", "n"
+        ).toArrow()
+        k, gram, n = (place[c].to_numpy() for c in ("k", "gram", "n"))
+        order = np.argsort(k, kind="stable")
+        ends = np.searchsorted(k[order], np.arange(len(some) + 1))
+        for i, name in enumerate(some):
+            own = order[ends[i]:ends[i + 1]]
+            yield name, gram[own].view(np.uint64), n[own]
 
 
 def fit(
     labelled: DataFrame, *, id_column: str = "doc_id", text: str = "text", lang: str = "lang",
-    train_rows: int = TRAIN_ROWS, max_grams: int = MAX_GRAMS,
+    train_rows: int = TRAIN_ROWS,
 ) -> Model:
     """A calibrated model from rows with a label; rows without label, text or letters do not count.
 
@@ -266,17 +334,20 @@ def fit(
     rows = _sampled(rows, train_rows)
     fold = F.pmod(F.xxhash64("text"), F.lit(CALIBRATION)) == 0
     counts = saved(_counted(rows.where(~fold).select("lang", "text")), "grams")
-    if counts.isEmpty():
-        counts = saved(_counted(rows.select("lang", "text")), "grams")
-    top = counts.orderBy(F.desc("n"), "lang", "gram").limit(max_grams).toPandas()
-    if not len(top):
+    calibrating = rows.where(fold)
+    # A language that only has texts of the calibrating fold is fitted on those.
+    lost = calibrating.select("lang").distinct().join(counts, "lang", "left_anti")
+    lost = broadcast_if_small(saved(lost, "lost"), MAX_LANGUAGES)
+    if not lost.isEmpty():
+        more = saved(_counted(calibrating.join(lost, "lang", "left_semi").select("lang", "text")), "grams")
+        if not counts.isEmpty():  # its own texts do not calibrate it
+            calibrating = calibrating.join(lost, "lang", "left_anti")
+        counts = counts.unionByName(more)
+    gathered = list(_gathered(counts))
+    if not gathered:
         none = np.empty(0)
-        return Model((), {}, {}, none, none, none, none)
-    model = build(
-        (name, g["gram"].to_numpy().view(np.uint64), g["n"].to_numpy())
-        for name, g in top.groupby("lang", sort=True)
-    )
-    return _calibrated(model, rows.where(fold).select("lang", "text"))
+        return Model((), {}, {}, none, none, none, none, REJECT_AT)
+    return _calibrated(build(gathered), calibrating.select("lang", "text"))
 
 
 def _calibrated(model: Model, rows: DataFrame) -> Model:
@@ -311,31 +382,36 @@ def _calibrated(model: Model, rows: DataFrame) -> Model:
         spread.append((r.sd or 0.0) if r else 1.0)
         own.append(math.sqrt(r.var) if r else 1.0)
     return Model(model.languages, model.grams, model.backoff, model.floor,
-                 np.array(mean), np.array(spread), np.array(own))
-
-
-def classify(model: Model, codes: np.ndarray, reject_at: float = REJECT_AT) -> tuple:
-    """Language, score, cross-entropy per letter in nats, and whether the text is rejected."""
-    if len(codes) < 2:
-        return UNKNOWN, 0.0, None, True
-    if not model.languages:
-        return UNKNOWN, 0.0, None, False
-    n = len(codes) - 1
-    costs = model.costs(codes)[0]
-    best = int(np.argmin(costs))
-    # The posterior of the winner, with the evidence of a text bounded.
-    score = 1.0 / np.exp(np.clip((costs[best] - costs) / n * min(n, 100), -50, 0)).sum()
-    entropy = costs[best] / n
-    allowed = math.hypot(model.spread[best], model.own_spread[best] / math.sqrt(n))
-    return (
-        model.languages[best], float(score), float(entropy),
-        bool(entropy > model.mean[best] + reject_at * allowed),
-    )
+                 np.array(mean), np.array(spread), np.array(own), model.reject_at)
+
+
+def classify(
+    model: Model, texts: list[np.ndarray], reject_at: float | None = None
+) -> list[tuple]:
+    """Per text the language, score, cross-entropy per letter in nats, and whether it is rejected."""
+    unread = (UNKNOWN, 0.0, None)
+    out = [(*unread, len(codes) < 2) for codes in texts]
+    read = [i for i, codes in enumerate(texts) if len(codes) > 1]
+    if not model.languages or not read:
+        return out
+    reject_at = model.reject_at if reject_at is None else reject_at
+    for i, costs in zip(read, model.costs_of([texts[i] for i in read])[0]):
+        n = len(texts[i]) - 1
+        best = int(np.argmin(costs))
+        # The posterior of the winner, with the evidence of a text bounded.
+        score = 1.0 / np.exp(np.clip((costs[best] - costs) / n * min(n, 100), -50, 0)).sum()
+        entropy = costs[best] / n
+        allowed = math.hypot(model.spread[best], model.own_spread[best] / math.sqrt(n))
+        out[i] = (
+            model.languages[best], float(score), float(entropy),
+            bool(entropy > model.mean[best] + reject_at * allowed),
+        )
+    return out
 
 
 def predict(
     model: Model, table: DataFrame, *, id_column: str = "doc_id", text: str = "text",
-    reject_at: float = REJECT_AT,
+    reject_at: float | None = None,
 ) -> DataFrame:
     """``(doc_id, lang_pred, score, entropy, rejected)`` per row of ``table``.
 
@@ -352,10 +428,10 @@ def predict(
     def run(batches):
         letter, model = _letter_table(), Model.received(shared.value)
         for batch in batches:
-            out = [
-                classify(model, letters(t, letter), reject_at)
-                for t in batch.column(1).to_pylist()
-            ]
+            texts = batch.column(1).to_pylist()
+            out = []
+            for a in range(0, len(texts), 256):
+                out += classify(model, [letters(t, letter) for t in texts[a:a + 256]], reject_at)
             found = [pa.array([o[i] for o in out], t) for i, t in enumerate(types)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *found], names)
 
@@ -366,7 +442,7 @@ def predict(
 
 
 def keep_recognised(
-    model: Model, table: DataFrame, *, text: str = "text", reject_at: float = REJECT_AT
+    model: Model, table: DataFrame, *, text: str = "text", reject_at: float | None = None
 ) -> DataFrame:
     """The rows and columns of ``table`` whose text is not rejected."""
     shared = model.sent(table.sparkSession)
@@ -374,8 +450,10 @@ def keep_recognised(
     @F.pandas_udf("boolean")
     def recognised(texts: pd.Series) -> pd.Series:
         letter, model = _letter_table(), Model.received(shared.value)
-        return texts.map(
-            lambda t: not classify(model, letters(t, letter), reject_at)[3]
-        ).astype(bool)
+        kept = []
+        for a in range(0, len(texts), 256):
+            some = [letters(t, letter) for t in texts.iloc[a:a + 256]]
+            kept += [not found[3] for found in classify(model, some, reject_at)]
+        return pd.Series(kept, dtype=bool)
 
     return table.where(recognised(col(text)))

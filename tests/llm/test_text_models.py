@@ -154,3 +154,31 @@ def test_sample_bound_keeps_at_most_so_many_rows(spark):
     rows = spark.range(5000).selectExpr("id", "cast(id AS string) AS text", "if(id < 4900, 'a', 'b') AS lang")
     sizes = {r.lang: r["count"] for r in lid._sampled(rows, 1000).groupBy("lang").count().collect()}
     assert 900 <= sizes["a"] <= 1000 and sizes["b"] == 100
+
+
+def test_no_language_loses_rare_grams_to_others(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, "".join(map(chr, rng.integers(0x4E00, 0x9FA5, 4000))), "aa") for i in range(700)]
+    rows += [(1000 + i, "".join(map(chr, rng.integers(0x430, 0x450, 200))), "zz") for i in range(12)]
+    rows += [(2000 + i, "один и тот же текст " * 9, "yy") for i in range(5)]  # all in one fold
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    model = lid.fit(table)
+    assert model.languages == ("aa", "yy", "zz")
+    letter, seen = lid._letter_table(), {"aa": set(), "zz": set()}
+    for i, text, lang in rows:
+        if lang == "zz":
+            seen[lang].update(lid.grams4(lid.letters(text, letter)).tolist())
+    entries = np.bincount(model.grams[4].languages, minlength=3)
+    assert entries[0] > lid.GRAMS_AT_ONCE and entries[2] > 0.5 * len(seen["zz"])
+    asked = table.where("lang <> 'aa'")
+    assert {(r.lang, r.lang_pred) for r in asked.join(lid.predict(model, asked), "doc_id").collect()} == {
+        ("yy", "yy"), ("zz", "zz")
+    }
+
+
+def test_a_language_of_many_rows_in_its_first_cell_stays(spark):
+    rows = spark.range(50).selectExpr("1L AS id", "'same' AS text", "'a' AS lang").union(
+        spark.range(300_000).selectExpr("id", "'other' AS text", "'b' AS lang")
+    )
+    sizes = {r.lang: r["count"] for r in lid._sampled(rows, 20).groupBy("lang").count().collect()}
+    assert sizes["a"] == 50 and 0 < sizes["b"] <= 20
