@@ -8,8 +8,9 @@ sorted n-gram hashes with the languages that have each, so that a text is looked
 the number of languages. The language of the lowest cross-entropy per character wins.
 
 A text is rejected when its cross-entropy lies further above what texts of the winning language
-have than their spread allows at its length. Mean and spread come from labelled texts that the
-model was not fitted on.
+have than their spread allows at its length. Mean and spread come from distinct labelled texts that
+the model was not fitted on; the spread of a language with few of them is drawn towards that of all
+languages. How many spreads are allowed is a quantile of what these texts have themselves.
 
 Counting is a Spark aggregation over the labelled texts: tasks emit distinct n-grams with counts.
 All counts of the highest order reach the driver, some languages at a time, and all n-grams are in
@@ -40,8 +41,14 @@ LOOKED_UP = 4_000_000
 MAX_LANGUAGES = 10_000
 # Of the labelled rows, one in this many calibrates and is not counted.
 CALIBRATION = 8
-# A text is rejected this many standard deviations above the mean of its language.
+# Share of the calibrating texts that lie above the cut, and the cut, in spreads above the mean of
+# a language, where fewer texts than LEAST calibrate.
+REJECTED_SHARE = 0.001
+LEAST = 30
 REJECT_AT = 8.0
+# The common spread counts as so many texts of a language; it is in nats where no language has two.
+COMMON_TEXTS = 8
+COMMON_SPREAD = 0.2
 # Share of a letter that no language has seen, spread over so many letters.
 ALPHABET = 65_536
 
@@ -351,7 +358,7 @@ def fit(
 
 
 def _calibrated(model: Model, rows: DataFrame) -> Model:
-    """Mean cost per letter by language, its spread between texts and that within a text."""
+    """Mean cost per letter by language, its spread between texts and that within a text, and the cut."""
     shared = model.sent(rows.sparkSession)
 
     def measure(batches):
@@ -359,30 +366,70 @@ def _calibrated(model: Model, rows: DataFrame) -> Model:
         place = {name: i for i, name in enumerate(model.languages)}
         for batch in batches:
             out = []
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for lang, text, key in zip(*(c.to_pylist() for c in batch.columns)):
                 codes = letters(text, table)
                 if len(codes) > 1 and lang in place:
                     cost, square = (x[place[lang]] for x in model.costs(codes))
                     n = len(codes) - 1
-                    out.append((lang, n, cost / n, square / n - (cost / n) ** 2))
+                    out.append((place[lang], key, n, cost / n, square / n - (cost / n) ** 2))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([o[i] for o in out], t) for i, t in
-                 enumerate((pa.string(), pa.int64(), pa.float64(), pa.float64()))],
-                ["lang", "n", "cost", "var"],
+                [pa.array([o[i] for o in out], t) for i, t in enumerate(
+                    (pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+                )],
+                ["k", "key", "n", "cost", "var"],
             )
 
-    measured = rows.mapInArrow(measure, "lang string, n bigint, cost double, var double")
-    found = {r.lang: r for r in measured.where("n >= 20").groupBy("lang").agg(
-        F.avg("cost").alias("mean"), F.stddev("cost").alias("sd"), F.avg("var").alias("var")
-    ).collect()}  # a row per language
-    mean, spread, own = [], [], []
-    for name in model.languages:
-        r = found.get(name)
-        mean.append(r.mean if r else math.inf)  # without calibration nothing is rejected
-        spread.append((r.sd or 0.0) if r else 1.0)
-        own.append(math.sqrt(r.var) if r else 1.0)
-    return Model(model.languages, model.grams, model.backoff, model.floor,
-                 np.array(mean), np.array(spread), np.array(own), model.reject_at)
+    keyed = rows.select("lang", "text", F.xxhash64("text").alias("key"))
+    measured = keyed.mapInArrow(measure, "k int, key bigint, n bigint, cost double, var double")
+    # Copies count once.
+    measured = saved(measured.where("n >= 20").dropDuplicates(["k", "key"]), "measured")
+    found = measured.groupBy("k").agg(
+        F.count("*").alias("texts"), F.avg("cost").alias("mean"), F.var_samp("cost").alias("var"),
+        F.avg("var").alias("own"),
+    ).collect()  # a row per language
+    size = len(model.languages)
+    # Without calibration nothing is rejected.
+    mean, spread, own = np.full(size, math.inf), np.ones(size), np.ones(size)
+    freedom = sum(r.texts - 1 for r in found)
+    common = COMMON_SPREAD ** 2
+    if freedom:
+        common = sum((r.texts - 1) * (r.var or 0.0) for r in found) / freedom
+        common = (freedom * common + COMMON_SPREAD ** 2) / (freedom + 1)
+    for r in found:
+        var = ((r.texts - 1) * (r.var or 0.0) + COMMON_TEXTS * common) / (r.texts - 1 + COMMON_TEXTS)
+        mean[r.k] = r.mean
+        spread[r.k] = math.sqrt(var * (1 + 1 / r.texts))  # the mean of few texts is uncertain too
+        own[r.k] = math.sqrt(max(r.own, 0.0))
+    cut = _cut(measured, [
+        (r.k, r.texts, float(mean[r.k]), float(spread[r.k]), float(own[r.k])) for r in found if r.texts > 1
+    ])
+    return Model(model.languages, model.grams, model.backoff, model.floor, mean, spread, own, cut)
+
+
+def _cut(measured: DataFrame, found: list[tuple]) -> float:
+    """How many spreads above the mean all calibrating texts but ``REJECTED_SHARE`` have at most.
+
+    Each text is held against the mean of the others of its language. Where there are too few for
+    the quantile, the tail beyond the upper tenth is taken as exponential.
+    """
+    if not found:
+        return REJECT_AT
+    stats = measured.sparkSession.createDataFrame(
+        found, "k int, texts bigint, mean double, spread double, own double"
+    )
+    above = F.expr("(cost - mean) * texts / (texts - 1) / sqrt(spread * spread + own * own / n)")
+    z = measured.join(broadcast_if_small(stats, MAX_LANGUAGES), "k").select(above.alias("z"))
+    r = z.where("z IS NOT NULL").agg(
+        F.count("*").alias("n"),
+        F.percentile_approx("z", [0.9, 1 - REJECTED_SHARE], 100_000).alias("q"),
+    ).first()
+    if r.n < LEAST:
+        return REJECT_AT
+    tenth, last = r.q
+    if r.n * REJECTED_SHARE >= 1:
+        return float(last)
+    beyond = z.where(F.col("z") > tenth).agg(F.avg(F.col("z") - tenth)).first()[0] or 0.0
+    return float(max(last, tenth + beyond * math.log(0.1 / REJECTED_SHARE)))
 
 
 def classify(

@@ -182,3 +182,39 @@ def test_a_language_of_many_rows_in_its_first_cell_stays(spark):
     )
     sizes = {r.lang: r["count"] for r in lid._sampled(rows, 20).groupBy("lang").count().collect()}
     assert sizes["a"] == 50 and 0 < sizes["b"] <= 20
+
+
+def words_of(rng, letters, n):
+    return ["".join(rng.choices(letters, k=rng.randint(2, 7))) for _ in range(n)]
+
+
+def test_rejection_spares_rare_languages_and_finds_unlearnt_ones(spark):
+    rng = random.Random(5)
+    common = {lang: words_of(rng, own, 300) for lang, own in (
+        ("aa", "aeioustnrl"), ("bb", "aouchgmwkz"), ("rare", "eiybdfpvjq"),
+    )}
+    unlearnt = words_of(rng, "aeiousmwcg", 300)  # letters that were seen, in other words
+
+    def text(own, n):
+        topic = rng.sample(own, 120)  # texts differ in what they are about
+        return " ".join(rng.choices(topic, k=n))
+
+    rows = [(i, text(common[lang], 60), lang) for i, lang in enumerate(["aa", "bb"] * 200)]
+    rare = [text(common["rare"], 400) for _ in range(8)]
+    rows += [(1000 + i, t, "rare") for i, t in enumerate(rare)]
+    copied = next(t for t in (text(common["rare"], 400) for _ in range(1000)) if _calibrates(spark, t))
+    rows += [(1100 + i, copied, "rare") for i in range(20)]
+    asked = [(2000 + i, text(common["rare"], 4000), None) for i in range(20)]
+    asked += [(3000 + i, text(common["aa"], n), None) for i, n in enumerate([8, 20, 60, 4000] * 5)]
+    asked += [(4000 + i, text(unlearnt, n), None) for i, n in enumerate([20, 60, 4000] * 7)]
+    table = spark.createDataFrame(rows + asked, "doc_id bigint, text string, lang string")
+    model = lid.fit(table)
+    rejected = {r.doc_id for r in lid.predict(model, table).where("rejected").collect()}
+    assert not {i for i in rejected if 1000 <= i < 4000}
+    assert len({i for i in rejected if i < 1000}) <= 4
+    assert {i for i, _, _ in asked if i >= 4000} <= rejected
+    assert lid.REJECT_AT != model.reject_at
+
+
+def _calibrates(spark, text):
+    return spark.range(1).selectExpr(f"pmod(xxhash64('{text}'), {lid.CALIBRATION}) = 0 AS c").first().c
