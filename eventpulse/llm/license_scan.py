@@ -140,8 +140,10 @@ LICENCES = (
 )
 OTHER = (
     ("all-rights-reserved", "reserved", r"all\s+rights\s+reserved", 3, 0.7),
-    ("all-rights-reserved", "reserved", r"(?:tous\s+droits\s+réservés|todos\s+los\s+derechos\s+"
-     r"reservados|alle\s+rechte\s+vorbehalten)", 3, 0.7),
+    # Only A-Z are lower-cased in a text.
+    ("all-rights-reserved", "droits", r"tous\s+droits\s+r(?:[éÉ]|e\u0301)serv(?:[éÉ]|e\u0301)s", 3, 0.7),
+    ("all-rights-reserved", "derechos", r"todos\s+los\s+derechos\s+reservados", 3, 0.7),
+    ("all-rights-reserved", "rechte", r"alle\s+rechte\s+vorbehalten", 3, 0.7),
     ("proprietary", "licen", r"proprietary\s+(?:and\s+confidential\s+)?licen[sc]e", 3, 0.7),
     ("public-domain", "domain", r"(?:in|into|to)\s+the\s+public\s+domain", 3, 0.6),
     ("copyright", "copyright", r"copyright\s+(?:\(c\)|©)?\s*(?:19|20)\d\d", 5, 0.4),
@@ -176,16 +178,15 @@ def _rules() -> tuple[Rule, ...]:
 
 
 RULES = _rules()
-_COMMON = ("licen", "reserv", "copyright", "public domain", "cc by", "cc-by", "cc0", "creative",
+_COMMON = ("licen", "reserv", "copyright", "domain", "cc by", "cc-by", "cc0", "creative",
            "spdx", "rechte")
 
 
 def stems(rules: tuple[Rule, ...]) -> tuple[str, ...]:
     """Without any of these, a text meets none of the rules."""
-    needed = {"cc": ("cc by", "cc-by"), "domain": ("public domain",), "reserved": _COMMON}
     lone = [
         r.keyword for r in rules
-        if r.keyword not in needed and not any(c in r.keyword for c in _COMMON)
+        if r.keyword != "cc" and not any(c in r.keyword for c in _COMMON)  # "cc by" or "cc-by"
     ]
     return tuple(dict.fromkeys([*_COMMON, *lone]))
 

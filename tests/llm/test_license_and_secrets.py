@@ -113,3 +113,52 @@ def test_redaction_changes_texts_with_secrets_only(spark):
     assert out == {0: "see [SECRET] and more", 1: "clean text", 2: None, 3: ""}
     assert sec.redact_secrets(rows).columns == rows.columns
     assert rows.select(F.count("*")).first()[0] == 4
+
+
+def example(tokens, branch):
+    """A text for a parsed pattern: of alternatives the one with this number, of white space a line's end."""
+    out = ""
+    for op, arg in tokens:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "NOT_LITERAL":
+            out += "a"
+        elif op == "IN":
+            kind, what = arg[min(branch, len(arg) - 1)]
+            out += example([(kind, what)], branch)
+        elif op == "RANGE":
+            out += chr(arg[0])
+        elif op == "CATEGORY":
+            out += {"CATEGORY_SPACE": "\n", "CATEGORY_NOT_WORD": " ", "CATEGORY_DIGIT": "1"}.get(str(arg), "a")
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            out += example(arg[2], branch) * max(arg[0], 1)
+        elif op == "SUBPATTERN":
+            out += example(arg[3], branch)
+        elif op == "BRANCH":
+            out += example(arg[1][min(branch, len(arg[1]) - 1)], branch)
+    return out
+
+
+def ungated(text):
+    low = text.lower()
+    found = {(m.start(), m.end(), r.priority, r.label) for r in lic.RULES for m in re.finditer(r.pattern, low)}
+    return sorted(
+        d for d in found
+        if not any(e[0] <= d[0] and e[1] >= d[1] and (e[2] < d[2] or e[2] == d[2] and e[:2] != d[:2]) for e in found)
+    )
+
+
+def test_every_rule_finds_its_text_without_regard_to_keywords(spark):
+    texts = ["TOUS DROITS RÉSERVÉS", "Tous droits réservés.", "Todos los derechos reservados", "Alle Rechte vorbehalten",
+             "in the public\ndomain", "to the public  domain"]
+    assert all(ungated(t) for t in texts)
+    for r in lic.RULES:
+        made = {example(re._parser.parse(r.pattern), branch) for branch in range(3)}
+        made = [t for t in made if re.search(r.pattern, t)]
+        assert made, r.pattern
+        texts += made
+    texts += [t.upper() for t in texts[:6]]
+    for r in lic.license_scan(docs(spark, texts)).collect():
+        got = sorted((f.start, f.end, f.priority, f.label) for f in r.found or [])
+        assert got == ungated(texts[r.doc_id]), texts[r.doc_id]
