@@ -44,6 +44,20 @@ SENSITIVE = {
     "secretkey": 1.0, "authkey": 0.9, "bearer": 0.8, "connectionstring": 0.7, "salt": 0.5,
     "auth": 0.5, "key": 0.4, "pin": 0.4,
 }
+# Before "key", these make as sensitive a name as "privatekey".
+SENSITIVE |= {
+    f"{kind}key": 1.0 for kind in (
+        "encryption", "encrypt", "encrypted", "decryption", "signing", "signature", "sign", "ssh", "hmac",
+        "master", "rsa", "aes", "dsa", "ssl", "tls", "pgp", "gpg", "jwt", "crypto", "cipher", "session",
+        "shared", "host", "license",
+    )
+}
+# Names of this weight at least may hold a phrase of several words.
+STRONG = 0.9
+# Names from this weight on count in full before a literal that looks random.
+WEAK = 0.35
+# Parts that make a key public wherever they stand, and parts that do at the end of a name.
+NO_SECRET = frozenset(("public", "foreign", "primary", "sort"))
 HARMLESS = frozenset((
     "public", "name", "file", "path", "url", "count", "length", "type", "id", "expires", "limit",
     "size", "max", "min", "foreign", "primary", "sort",
@@ -68,16 +82,39 @@ _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
 def name_weight(name: str) -> float:
-    """How sensitive a target name is, from 0 to 1, by its parts and by neighbouring parts joined."""
+    """How sensitive a target name is, from 0 to 1, by its parts and by neighbouring parts joined.
+
+    Different parts add up.
+    """
     parts = [p.lower() for p in _PARTS.findall(name)]
-    joined = parts + [a + b for a, b in zip(parts, parts[1:])]
+    joined = [a + b for a, b in zip(parts, parts[1:])]
     weight = max((SENSITIVE.get(p, 0.0) for p in joined), default=0.0)
-    return weight * (0.4 if parts and parts[-1] in HARMLESS else 1.0)
+    weight = max(weight, min(1.0, sum(SENSITIVE.get(p, 0.0) for p in dict.fromkeys(parts))))
+    if weight < 0.6 and not NO_SECRET.isdisjoint(parts):
+        weight *= 0.3
+    return weight * (0.3 if parts and parts[-1] in HARMLESS else 1.0)
+
+
+def randomness(value: str) -> float:
+    """From 0 to 1, how often a literal changes from letters to digits or back, or to upper case.
+
+    Random ones do so at every third character or so, words and names of a program hardly.
+    """
+    if len(value) < 10 or any(c.isspace() for c in value):
+        return 0.0
+    changes = sum(
+        a.isdigit() != b.isdigit() and a.isalnum() and b.isalnum() or a.islower() and b.isupper()
+        for a, b in zip(value, value[1:])
+    )
+    return min(1.0, max(0.0, changes / (len(value) - 1) - 0.18) / 0.15)
 
 
-def literal_weight(value: str) -> float:
-    """How much a literal looks like a secret: length, entropy, kinds of characters."""
-    if len(value) < 6 or PLACEHOLDER.match(value) or any(c.isspace() for c in value):
+def literal_weight(value: str, phrase: bool = False) -> float:
+    """How much a literal looks like a secret: length, entropy, kinds of characters.
+
+    White space is allowed in a ``phrase`` only.
+    """
+    if len(value) < 6 or PLACEHOLDER.match(value) or not phrase and any(c.isspace() for c in value):
         return 0.0
     n = len(value)
     entropy = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
@@ -155,7 +192,12 @@ def literal_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, in
                     weights.setdefault(span, -weight)
     spans = []
     for (start, end), sensitive in weights.items():
-        score = sensitive * literal_weight(text[start:end])
+        value = text[start:end]
+        if sensitive >= WEAK:  # a random literal makes up for a weaker name
+            named = sensitive + (1 - sensitive) * randomness(value)
+        else:
+            named = sensitive
+        score = named * literal_weight(value, sensitive >= STRONG)
         if score >= threshold:
             spans.append((start, end, score))
     return sorted(spans)

@@ -162,3 +162,23 @@ def test_every_rule_finds_its_text_without_regard_to_keywords(spark):
     for r in lic.license_scan(docs(spark, texts)).collect():
         got = sorted((f.start, f.end, f.priority, f.label) for f in r.found or [])
         assert got == ungated(texts[r.doc_id]), texts[r.doc_id]
+
+
+@pytest.mark.parametrize("name", sorted(sec.SENSITIVE) + [
+    "encryption_key", "signingKey", "ssh_key", "DB_AUTH", "hmac_key", "key", "user.pin",
+])
+@pytest.mark.parametrize("value", ["Zk93jXq27LmP", "h7Gk2+PqL9/xTz4Wd0Rb5Yc=", "x7f3k9q2m5z8w1"])
+def test_every_sensitive_name_reaches_a_random_literal(name, value):
+    text = f'{name} = "{value}"'
+    assert [text[s:e] for s, e, _ in sec.literal_spans(text)] == [value]
+    assert value not in sec.redact(text)
+
+
+@pytest.mark.parametrize("text,secrets", [
+    ('password = "correct horse battery staple"', ["correct horse battery staple"]),
+    ("passphrase: 'correct horse battery'", ["correct horse battery"]),
+    ('key = "correct horse battery staple"', []), ('key = "user_name"', []), ('key = "UserNameField2"', []),
+    ('public_key = "Zk93jXq27LmP"', []), ('primaryKey = "Zk93jXq27LmP"', []), ('key_id = "Zk93jXq27LmP"', []),
+])
+def test_phrases_and_weak_names(text, secrets):
+    assert [text[s:e] for s, e, _ in sec.literal_spans(text)] == secrets
