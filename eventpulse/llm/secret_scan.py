@@ -2,7 +2,8 @@
 
 The lexer reads source and configuration syntax line by line into pairs of a target name and a
 value: ``name = "x"``, ``name: x``, ``"name" => 'x'``, ``name := x``, ``export NAME=x``,
-``<name>x</name>``. A value is a literal, another name, or a sum of these. Names that stand for
+``<name>x</name>`` with or without attributes. A literal may have a prefix, as ``b"x"``, or triple
+quotes. A value is a literal, another name, or a sum of these. Names that stand for
 constants are propagated through the text, forwards, until the literal is known, so that
 ``a = "..."`` followed by ``db_password = a`` scores the literal of ``a`` by the name
 ``db_password``. A literal is scored by how sensitive the names are that it reaches, and by how
@@ -71,11 +72,16 @@ THRESHOLD = 0.6
 _NAME = r"[A-Za-z_][A-Za-z0-9_]*(?:[.\-][A-Za-z_][A-Za-z0-9_]*)*"
 # A name begins where no name goes on, so that a long run of letters is tried once.
 _TARGET = re.compile(
-    rf"""(?<![A-Za-z0-9_])(?<![A-Za-z0-9_][.\-])(?:(?P<q>["'])(?P<quoted>{_NAME})(?P=q)|(?P<bare>{_NAME}))(?:\[[^\]\n]{{0,80}}\])?"""
-    r"""[ \t]*(?::[ \t]*[A-Za-z_][\w.\[\]]{0,60}[ \t]*(?==))?(?:=>|:=|\+=|==|=|:(?!//))[ \t]*"""
+    rf"""(?<![A-Za-z0-9_])(?<![A-Za-z0-9_][.\-])(?:(?P<q>["'])(?P<quoted>{_NAME})(?P=q)|(?P<bare>{_NAME}))(?:\[(?:[^\[\]\n]|\[[^\[\]\n]*+\])*+\])?"""
+    r"""[ \t]*(?::[ \t]*[A-Za-z_][\w.\[\]]*+[ \t]*(?==))?(?:=>|:=|\+=|==|=|:(?!//))[ \t]*"""
+)
+_XML = re.compile(rf"<(?P<tag>{_NAME})(?:\s[^<>]*+)?>(?P<value>[^<>\n]++)</(?P=tag)>")
+# A prefix, and triple quotes over lines before others. What is possessive needs no bound.
+_QUOTED = re.compile(
+    r"[bBrRuUfFlLtT@$]{0,2}(?:"
+    r'"""((?:[^"\\]|\\[\s\S]|"(?!""))*+)"""' + r"|'''((?:[^'\\]|\\[\s\S]|'(?!''))*+)'''"
+    r'|"((?:[^"\\\n]|\\.)*+)"' + r"|'((?:[^'\\\n]|\\.)*+)')"
 )
-_XML = re.compile(rf"<(?P<tag>{_NAME})>(?P<value>[^<>\n]{{1,4096}})</(?P=tag)>")
-_QUOTED = re.compile(r'"((?:[^"\\\n]|\\.)*)"' + r"|'((?:[^'\\\n]|\\.)*)'")
 _PLUS = re.compile(r"[ \t]*(?:\+|\.\.)[ \t]*")
 _BARE = re.compile(r"""[^\s,;"'()\[\]{}<>]+""")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
@@ -135,8 +141,12 @@ def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]
         terms, at = [], m.end()
         while True:
             if quoted := _QUOTED.match(text, at):
-                k = 1 if quoted.group(1) is not None else 2
-                terms.append(("literal", quoted.group(k), quoted.start(k), quoted.end(k)))
+                k = quoted.lastindex
+                value, start = quoted.group(k), quoted.start(k)
+                if k < 3:  # without the lines' ends inside triple quotes
+                    start += len(value) - len(value.lstrip())
+                    value = value.strip()
+                terms.append(("literal", value, start, start + len(value)))
                 at = quoted.end()
             elif bare := _BARE.match(text, at):
                 word = bare.group(0)

@@ -182,3 +182,18 @@ def test_every_sensitive_name_reaches_a_random_literal(name, value):
 ])
 def test_phrases_and_weak_names(text, secrets):
     assert [text[s:e] for s, e, _ in sec.literal_spans(text)] == secrets
+
+
+@pytest.mark.parametrize("text,secrets", [
+    *((f'password = {p}"Zk93jXq27LmP"', ["Zk93jXq27LmP"]) for p in ("b", "r", "u", "f", "Rb", "B")),
+    ("password = b'Zk93jXq27LmP' + b'q27LmPww9'", ["Zk93jXq27LmP", "q27LmPww9"]),
+    ('password = """Zk93jXq27LmP"""', ["Zk93jXq27LmP"]), ("token = '''\nZk93jXq27LmP\n'''\nx = 1", ["Zk93jXq27LmP"]),
+    ('private_key = """-----BEGIN\nZk93jXq27LmP\n"""', ["-----BEGIN\nZk93jXq27LmP"]), ('password = ""', []),
+    ("<privateKey>" + "Zk93jXq2" * 1000 + "</privateKey>", ["Zk93jXq2" * 1000]),
+    ('<password lang="x" n="1">q8W2zzT9k</password>', ["q8W2zzT9k"]),
+    ("password: " + "Type." * 20 + 'T = "Zk93jXq27LmP"', ["Zk93jXq27LmP"]),
+    ("password[" + "k" * 200 + '] = "Zk93jXq27LmP"', ["Zk93jXq27LmP"]), ('password[a[0]] = "Zk93jXq27LmP"', ["Zk93jXq27LmP"]),
+    *((part * 60_000, []) for part in ("a[", "a[x[c]", "<a ", "a:x[", "<a b>", 'x="', 'x="""\\"', "x='''\"\"\"", "a:b ", "[a]")),
+])
+def test_lexer_reads_prefixes_triple_quotes_attributes_and_long_parts(text, secrets):
+    assert [text[s:e] for s, e, _ in sec.literal_spans(text)] == secrets
