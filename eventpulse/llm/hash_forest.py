@@ -112,7 +112,8 @@ def _nearest_in_block(k: int, bits: int, kind: pa.DataType):
                     d, i = np.append(best_d, d[other]), np.append(best_id, ids[part][other])
                     if len(d) > k:
                         near = d <= np.partition(d, k - 1)[k - 1]
-                        d, i = d[near], i[near]
+                        if len(np.unique(i[near])) >= k:  # else repeated ids hide farther ones
+                            d, i = d[near], i[near]
                     top = np.lexsort((i, d))
                     # Rows of one id count once, as their nearest.
                     _, first = np.unique(i[top], return_index=True)

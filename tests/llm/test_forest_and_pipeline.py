@@ -131,3 +131,12 @@ def test_pipeline_of_an_empty_table_and_of_driver_documents(spark, tmp_path):
     out = cp.run(spark, "/root/testdata/sf0.001").toPandas()
     assert (out.groupby("sequence_id").length.sum() <= 4096).all() and len(out) > 150
     assert lid.UNKNOWN == "und"
+
+
+def test_an_id_repeated_more_than_k_times_hides_no_other(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(1, 60)] + [(100, [0.1] * 4)]
+    rows += [(77, (0.1 + rng.normal(size=4) / 100).tolist()) for _ in range(40)]
+    got, want = found(spark, rows, trees=2, share=1.0), exact(rows, lambda i: i % 10 == 0, 5)
+    assert {q: [i for _, i in n] for q, n in got.items()} == {q: [i for _, i in n] for q, n in want.items()}
+    assert want[100][0][1] == 77 and len(got[100]) == 5
