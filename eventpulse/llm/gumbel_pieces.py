@@ -16,8 +16,9 @@ of a set of probability ``m`` is the path's time plus an exponential of rate ``m
 
 No piece goes on beyond a blank, so a lattice is a chain of words' lattices. Those of the distinct
 words of some texts are built together in arrays, and all paths of these texts grow together. The
-uniform numbers come from a hash of the row's key, the sample, the word and the step, so a row gets
-the same samples wherever and whenever it is computed.
+uniform numbers come from a hash of the row's key, what they are for, the sample, the word or edge
+and the step, so no number is used twice, and a row gets the same samples wherever and whenever it
+is computed.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ SPACE = "▁"  # fixed value: the character that stands for a blank in pieces
 
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _SLOT_BITS = 18
+# First counters of random numbers, one for each use.
+_FIRST, _GROWTH, _WAIT, _BRANCH, _AGAIN = range(5)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -227,7 +230,7 @@ class Search:
         texts = len(keys)
         first = lattice.first[words]
         edges, occ = self._grow(np.arange(len(words)), first, 0)
-        time = np.log(-np.log(uniform(keys, 0, 0, 0)))
+        time = np.log(-np.log(uniform(keys, _FIRST, 0, 0)))
         self._add(edges, occ, time, np.zeros(texts, np.int64), np.ones(texts, bool))
         self.used: dict[tuple[int, int], list[int]] = {}
 
@@ -238,7 +241,7 @@ class Search:
         while len(occ):
             text = self.text_of[occ]
             nth = occ - self.first_word[text]
-            u = uniform(self.keys[text], 1 + sample, nth, step)
+            u = uniform(self.keys[text], _GROWTH, sample, nth, step)
             e = self.lattice.draw(position, u)
             edges.append(e)
             of.append(occ)
@@ -269,7 +272,7 @@ class Search:
             mass = np.where(lone, -np.inf, before + np.log(np.maximum(-np.expm1(logp), 0)))
         nth = np.arange(len(edges)) - bounds[text]
         sample = len(self.paths)
-        wait = np.log(-np.log(uniform(self.keys[text], 2 + (sample << 8), nth, 0)))
+        wait = np.log(-np.log(uniform(self.keys[text], _WAIT, sample, nth)))
         beside = np.logaddexp(time[text], wait - mass)
         beside[(nth < fresh[text]) | ~drawn[text] | ~np.isfinite(mass)] = np.inf
         self.paths.append({
@@ -301,8 +304,8 @@ class Search:
         time, path, node = self.next_times()
         lattice, sample, texts = self.lattice, len(self.paths), len(self.keys)
         drawn = np.isfinite(time)
-        u = uniform(self.keys, 3, sample, 0)
-        wait = np.log(-np.log(uniform(self.keys, 4, sample, 0)))
+        u = uniform(self.keys, _BRANCH, sample)
+        wait = np.log(-np.log(uniform(self.keys, _AGAIN, sample)))
         kept_edges, kept_occ, go_occ, go_pos = [], [], [], []
         fresh = np.zeros(texts, np.int64)
         for t in np.flatnonzero(drawn).tolist():

@@ -218,3 +218,23 @@ def test_rejection_spares_rare_languages_and_finds_unlearnt_ones(spark):
 
 def _calibrates(spark, text):
     return spark.range(1).selectExpr(f"pmod(xxhash64('{text}'), {lid.CALIBRATION}) = 0 AS c").first().c
+
+
+def test_second_sample_of_several_words_has_its_law(pieces):
+    model, p = pieces
+    every = [((), 0.0)]
+    for word in ("of", "an", "it"):
+        own = segmentations(g.SPACE + word, model, p)
+        every = [(a + b, v + w) for a, v in every for b, w in own]
+    probability = np.exp([w for _, w in every])
+    probability /= probability.sum()
+    place, n = {ids: i for i, (ids, _) in enumerate(every)}, 20_000
+    out = g.sampled(["of an it"] * n, keys(n), model, p, 2)
+    drawn = np.array([[place[tuple(np.frombuffer(s[0], "<u4").tolist())] for s in own] for own in out])
+    law = sum(
+        np.where(np.arange(len(every)) == a, 0, q * probability / (1 - q)) for a, q in enumerate(probability)
+    )
+    for nth, law in ((0, probability), (1, law)):
+        expected, seen = n * law, np.bincount(drawn[:, nth], minlength=len(every))
+        chi = (np.square(seen - expected) / expected)[expected >= 5]
+        assert chi.sum() < len(chi) + 6 * math.sqrt(2 * len(chi))
