@@ -24,6 +24,7 @@ is computed.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -393,7 +394,7 @@ def row_key(key: object) -> int:
 
 def sample_segmentations(
     table: DataFrame, model_file: str, *, k: int = SAMPLES, sharpness: float = SHARPNESS,
-    id_column: str = "doc_id", text: str = "text",
+    id_column: str = "doc_id", text: str = "text", digest: str | None = None,
 ) -> DataFrame:
     """``doc_id, sample, ids, log_prob, gumbel, log_inclusion`` per row of ``table`` and sample, from 1.
 
@@ -401,11 +402,15 @@ def sample_segmentations(
     ``k`` segmentations gives all of them, each included with certainty. A null text counts as empty, and an
     empty text has one segmentation, of no pieces. The id is the key of the random numbers: rows of
     one id and text get the same samples, a null id is a key of its own. Other columns are not
-    looked at; an empty table gives no rows.
+    looked at; an empty table gives no rows. ``digest`` names one more column, the CRC-32 of the
+    text as the model normalises it, for :func:`decode` to be held against.
     """
     rows = table.select(col(id_column).alias("doc_id"), col(text).cast("string").alias("text"))
     names = ["doc_id", "sample", "ids", "log_prob", "gumbel", "log_inclusion"]
-    kinds = (pa.int32(), pa.binary(), pa.float64(), pa.float64(), pa.float64())
+    kinds = [pa.int32(), pa.binary(), pa.float64(), pa.float64(), pa.float64()]
+    if digest:
+        names.append(digest)
+        kinds.append(pa.int64())
 
     def sample(batches):
         import sentencepiece
@@ -418,8 +423,11 @@ def sample_segmentations(
             ends = np.cumsum([len(t) for t in texts])
             cuts = np.flatnonzero(np.diff(ends // BATCH_CHARS)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]):
+                more = [
+                    (zlib.crc32(normalised(t, model).encode()),) if digest else () for t in texts[a:b]
+                ]
                 out = [
-                    (a + t, nth, *one)
+                    (a + t, nth, *one, *more[t])
                     for t, own in enumerate(sampled(texts[a:b], keys[a:b], model, pieces, k))
                     for nth, one in enumerate(own, 1)
                 ]
@@ -428,9 +436,15 @@ def sample_segmentations(
                 yield pa.RecordBatch.from_arrays([ids, *found], names)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(
-        sample, f"doc_id {kind}, sample int, ids binary, log_prob double, gumbel double, log_inclusion double"
-    )
+    schema = f"doc_id {kind}, sample int, ids binary, log_prob double, gumbel double, log_inclusion double"
+    if digest:
+        schema += f", `{digest.replace('`', '``')}` bigint"
+    return rows.mapInArrow(sample, schema)
+
+
+def normalised(text: str, model) -> str:
+    """What a text is after encoding and decoding: normalised, without the blank in front."""
+    return model.normalize(text).replace(SPACE, " ").removeprefix(" ")
 
 
 def decoded(ids: bytes | None, texts: list[bytes]) -> str | None:

@@ -238,3 +238,8 @@ def test_second_sample_of_several_words_has_its_law(pieces):
         expected, seen = n * law, np.bincount(drawn[:, nth], minlength=len(every))
         chi = (np.square(seen - expected) / expected)[expected >= 5]
         assert chi.sum() < len(chi) + 6 * math.sqrt(2 * len(chi))
+
+
+def test_the_query_decodes_every_document(spark):
+    out = queries.op1_gumbel_pieces(spark, "/root/testdata/sf0.001")
+    assert out.count() > 100 and out.where("decoded_crc32 IS DISTINCT FROM text_crc32").count() == 0
