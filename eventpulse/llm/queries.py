@@ -13,6 +13,7 @@ from eventpulse.llm.hash_forest import nearest_neighbours
 from eventpulse.llm.license_scan import license_scan
 from eventpulse.llm.line_dedup import MIN_WORDS, delete_repeated_runs
 from eventpulse.llm.packing import pack_documents
+from eventpulse.llm.periodic_runs import periodic_runs
 from eventpulse.llm.secret_scan import by_kind, find_secrets
 from eventpulse.llm.simhash import hex16, near_duplicates
 from eventpulse.llm.url_filter import ALLOW, BLOCK, Rule, judge_urls
@@ -164,6 +165,35 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def _repeated_in_places(docs: DataFrame) -> DataFrame:
+    """The documents with a repeated stretch of words put into every tenth, by the hash of its id."""
+    words = docs.select(
+        "doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"),
+        F.array_remove(F.split("text", r"[\x20\x09-\x0D]+", -1), "").alias("words"),
+    )
+    return words.selectExpr(
+        "doc_id", "text", "words", "h % 10 = 0 AND size(words) > 0 AS chosen",
+        "CAST(h DIV 10 % greatest(size(words), 1) AS INT) AS a", "CAST(3 + h DIV 10 % 8 AS INT) AS times",
+    ).selectExpr("doc_id", "text", "words", "chosen", "a", "1 + (size(words) - a) DIV times AS p").select(
+        "doc_id", F.when(F.col("chosen"), F.expr("""array_join(concat(slice(words, 1, a), slice(
+            flatten(array_repeat(slice(words, a + 1, CAST(p AS INT)), CAST((size(words) - a) DIV p + 1 AS INT))),
+            1, size(words) - a)), ' ')""")).otherwise(F.col("text")).alias("text"),
+    )
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_repeated_in_places(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "strongest.start",
+        "strongest.length", "strongest.period",
+        F.expr("1000 * strongest.length DIV strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256)
+        .alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_gumbel_pieces": op1_gumbel_pieces,
     "op2_language_id": op2_language_id,
@@ -175,6 +205,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
