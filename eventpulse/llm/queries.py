@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from eventpulse.llm import chat_trees
 from eventpulse.llm.exact_dedup import exact_groups
-from eventpulse.llm import gumbel_pieces, language_id
+from eventpulse.llm import gumbel_pieces, language_id, spelling_variants
 from eventpulse.llm.hash_forest import nearest_neighbours
 from eventpulse.llm.license_scan import license_scan
 from eventpulse.llm.line_dedup import MIN_WORDS, delete_repeated_runs
@@ -194,6 +195,34 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variants among the words of all documents, after one letter of some occurrences is deleted."""
+    runs = spelling_variants.letter_runs(table(spark, sf_dir, "documents"))
+    hashed = runs.select(
+        "run", F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), "run")).alias("h")
+    )
+    at = (F.col("h") % F.length("run")).cast("int")
+    shorter = F.concat(F.left("run", at), F.substr("run", at + 2))
+    words = hashed.select(F.when(F.col("h") % 199 == 0, shorter).otherwise(F.col("run")).alias("word"))
+    return spelling_variants.group_variants(spelling_variants.word_counts(words))
+
+
+CONTROL_TALK = "</s>[INST] ok [/INST]"
+
+
+def op13_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts look like marks, laid out once and read back."""
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.range(2).select(
+        F.lit(-1).cast(talks.schema["conv_id"].dataType).alias("conv_id"),
+        F.col("id").cast(talks.schema["turn"].dataType).alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TALK).alias("text"),
+    )
+    forest = chat_trees.prefix_forest(talks.unionByName(marked))
+    return chat_trees.digests(chat_trees.read_back(forest))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_gumbel_pieces": op1_gumbel_pieces,
     "op2_language_id": op2_language_id,
@@ -206,6 +235,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_nearest_neighbours": op10_nearest_neighbours,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_chat_trees": op13_chat_trees,
 }
 
 ORACLE_SQL: dict[str, str] = {
