@@ -8,10 +8,10 @@ positions of some table, with certainty.
 
 Links are found between distinct fingerprints, never between documents. A bucket of two is decided
 while counting; larger ones are searched within a task that gives a tree of links, not all pairs.
-Buckets beyond ``bucket_rows`` take another exact way: two fingerprints are within an even radius
-exactly when some word is within half of it from both, so each member names all words that near,
-and members that share a word are one component. No word is named by more members than lie that
-near to it, whatever the bucket's size.
+Buckets beyond ``bucket_rows`` take another exact way: two fingerprints are within the radius
+exactly when some word lies within half of it from both, rounded down for one and up for the other,
+so each member names all words that near, and members that share a word are one component. No word
+is named by more members than lie that near to it, whatever the bucket's size.
 """
 
 from __future__ import annotations
@@ -105,7 +105,8 @@ def _forest(fps: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
     while len(left):
         first, front, left = left[0], left[:1], left[1:]
         while len(front) and len(left):
-            near = np.bitwise_count(left ^ front[0]) <= radius
+            # Of signed numbers, the bits of the absolute value would be counted.
+            near = np.bitwise_count((left ^ front[0]).view(np.uint64)) <= radius
             for member in left[near]:
                 yield int(member), int(first)
             front, left = np.concatenate([front[1:], left[near]]), left[~near]
@@ -145,28 +146,28 @@ def _bucket_links(members: DataFrame, radius: int) -> DataFrame:
 def _dense_links(fps: DataFrame, radius: int) -> DataFrame:
     """Links among any number of fingerprints through the words between them.
 
-    An odd radius is an even one once a parity bit is added to each fingerprint.
+    Each names the words within half the radius, rounded up, and marks those within half of it,
+    rounded down. Two fingerprints within the radius share a word that one of them has marked, and
+    whoever shares a marked word is within the radius of the one that marked it. So all that share
+    a word are linked to the smallest that has marked it.
     """
-    odd, half = radius % 2, (radius + 1) // 2
     flips = [
-        (sum(1 << p for p in c if p < BITS), int(BITS in c))
-        for k in range(half + 1) for c in itertools.combinations(range(BITS + odd), k)
+        (sum(1 << p for p in places), k <= radius // 2)
+        for k in range((radius + 1) // 2 + 1) for places in itertools.combinations(range(BITS), k)
     ]
-    parity = F.bit_count("fp") % 2 if odd else F.lit(0)
-    named = fps.select(
-        "fp", parity.alias("parity"), F.posexplode(_longs([f for f, _ in flips])).alias("i", "flip")
-    )
-    extra = F.element_at(F.array(*[F.lit(x) for _, x in flips]), F.col("i") + 1) if odd else F.lit(0)
+    far = next((i for i, (_, marked) in enumerate(flips) if not marked), len(flips))
+    named = fps.select("fp", F.posexplode(_longs([f for f, _ in flips])).alias("i", "flip"))
     words = named.select(
-        "fp", F.col("flip").bitwiseXOR(F.col("fp")).alias("word"),
-        ((F.col("parity") + extra) % 2).alias("side"),
+        "fp", F.col("flip").bitwiseXOR(F.col("fp")).alias("word"), (F.col("i") < far).alias("marked")
     )
     least = saved(
-        words.groupBy("word", "side").agg(F.min("fp").alias("b"), F.max("fp").alias("hi"))
-        .where("b <> hi").drop("hi"),
+        words.groupBy("word").agg(
+            F.min(F.when(F.col("marked"), F.col("fp"))).alias("b"),
+            F.min("fp").alias("lo"), F.max("fp").alias("hi"),
+        ).where("b IS NOT NULL AND lo <> hi").select("word", "b"),
         "between",
     )
-    return words.join(least, ["word", "side"]).where("fp <> b").select(F.col("fp").alias("a"), "b")
+    return words.join(least, "word").where("fp <> b").select(F.col("fp").alias("a"), "b")
 
 
 def links(fps: DataFrame, radius: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:

@@ -10,7 +10,7 @@ from eventpulse.llm import simhash as s
 from eventpulse.llm._graph import components
 
 
-def classes(nodes, linked):
+def classes(nodes, linked, pairs=None):
     first = {n: n for n in nodes}
 
     def find(n):
@@ -18,8 +18,8 @@ def classes(nodes, linked):
             n = first[n]
         return n
 
-    for a, b in itertools.combinations(nodes, 2):
-        if linked(a, b):
+    for a, b in itertools.combinations(nodes, 2) if pairs is None else pairs:
+        if pairs or linked(a, b):
             x, y = sorted((find(a), find(b)))
             first[y] = x
     return {n: find(n) for n in nodes}
@@ -34,7 +34,7 @@ def test_every_pair_within_the_radius_meets_in_a_table(radius):
         assert any(apart & m == 0 for m in masks)
 
 
-@pytest.mark.parametrize("radius,bucket_rows", [(4, 1024), (4, 2), (3, 1024), (3, 2), (0, 1024)])
+@pytest.mark.parametrize("radius,bucket_rows", [(4, 1024), (4, 2), (3, 1024), (3, 2), (1, 2), (0, 1024), (0, 2)])
 def test_classes_equal_brute_force(spark, radius, bucket_rows):
     rng = random.Random(5)
     words = [rng.getrandbits(64) for _ in range(12)]
@@ -93,3 +93,28 @@ def test_null_and_repeated_ids(spark):
 def test_forest_links_stay_in_a_class():
     fps = np.array([0, 1, 3, 7, 7 << 40, (7 << 40) + 1], np.int64)
     assert {a for a, _ in s._forest(fps, 1)} == {1, 3, 7, (7 << 40) + 1}
+
+
+def test_forest_links_reach_over_the_sign_bit():
+    low = -(1 << 63)
+    fps = np.array([0, low, low + 1, low + 3, low + (7 << 30), 7 << 30, -1], np.int64)
+    bits = {int(x): int(x) & (2**64 - 1) for x in fps}
+    for radius in (1, 2, 3, 4):
+        want = classes(sorted(bits), lambda a, b: (bits[a] ^ bits[b]).bit_count() <= radius)
+        first = {n: n for n in bits}
+        for member, root in s._forest(fps, radius):
+            first[member] = root
+        assert {n: first[n] for n in bits} == want
+
+
+def test_classes_of_the_driver_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").limit(2500)
+    prints = s.fingerprints(docs, shingle=4).select("fp").distinct().collect()
+    words = np.array(sorted(r.fp for r in prints), np.int64)
+    apart = np.bitwise_count(words.view(np.uint64)[:, None] ^ words.view(np.uint64)[None, :])
+    near = [(int(words[i]), int(words[j])) for i, j in zip(*np.nonzero(apart <= 4))]
+    want = classes(words.tolist(), None, near)
+    fps = spark.createDataFrame([(int(w),) for w in words], "fp bigint")
+    for bucket_rows in (1024, 4):
+        got = {r.node: r.root for r in components(s.links(fps, 4, bucket_rows)).collect()}
+        assert {w: got.get(w, w) for w in words.tolist()} == want
