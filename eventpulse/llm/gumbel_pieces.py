@@ -40,7 +40,7 @@ SAMPLES = 2
 SHARPNESS = 0.25
 RANK_OFFSET = 10
 SEED = 11
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 250_000
 SPACE = "▁"  # fixed value: the character that stands for a blank in pieces
 
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -102,20 +102,30 @@ class Pieces:
             hashes, np.arange(1 << _SLOT_BITS, dtype=np.uint64) << np.uint64(64 - _SLOT_BITS)
         )
         byte_ids = np.zeros(256, np.int64)
-        texts = [b""] * size
         for i in range(size):
             if model.is_byte(i):
-                value = int(model.id_to_piece(i)[3:5], 16)
-                byte_ids[value], texts[i] = i, bytes([value])
-            elif i not in special:
-                texts[i] = model.id_to_piece(i).replace(SPACE, " ").encode()
+                byte_ids[int(model.id_to_piece(i)[3:5], 16)] = i
         return Pieces(
             hashes, np.array([ends[h] for h in hashes.tolist()]), weights,
-            -sharpness * float(np.log(len(normal) + RANK_OFFSET)), byte_ids, texts,
+            -sharpness * float(np.log(len(normal) + RANK_OFFSET)), byte_ids, piece_texts(model),
             max(len(model.id_to_piece(i)) for i in normal), slots,
         )
 
 
+def piece_texts(model) -> list[bytes]:
+    """What each piece stands for; control pieces for nothing."""
+    texts = []
+    for i in range(model.get_piece_size()):
+        piece = model.id_to_piece(i)
+        if model.is_byte(i):
+            texts.append(bytes([int(piece[3:5], 16)]))
+        elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
+            texts.append(b"")
+        else:
+            texts.append(piece.replace(SPACE, " ").encode())
+    return texts
+
+
 def _extended(h: int, code: int) -> int:
     return (h * int(_STEP) + code + 1) & 0xFFFFFFFFFFFFFFFF
 
@@ -394,7 +404,7 @@ def row_key(key: object) -> int:
 
 def sample_segmentations(
     table: DataFrame, model_file: str, *, k: int = SAMPLES, sharpness: float = SHARPNESS,
-    id_column: str = "doc_id", text: str = "text", digest: str | None = None,
+    id_column: str = "doc_id", text: str = "text", round_trip: bool = False,
 ) -> DataFrame:
     """``doc_id, sample, ids, log_prob, gumbel, log_inclusion`` per row of ``table`` and sample, from 1.
 
@@ -402,15 +412,15 @@ def sample_segmentations(
     ``k`` segmentations gives all of them, each included with certainty. A null text counts as empty, and an
     empty text has one segmentation, of no pieces. The id is the key of the random numbers: rows of
     one id and text get the same samples, a null id is a key of its own. Other columns are not
-    looked at; an empty table gives no rows. ``digest`` names one more column, the CRC-32 of the
-    text as the model normalises it, for :func:`decode` to be held against.
+    looked at; an empty table gives no rows. With ``round_trip`` there are two more columns,
+    ``text_crc32`` of the text as the model normalises it and ``decoded_crc32`` of the decoded sample.
     """
     rows = table.select(col(id_column).alias("doc_id"), col(text).cast("string").alias("text"))
     names = ["doc_id", "sample", "ids", "log_prob", "gumbel", "log_inclusion"]
     kinds = [pa.int32(), pa.binary(), pa.float64(), pa.float64(), pa.float64()]
-    if digest:
-        names.append(digest)
-        kinds.append(pa.int64())
+    if round_trip:
+        names += ["text_crc32", "decoded_crc32"]
+        kinds += [pa.int64(), pa.int64()]
 
     def sample(batches):
         import sentencepiece
@@ -423,22 +433,25 @@ def sample_segmentations(
             ends = np.cumsum([len(t) for t in texts])
             cuts = np.flatnonzero(np.diff(ends // BATCH_CHARS)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]):
-                more = [
-                    (zlib.crc32(normalised(t, model).encode()),) if digest else () for t in texts[a:b]
-                ]
                 out = [
-                    (a + t, nth, *one, *more[t])
+                    (a + t, nth, *one)
                     for t, own in enumerate(sampled(texts[a:b], keys[a:b], model, pieces, k))
                     for nth, one in enumerate(own, 1)
                 ]
+                if round_trip:
+                    sums = [zlib.crc32(normalised(t, model).encode()) for t in texts[a:b]]
+                    out = [
+                        (*o, sums[o[0] - a], zlib.crc32(decoded(o[2], pieces.texts).encode()))
+                        for o in out
+                    ]
                 ids = batch.column(0).take(pa.array([o[0] for o in out], pa.int32()))
                 found = [pa.array([o[i + 1] for o in out], t) for i, t in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays([ids, *found], names)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, sample int, ids binary, log_prob double, gumbel double, log_inclusion double"
-    if digest:
-        schema += f", `{digest.replace('`', '``')}` bigint"
+    if round_trip:
+        schema += ", text_crc32 bigint, decoded_crc32 bigint"
     return rows.mapInArrow(sample, schema)
 
 
@@ -464,7 +477,7 @@ def decode(
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import sentencepiece
 
-        texts = Pieces.of(sentencepiece.SentencePieceProcessor(model_file=model_file)).texts
+        texts = piece_texts(sentencepiece.SentencePieceProcessor(model_file=model_file))
         for part in parts:
             yield part.map(lambda i: decoded(None if i is None else bytes(i), texts))
 
