@@ -70,6 +70,7 @@ PLACEHOLDER = re.compile(
 THRESHOLD = 0.6
 
 _NAME = r"[A-Za-z_][A-Za-z0-9_]*(?:[.\-][A-Za-z_][A-Za-z0-9_]*)*"
+_WHOLE_NAME = re.compile(_NAME).fullmatch
 # A name begins where no name goes on, so that a long run of letters is tried once.
 _TARGET = re.compile(
     rf"""(?<![A-Za-z0-9_])(?<![A-Za-z0-9_][.\-])(?:(?P<q>["'])(?P<quoted>{_NAME})(?P=q)|(?P<bare>{_NAME}))(?:\[(?:[^\[\]\n]|\[[^\[\]\n]*+\])*+\])?"""
@@ -84,6 +85,11 @@ _QUOTED = re.compile(
 )
 _PLUS = re.compile(r"[ \t]*(?:\+|\.\.)[ \t]*")
 _BARE = re.compile(r"""[^\s,;"'()\[\]{}<>]+""")
+# Every sensitive name holds one of these.
+_HINT = re.compile("pass|pwd|secret|token|key|credential|bearer|connectionstring|salt|auth|pin", re.I)
+_UNSEPARATED = str.maketrans("", "", "_.-")
+# What a value may begin with.
+_BEARS = re.compile(r"""[^\s,;()\[\]{}<>]""")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -92,6 +98,9 @@ def name_weight(name: str) -> float:
 
     Different parts add up.
     """
+    # Each of these names, whole or joined, stands in the name without its separators.
+    if not _HINT.search(name.translate(_UNSEPARATED)):
+        return 0.0
     parts = [p.lower() for p in _PARTS.findall(name)]
     joined = [a + b for a, b in zip(parts, parts[1:])]
     weight = max((SENSITIVE.get(p, 0.0) for p in joined), default=0.0)
@@ -129,15 +138,51 @@ def literal_weight(value: str, phrase: bool = False) -> float:
     return min(1.0, 0.3 + 0.1 * entropy + 0.1 * mixed)
 
 
+def _value_bounds(text: str, targets: list[re.Match]) -> list[int]:
+    """Where the unquoted value of each target ends at the latest.
+
+    A run without blanks may hold many targets, as the query string of a url does. Its pieces end
+    before an ``&`` and a target. The first target of a piece has the whole piece for its value, the
+    last what is left of it, and those between what stands before the next target, so that all
+    values together are at most twice as long as the text.
+    """
+    bounds, run_end, owned = [], 0, 0
+    # The first target behind each that begins a piece.
+    opens, following = [len(text) + 1] * len(targets), len(text) + 1
+    for i in range(len(targets) - 1, -1, -1):
+        opens[i] = following
+        start = targets[i].start()
+        if start and text[start - 1] == "&":
+            following = start
+    for i, m in enumerate(targets):
+        at = m.end()
+        if at >= run_end:
+            run = _BARE.match(text, at)
+            run_end = run.end() if run else at
+        end = min(run_end, opens[i] - 1)
+        if at < owned:  # within the piece of another target
+            if i + 1 < len(targets):
+                end = min(end, targets[i + 1].start())
+        else:
+            owned = end
+        bounds.append(max(end, at))
+    return bounds
+
+
 def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]]]]:
     """Pairs of target name and terms of its value, in the order of the text.
 
-    A term is ``("literal", value, start, end)`` or ``("name", name, start, end)``.
+    A term is ``("literal", value, start, end)`` or ``("name", name, start, end)``. Terms joined by a
+    plus are read up to the next target, so that the time is in proportion to the text.
     """
     found = []
-    for m in _TARGET.finditer(text):
-        if m.group(0).rstrip().endswith("=="):
-            continue
+    bears = _BEARS.match
+    targets = [
+        m for m in _TARGET.finditer(text)
+        if bears(text, m.end()) and not text[m.start():m.end()].rstrip().endswith("==")
+    ]
+    for i, (m, bound) in enumerate(zip(targets, _value_bounds(text, targets))):
+        following = targets[i + 1].start() if i + 1 < len(targets) else len(text)
         terms, at = [], m.end()
         while True:
             if quoted := _QUOTED.match(text, at):
@@ -148,15 +193,15 @@ def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]
                     value = value.strip()
                 terms.append(("literal", value, start, start + len(value)))
                 at = quoted.end()
-            elif bare := _BARE.match(text, at):
+            elif bare := _BARE.match(text, at, bound if at == m.end() else max(at, following)):
                 word = bare.group(0)
-                kind = "name" if re.fullmatch(_NAME, word) else "literal"
+                kind = "name" if _WHOLE_NAME(word) else "literal"
                 terms.append((kind, word, bare.start(), bare.end()))
                 at = bare.end()
             else:
                 break
-            plus = _PLUS.match(text, at)
-            if not plus:
+            plus = _PLUS.match(text, at) if at < following else None
+            if not plus or plus.end() >= following:
                 break
             at = plus.end()
         if terms:

@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -197,3 +198,27 @@ def test_phrases_and_weak_names(text, secrets):
 ])
 def test_lexer_reads_prefixes_triple_quotes_attributes_and_long_parts(text, secrets):
     assert [text[s:e] for s, e, _ in sec.literal_spans(text)] == secrets
+
+
+@pytest.mark.parametrize("text", [
+    "&".join(f"k{i}=v{i}" for i in range(400_000)), "x=" * 400_000, 'a["' * 400_000,
+    "&".join(f"password=p{i}Zk9" for i in range(60_000)), "x=a + " * 160_000, "x=q?x=1 + " * 100_000,
+    "token=" * 160_000, "x='y=\"" * 160_000, "a:b[" * 200_000, "x=$" * 200_000, "<a b" * 200_000,
+    "password : " * 90_000, 'x="""' * 180_000, "a" * 1_000_000, "a." * 500_000, "x" + " " * 1_000_000,
+    "AKIA" * 250_000, "a=>" * 200_000,
+], ids=lambda t: t[:12])
+def test_time_grows_with_the_length_of_a_text(text):
+    """A quadratic way takes minutes for these."""
+    began = time.process_time()
+    spans = sec.all_spans(text)
+    sec.redact(text[:len(text) // 8])
+    assert time.process_time() - began < (30 if len(text) > 2_000_000 else 12) and isinstance(spans, list)
+
+
+def test_values_in_query_strings_end_at_the_next_name():
+    text = "https://h/p?a=1&secret_key=Zk93jXq27LmP&b=2&db_password=Tr0ub4dor9x"
+    values = [text[s:e] for s, e, _ in sec.literal_spans(text)]
+    assert values == ["Zk93jXq27LmP", "Tr0ub4dor9x"]
+    assert [(n, [t[1] for t in terms]) for n, terms in sec.assignments("a=b=c x=y&z=q=r=s t=")] == [
+        ("a", ["b=c"]), ("b", ["c"]), ("x", ["y"]), ("z", ["q=r=s"]), ("r", ["s"]),
+    ]
