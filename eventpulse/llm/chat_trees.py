@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
-from eventpulse.llm._common import col, numbered, saved, shuffle_parts
+from eventpulse.llm._common import broadcast_if_small, col, numbered, saved, shuffle_parts
 
 # The template: marks around a turn, by role; any other role is named between ROLE marks.
 MARKS = {
@@ -43,6 +43,9 @@ CONTROLS = tuple(chain(*MARKS.values(), (OTHER, ROLE, END)))
 CODES = "0123456789"
 LEARNT = "assistant"
 
+# Forks are broadcast up to this many (16 bytes each), and shuffled beyond.
+BROADCAST_ROWS = 500_000
+
 PRIMES = ((1 << 61) - 1, (1 << 60) - 93)
 BASES = (0x1A5C3D7E9B2F4861, 0x0C7B5E3F1D29A865)
 
@@ -273,7 +276,9 @@ def prefix_forest(
     nodes = nodes.drop("most", "x_low", "x_high")
 
     forks = nodes.where("k > 1").groupBy("g1", "g2").agg(F.count("*").alias("n")).where("n > 1")
-    begins = nodes.join(forks.drop("n"), ["g1", "g2"], "left_semi").unionByName(nodes.where("k = 1"))
+    # Saved, so that a turn with very many different answers can be split in the join.
+    forks = broadcast_if_small(saved(forks.drop("n"), "forks"), BROADCAST_ROWS)
+    begins = nodes.where("k > 1").join(forks, ["g1", "g2"], "left_semi").unionByName(nodes.where("k = 1"))
     begins = saved(begins.select("h1", "h2", F.col("row_no").alias("owner")), "begins")
 
     step = F.struct("k", "pos", "h1", "h2", (F.col("row_no") == F.col("owner")).alias("owned"))
