@@ -35,6 +35,7 @@ INSULTS = (
 )
 TERMS = INSULTS + ("of the", "on the")
 WILD_TERMS = ("st_pid", "wor%less", "of t_e", "idiot", "mor_n")
+INNER_LETTERS = "abdfghkmpz"
 LEXICON = {**{w: -2 for w in INSULTS}, "the": 1, "with": 1, "and": 1}
 
 
@@ -164,6 +165,23 @@ def flag_posts_wildcards_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.groupBy("post_id").agg(F.count(F.lit(1)).alias("n_terms"))
 
 
+def inner_wildcards(spark: SparkSession) -> DataFrame:
+    """A thousand terms with three letters anywhere inside."""
+    letter = lambda i: F.substr(F.lit(INNER_LETTERS), i.cast("int") + 1, F.lit(1))
+    digits = [F.floor(F.col("id") / 10**k) % 10 for k in (2, 1, 0)]
+    return spark.range(10**3).select(
+        F.concat(F.lit("%"), *[letter(d) for d in digits], F.lit("%")).alias("term")
+    )
+
+
+def flag_posts_inner_wildcards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = ep.flag_posts(
+        documents(spark, sf_dir).select("post_id", "text"), inner_wildcards(spark),
+        multiplicity=PER_TERM,
+    )
+    return pairs.select("post_id", "term")
+
+
 def flagged_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     flags = ep.drop_copies(ep.flag_posts(posts(spark, sf_dir), terms(spark)))
     return ep.count_per_window(flags, CALENDAR, drop_bad_time=True)
@@ -361,7 +379,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     tag_counts_merged, tags_only_new, tags_in_both, tags_with_counterpart, flagged_tag_counts,
     flagged_tag_counts_per_term, tag_cloud_weights, flagged_tag_cloud_weights,
     posts_per_window_stream, flag_posts_stream, events_per_window_by_table_shuffled,
-    flag_posts_wildcards_long, window_report_two_pass, window_report_by_table,
+    flag_posts_wildcards_long, flag_posts_inner_wildcards, window_report_two_pass, window_report_by_table,
     flag_posts_stream_long_list, json_posts_flagged, json_tag_counts, chunks_round_trip,
     routed_round_trip, tag_file_round_trip, annotated_round_trip,
 )
@@ -549,6 +567,11 @@ def oracle_sql() -> dict[str, str]:
         "flag_posts_wildcards_long": with_(
             "SELECT post_id, count(*) AS n_terms FROM opened GROUP BY post_id", _OPEN,
         ),
+        "flag_posts_inner_wildcards": f"""
+            WITH l(c) AS (SELECT unnest(string_split('{INNER_LETTERS}', ''))),
+            t AS (SELECT '%' || a.c || b.c || d.c || '%' AS term FROM l a, l b, l d)
+            SELECT doc_id AS post_id, term FROM documents, t
+            WHERE text LIKE '% ' || term || ' %'""",
         "flag_posts_stream_long_list": with_(
             "SELECT DISTINCT post_id AS doc_id FROM opened", _OPEN,
         ),

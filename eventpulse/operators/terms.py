@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from eventpulse._session import MAX_VALUE_CHARS, rows_if_small
 from eventpulse._skew import SALT, digest, salted
 from eventpulse.functions.text import sql_list, sql_string
+from eventpulse.operators.patterns import linear_regex, meet_patterns
 
 PER_POST = "per_post"
 PER_TERM = "per_term"
@@ -83,8 +84,8 @@ class TermSet:
         column = F.col(f"`{text}`")
         tests: list[Column] = []
         if self.patterns:
-            bodies = "|".join(_like_regex(body) for _, body in self.patterns)
-            tests.append(column.rlike(f"(?s) (?:{bodies}) "))
+            bodies = "|".join(linear_regex(body) for _, body in self.patterns)
+            tests.append(column.rlike(rf"(?s)\A(?:{bodies})"))
         for k, phrases in self.phrases.items():
             if k == 1 and len(phrases) <= FEW_WORDS:
                 few = F.array(*[F.lit(p) for p in phrases])
@@ -110,7 +111,7 @@ class TermSet:
                 starts = f"filter({_starts('ws', k)}, i -> {_is_phrase(k, phrases)})"
                 exact.append(f"transform({starts}, i -> {_run(k)})")
         tried = [
-            f"CASE WHEN `{text}` RLIKE {sql_string(f'(?s) {_like_regex(body)} ')} "
+            f"CASE WHEN `{text}` RLIKE {sql_string(rf'(?s)\A{linear_regex(body)}')} "
             f"THEN {sql_string(term)} END"
             for term, body in self.patterns
         ]
@@ -188,15 +189,6 @@ def _like_body(term: str, mode: str) -> str:
     return re.sub(r"\\([%_\\])|\\", lambda m: m.group(0) if m.group(1) else r"\\", term)
 
 
-def _like_regex(body: str) -> str:
-    """A LIKE pattern as a regular expression; ``.`` also takes a newline under ``(?s)``."""
-    parts = re.findall(r"\\[%_\\]|[%_]|[^%_\\]+", body)
-    special = {"%": ".*", "_": "."}
-    return "".join(
-        special[p] if p in special else re.escape(p[1:] if p[0] == "\\" else p) for p in parts
-    )
-
-
 # In the SQL text below, a one-element array binds the words of a text to the
 # lambda variable `ws`; written out, they would be split anew for every element.
 
@@ -241,8 +233,8 @@ def _flag_by_join(
 
     A match depends on the text alone: which terms a text holds is found by digests of the texts,
     and joined back to the posts. An exact term is looked for by its first word, and the run that
-    begins there compared with it; a wildcard term by a part of it without wildcards, and the text
-    compared with the whole pattern. A list within the bound is broadcast to the words, so that
+    begins there compared with it; a wildcard term by literal characters of it, and the text compared
+    with the whole term (:mod:`eventpulse.operators.patterns`). A list within the bound is broadcast to the words, so that
     only what was found is shuffled. Beyond it the words of the distinct texts are, and the join is
     salted, as some words are in most texts. The matches are too many to repeat: where one text is
     a third of all posts, adaptive execution splits that part of the last join.
@@ -282,8 +274,10 @@ def _flag_by_join(
         masked = F.col("_term").rlike(ONE_OPEN) if mode == LIKE else F.lit(False)
         met = _meet_masked(cut, names.where(wild & masked), small, salts)
         found = found.unionByName(met.select("_digest", "_term"))
-        met = _meet_patterns(texts, names.where(wild & ~masked), mode, small, salts)
-        found = found.unionByName(met.select("_digest", "_term"))
+        rest = names.where(wild & ~masked)
+        found = found.unionByName(
+            meet_patterns(texts, rest, mode == LITERAL, _words("_text"), small, salts)
+        )
 
     keyed = posts.withColumn("_digest", digest(text))
     if multiplicity == PER_POST:
@@ -329,73 +323,3 @@ def _meet_masked(cut: DataFrame, names: DataFrame, small: bool, salts: int) -> D
         f"ws -> array_distinct({every})))"
     )).alias("_key"))
     return _meet(words, names.withColumn("_key", F.col("_term")), small, salts)
-
-
-# A part of a pattern is looked up by at most so many characters.
-PART_CHARS = 8
-
-
-def _meet_patterns(
-    texts: DataFrame, names: DataFrame, mode: str, small: bool, salts: int
-) -> DataFrame:
-    """Texts with the wildcard terms they hold, by an index of literal parts.
-
-    Between spaces, a pattern is cut at its wildcards. A part between two spaces is a word of any
-    text that matches; a part after a space begins a word, one before a space ends a word. The
-    longest of these is the pattern's key, and only texts with that key are compared with it.
-    A pattern without any, such as ``%``, meets every text.
-    """
-    if mode == LITERAL:
-        body = F.regexp_replace("_term", r"([%_\\])", r"\\$1")
-        literal = F.array(F.concat(F.lit(" "), "_term", F.lit(" ")))
-    else:
-        # A backslash that escapes nothing is literal, as in _like_body.
-        body = F.regexp_replace(
-            "_term", r"\G((?:[^\\]|\\[%_\\])*+)\\(?![%_\\])", r"$1\\\\"
-        )
-        # Parts end at a wildcard, and at an escaped character to be on the safe side.
-        literal = F.split(F.concat(F.lit(" "), "_term", F.lit(" ")), r"[%_\\]", -1)
-    keyed = names.withColumn("_parts", literal).select(
-        "_term", F.concat(F.lit("% "), body, F.lit(" %")).alias("_pattern"),
-        F.expr(_pattern_keys("_parts")).alias("_keys"),
-    )
-    best = F.expr("array_max(transform(_keys, k -> struct(length(k) AS n, k)))")
-    keyed = keyed.withColumn("_best", best).select(
-        "_term", "_pattern", F.coalesce(F.col("_best.k"), F.lit("")).alias("_key")
-    )
-    # Which kinds of keys there are, at most three of each length.
-    kinds = [
-        (r.kind, r.n) for r in
-        keyed.select(F.left("_key", F.lit(1)).alias("kind"), (F.length("_key") - 1).alias("n"))
-        .distinct().collect()
-    ]
-    cuts, whole = [], []
-    for kind, n in sorted(kinds):
-        if kind == "=":
-            whole.append("transform(ws, w -> concat('=', w))")
-        elif kind == "<":
-            cuts.append(f"transform(filter(ws, w -> length(w) >= {n}), w -> concat('<', left(w, {n})))")
-        elif kind == ">":
-            cuts.append(f"transform(filter(ws, w -> length(w) >= {n}), w -> concat('>', right(w, {n})))")
-        else:
-            cuts.append("array('')")
-    cuts = cuts + whole[:1] or ["array('')"]
-    keys = f"flatten(transform(array({_words('_text')}), ws -> array_distinct(concat({', '.join(cuts)}))))"
-    words = texts.select("_digest", "_text", F.explode(F.expr(keys)).alias("_key"))
-    return _meet(words, keyed, small, salts).where(F.expr("_text LIKE _pattern"))
-
-
-def _pattern_keys(parts: str) -> str:
-    """SQL text: the keys of literal parts, ``=word``, ``<beginning`` or ``>end``.
-
-    The parts of a word are those between spaces; outer ones of a part without a space at that
-    side are incomplete.
-    """
-    pieces = f"flatten(transform({parts}, p -> transform(split(p, ' ', -1), (w, i) -> struct(w, " \
-             f"i > 0 AS begins, i < size(split(p, ' ', -1)) - 1 AS ends))))"
-    key = (
-        f"CASE WHEN x.begins AND x.ends AND length(x.w) <= {PART_CHARS} THEN concat('=', x.w) "
-        f"WHEN x.begins THEN concat('<', left(x.w, {PART_CHARS})) "
-        f"ELSE concat('>', right(x.w, {PART_CHARS})) END"
-    )
-    return f"transform(filter({pieces}, x -> length(x.w) > 0 AND (x.begins OR x.ends)), x -> {key})"

@@ -1,9 +1,11 @@
 import re
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from eventpulse.operators import patterns
 from eventpulse.operators.terms import (
     LITERAL, PER_TERM, TermSet, compile_terms, drop_copies, flag_posts, matched_timestamps,
 )
@@ -130,6 +132,51 @@ def test_wildcards_by_index_equal_a_list_in_the_plan(posts_of, terms_of, mode, b
     assert {r.text for r in kept} == {t for t, _ in want}
 
 
+INNER = st.text(alphabet="ab%_\\ é", min_size=0, max_size=9)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    texts=st.lists(st.text(alphabet="aab é%\\_", max_size=40), min_size=1, max_size=30),
+    terms=st.lists(INNER, min_size=1, max_size=12, unique=True),
+    grams=st.sampled_from([0, 10_000]), count_from=st.sampled_from([1, 256]),
+    chunk=st.sampled_from([3, 1 << 16]),
+)
+def test_wildcards_inside_words_equal_like(posts_of, terms_of, texts, terms, grams, count_from, chunk):
+    posts = posts_of(*[(t, str(i)) for i, t in enumerate(texts)])
+    want = sorted((i, w) for i, t in enumerate(texts) for w in terms if like(t, w))
+    with pytest.MonkeyPatch.context() as patch:
+        for name, value in (("PLAN_GRAMS", grams), ("COUNT_FROM", count_from), ("CHUNK_CHARS", chunk)):
+            patch.setattr(patterns, name, value)
+        for limit, broadcast in ((0, 10_000), (0, 0), (10_000, 0)):
+            got = flag_posts(
+                posts, terms_of(*terms), multiplicity=PER_TERM, max_terms=limit,
+                broadcast_terms=broadcast,
+            ).collect()
+            assert sorted((int(r.timestamp_ms), r.term) for r in got) == want
+
+
+def test_every_term_with_three_letters_in_a_row_has_a_key(terms_of):
+    terms = terms_of("%abc%", "%a_abcd%", "a%xyz%b", "%xyzzy%pl", "%", "_", "%ab%", "%é%").select(
+        F.col("term").alias("_term")
+    )
+    best = {r._term: r._best for r in patterns.indexed(terms, False).collect()}
+    assert best["%abc%"] == ["~abc"] and best["%a_abcd%"] == ["~abc", "~bcd"]
+    assert best["a%xyz%b"] == ["~xyz"] and best["%xyzzy%pl"] == ["~xyz", "~yzz", "~zzy", ">pl"][:3] + [">pl"]
+    assert best["%"] == best["_"] == [] and best["%ab%"] == ["~ab"] and best["%é%"] == ["~é"]
+
+
+@pytest.mark.parametrize("limit", [10_000, 0])
+def test_many_wildcards_in_long_texts_take_linear_time(spark, posts_of, limit):
+    """Backtracking tries all places of all parts: here some 10**15."""
+    posts = posts_of((" " + "ab" * 60_000 + " ", "1"), ("x " + "ab " * 100, "2"))
+    terms = spark.createDataFrame([("%a%a%a%b%c%",), ("%b%ba%ab%",), ("%_a%_b%ca%",)], "term string")
+    began = time.monotonic()
+    got = flag_posts(posts, terms, multiplicity=PER_TERM, max_terms=limit).collect()
+    assert sorted((r.timestamp_ms, r.term) for r in got) == [("1", "%b%ba%ab%")]
+    assert time.monotonic() - began < 30
+
+
 def test_ten_thousand_wildcards_do_not_crash(spark, posts_of):
     posts = posts_of(("a word7 b", "1"), ("a other b", "2"))
     terms = spark.range(10_001).selectExpr("concat('wo_d', id) AS term")
