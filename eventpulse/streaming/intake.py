@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
 from eventpulse._session import shared_folder
+from eventpulse._skew import digest
 from eventpulse.calendars import TOURNAMENT
 from eventpulse.functions.time import event_millis
+from eventpulse.operators.as_of import assign_as_of
 from eventpulse.operators.terms import LIKE, compile_terms, flag_posts
-from eventpulse.operators.windows import HALF_OPEN, AnyCalendar, count_per_window
+from eventpulse.operators.windows import HALF_OPEN, AnyCalendar, WindowTable, count_per_window
 from eventpulse.schemas import TWEET
+from eventpulse.sources.versions import Versions
 
 
 def stream_files(
@@ -102,16 +106,18 @@ def flag_batches(
 
 
 def run_flagged(
-    posts: DataFrame, terms: DataFrame, path: str | None = None, *, mode: str = LIKE
+    posts: DataFrame, terms: DataFrame, path: str | None = None, *, mode: str = LIKE,
+    progress: str | None = None,
 ) -> DataFrame:
     """Flag a stream over all files present into a table, and read that table.
 
     The list may have any size. Beyond a plan, each batch replaces its own folder,
-    so one that is repeated after a failure is not doubled.
+    so one that is repeated after a failure is not doubled. With ``path`` and ``progress`` of
+    an earlier run it goes on from there.
     """
     spark = posts.sparkSession
     if compile_terms(terms, mode=mode) is not None:
-        return run_to_parquet(flag_stream(posts, terms, mode=mode), path)
+        return run_to_parquet(flag_stream(posts, terms, mode=mode), path, progress)
     path = path or shared_folder(spark, "rows")
     empty = spark.createDataFrame([], posts.schema)
     empty.write.mode("overwrite").parquet(f"{path}/batch=-1")
@@ -119,10 +125,106 @@ def run_flagged(
     def write(flagged: DataFrame, batch_id: int) -> None:
         flagged.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    flag_batches(posts, terms, write, shared_folder(spark, "progress"), mode=mode).awaitTermination()
+    progress = progress or shared_folder(spark, "progress")
+    flag_batches(posts, terms, write, progress, mode=mode).awaitTermination()
     return spark.read.parquet(path).select(*posts.columns)
 
 
+def without_copies(rows: DataFrame, text: str = "text", time: str = "timestamp_ms") -> DataFrame:
+    """``text`` and ``time`` of a stream, exact copies once however far apart they arrive.
+
+    A state for each distinct pair is kept for good, by the SHA-256 of the text. It is partitioned
+    by these keys; :func:`state_on_disk` keeps it out of the executors' memory.
+    """
+    keyed = rows.select(text, time).withColumn("_digest", digest(text))
+    return keyed.dropDuplicates(["_digest", time]).drop("_digest")
+
+
+DISK_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries started within keep their state in a store on disk, saved with their progress."""
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": DISK_STATE,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def run_flagged_distinct(
+    posts: DataFrame, terms: DataFrame, path: str | None = None, *, mode: str = LIKE,
+    time: str = "timestamp_ms", progress: str | None = None,
+) -> DataFrame:
+    """Flagged ``(text, time)`` of all files present, copies dropped over the whole stream.
+
+    The same as :func:`eventpulse.operators.terms.drop_copies` of all flagged posts, for a list of
+    any size: beyond a plan the flagged posts are first written as a table, which is streamed in turn,
+    so that a batch of it which is repeated after a failure meets its own state. With ``path`` and
+    ``progress`` of an earlier run it goes on from there.
+    """
+    spark = posts.sparkSession
+    progress = progress or shared_folder(spark, "progress")
+    if compile_terms(terms, mode=mode) is not None:
+        flagged = flag_stream(posts, terms, mode=mode)
+    else:
+        between = f"{progress}/flagged-rows"
+        run_flagged(posts, terms, between, mode=mode, progress=f"{progress}/flagged")
+        flagged = spark.readStream.schema(posts.schema).parquet(between)
+    with state_on_disk(spark):
+        return run_to_parquet(without_copies(flagged, time=time), path, f"{progress}/distinct")
+
+
+def run_counts_by_table(
+    posts: DataFrame, calendar: WindowTable, root: str | None = None, *, time: str = "timestamp_ms",
+    bounds: str = HALF_OPEN, progress: str | None = None,
+) -> DataFrame:
+    """Count per window of a calendar that is a table, over all files so far.
+
+    Batch by batch, the distinct times are merged with the windows, and the counts added to those of
+    earlier batches. The sums and the number of the batch change together, so that a batch which is
+    repeated after a failure is not counted twice. With ``root`` and ``progress`` of an earlier run
+    it goes on from there.
+    """
+    spark = posts.sparkSession
+    versions = Versions(spark, root or shared_folder(spark, "counts"))
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        current = versions.current()
+        if current and current.notes["batch"] >= batch_id:
+            return
+        times = batch.groupBy(time).agg(F.count(F.lit(1)).alias("n"))
+        counts = assign_as_of(
+            times, calendar.windows, base_ms=calendar.base_ms, before=calendar.before,
+            other=calendar.other, time=time, bounds=bounds,
+        ).select("bucket", "n")
+        if current:
+            counts = counts.unionByName(spark.read.parquet(*current.folders))
+        folder = versions.stage()
+        counts.groupBy("bucket").agg(F.sum("n").alias("n")).write.parquet(folder)
+        versions.commit(folder, batch=batch_id)
+
+    query = (
+        posts.writeStream.foreachBatch(each)
+        .option("checkpointLocation", progress or shared_folder(spark, "progress"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    current = versions.current()
+    if current is None:
+        return spark.createDataFrame([], "bucket int, n bigint")
+    return spark.read.schema("bucket int, n bigint").parquet(*current.folders)
+
+
 def run_counts(counts: DataFrame) -> DataFrame:
     """Run a counting stream over all files present and give the final counts.
 
@@ -145,14 +247,19 @@ def run_counts(counts: DataFrame) -> DataFrame:
     return spark.read.schema(counts.schema).parquet(path)
 
 
-def run_to_parquet(rows: DataFrame, path: str | None = None) -> DataFrame:
-    """Run a row stream over all files present into a table, and read that table."""
+def run_to_parquet(
+    rows: DataFrame, path: str | None = None, progress: str | None = None
+) -> DataFrame:
+    """Run a row stream over all files present into a table, and read that table.
+
+    With the folder ``progress`` of an earlier run it goes on from there.
+    """
     spark = rows.sparkSession
     path = path or shared_folder(spark, "rows")
     query = (
         rows.writeStream.format("parquet").outputMode("append")
         .option("path", path)
-        .option("checkpointLocation", shared_folder(spark, "progress"))
+        .option("checkpointLocation", progress or shared_folder(spark, "progress"))
         .trigger(availableNow=True)
         .start()
     )
