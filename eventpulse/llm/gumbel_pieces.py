@@ -25,8 +25,10 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -40,7 +42,7 @@ SAMPLES = 2
 SHARPNESS = 0.25
 RANK_OFFSET = 10
 SEED = 11
-BATCH_CHARS = 250_000
+BATCH_CHARS = 500_000
 SPACE = "▁"  # fixed value: the character that stands for a blank in pieces
 
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -355,13 +357,16 @@ class Search:
         self._add(edges[order], occ[order], time, fresh, drawn)
 
 
-def sampled(texts: list[str], keys: np.ndarray, model, pieces: Pieces, k: int) -> list[list[tuple]]:
-    """Per text up to ``k`` of ``(ids, log probability, gumbel, log inclusion)``, the largest gumbel first."""
-    index: dict[str, int] = {}
+def sampled(
+    texts: list[str], keys: np.ndarray, model, pieces: Pieces, k: int, normal: list[str] | None = None
+) -> list[list[tuple]]:
+    """Per text, which may be given as ``normal``ised by the model already, up to ``k`` of ``(ids, log probability, gumbel, log inclusion)``, the largest gumbel first."""
+    normal = [model.normalize(t) for t in texts] if normal is None else normal
+    index: defaultdict[str, int] = defaultdict(count().__next__)
     words, text_of = [], []
-    for t, text in enumerate(texts):
-        own = [index.setdefault(w, len(index)) for w in _WORD.findall(model.normalize(text))]
-        words.append(np.array(own, np.int64))
+    for t, text in enumerate(normal):
+        own = _WORD.findall(text)
+        words.append(np.fromiter(map(index.__getitem__, own), np.int64, len(own)))
         text_of.append(np.full(len(own), t))
     none = np.empty(0, np.int64)
     search = Search(
@@ -371,7 +376,7 @@ def sampled(texts: list[str], keys: np.ndarray, model, pieces: Pieces, k: int) -
     for _ in range(k - 1):
         search.more()
     left_out = search.next_times()[0]
-    found: list[list[tuple]] = [[] for _ in texts]
+    found: list[list[tuple]] = [[] for _ in normal]
     for path in search.paths:
         ids = search.lattice.ids[path["edges"]]
         size = len(pieces.weights)
@@ -433,13 +438,14 @@ def sample_segmentations(
             ends = np.cumsum([len(t) for t in texts])
             cuts = np.flatnonzero(np.diff(ends // BATCH_CHARS)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]):
+                normal = [model.normalize(t) for t in texts[a:b]]
                 out = [
                     (a + t, nth, *one)
-                    for t, own in enumerate(sampled(texts[a:b], keys[a:b], model, pieces, k))
+                    for t, own in enumerate(sampled(texts[a:b], keys[a:b], model, pieces, k, normal))
                     for nth, one in enumerate(own, 1)
                 ]
                 if round_trip:
-                    sums = [zlib.crc32(normalised(t, model).encode()) for t in texts[a:b]]
+                    sums = [zlib.crc32(plain(t).encode()) for t in normal]
                     out = [
                         (*o, sums[o[0] - a], zlib.crc32(decoded(o[2], pieces.texts).encode()))
                         for o in out
@@ -455,16 +461,17 @@ def sample_segmentations(
     return rows.mapInArrow(sample, schema)
 
 
-def normalised(text: str, model) -> str:
-    """What a text is after encoding and decoding: normalised, without the blank in front."""
-    return model.normalize(text).replace(SPACE, " ").removeprefix(" ")
+def plain(normal: str) -> str:
+    """What a text comes back as after encoding and decoding, from its normalised form: without the
+    blank in front."""
+    return normal.replace(SPACE, " ").removeprefix(" ")
 
 
 def decoded(ids: bytes | None, texts: list[bytes]) -> str | None:
     """The text of some ids; the blank that encoding puts in front is taken off."""
     if ids is None:
         return None
-    joined = b"".join([texts[i] for i in np.frombuffer(ids, "<u4").tolist()])
+    joined = b"".join(map(texts.__getitem__, np.frombuffer(ids, "<u4").tolist()))
     return joined.decode("utf-8", "replace").removeprefix(" ")
 
 
