@@ -16,14 +16,17 @@ from eventpulse._session import shared_folder
 from eventpulse.functions.time import millis_of_ntz
 from eventpulse.operators.terms import PER_TERM
 from eventpulse.operators.windows import OPEN
+from eventpulse.sources.count_table import merge_batches
 from eventpulse.sources.readers import (
-    posts_of_tweets, read_annotated, read_posts, read_tag_counts, read_tweets,
+    posts_of_tweets, read_annotated, read_lines, read_posts, read_tag_counts, read_terms, read_tweets,
+    register_view,
 )
 from eventpulse.sources.writers import (
-    write_annotated, write_by_window, write_chunks, write_json, write_tag_counts,
+    write_annotated, write_by_window, write_chunks, write_json, write_negatives, write_tag_counts,
 )
 from eventpulse.streaming.intake import (
-    flag_stream, run_counts, run_flagged, run_to_parquet, running_counts, stream_files,
+    flag_stream, run_counts, run_counts_by_table, run_flagged, run_flagged_distinct, run_to_parquet,
+    running_counts, stream_files,
 )
 
 BASE_MS = 1704133800000  # 2024-01-01 18:30 UTC
@@ -122,6 +125,21 @@ def events_per_window_by_table_shuffled(spark: SparkSession, sf_dir: str) -> Dat
     return assigned.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
+def window_table(spark: SparkSession) -> ep.WindowTable:
+    windows = ep.calendar_table(spark, CALENDAR).where(F.col("bucket") < CALENDAR.before)
+    return ep.WindowTable.of(windows, BASE_MS)
+
+
+def events_per_window_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows and events merged in order of time."""
+    calendar = window_table(spark)
+    assigned = ep.assign_as_of(
+        event_times(spark, sf_dir), calendar.windows, base_ms=BASE_MS, before=CALENDAR.before,
+        other=CALENDAR.other,
+    )
+    return assigned.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
 def flag_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ep.drop_copies(ep.flag_posts(posts(spark, sf_dir), terms(spark)))
 
@@ -201,13 +219,27 @@ def sentence_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    return rows.select("doc_id", "text", F.col("toxic").alias("negative"))
+
+
 def sentence_sentiment_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
-    model = ep.fit_negative(labelled.select("text", F.col("toxic").alias("negative")))
-    known = F.col("probability").between(0.0, 1.0) & F.col("sentiment").isin(1, 2)
-    return ep.classify(model, sentences(spark, sf_dir)).select(
-        "post_id", "pos", known.alias("rated")
-    )
+    """All sentences classified by a model of words; SQL says which sentences those are."""
+    model = ep.fit_negative(labelled(spark, sf_dir))
+    return ep.classify(model, sentences(spark, sf_dir)).where(
+        F.col("probability").between(0.0, 1.0) & F.col("sentiment").isin(1, 2)
+    ).select("post_id", "pos")
+
+
+def model_document_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How a model of sentences, learnt from labels of documents, does on a held-out fifth of them."""
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
+    documents = labelled(spark, sf_dir)
+    model = ep.fit_sentences(documents.where(~held))
+    rest = documents.where(held)
+    scored = ep.classify_documents(model, rest).join(rest.select("doc_id", "negative"), "doc_id")
+    return ep.precision_recall(scored)
 
 
 def windows_with_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,6 +292,14 @@ def tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ep.tag_counts(documents(spark, sf_dir))
 
 
+def tag_counts_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents in four batches, each merged into the counts of those before it."""
+    batches = [
+        ep.tag_counts(documents(spark, sf_dir).where(F.pmod("post_id", F.lit(4)) == i)) for i in range(4)
+    ]
+    return merge_batches(spark, shared_folder(spark, "tag-counts"), batches, buckets=8)
+
+
 def top_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ep.top_tags(tag_counts(spark, sf_dir))
 
@@ -305,6 +345,23 @@ def posts_per_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_counts(running_counts(timed, CALENDAR))
 
 
+def posts_per_window_stream_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a calendar that is a table, of any size."""
+    schema = table(spark, sf_dir, "events").select("event_id", "ts").schema
+    events = stream_files(spark, f"{sf_dir}/events*.parquet", schema, format="parquet")
+    timed = events.select(millis_of_ntz("ts").alias("timestamp_ms"))
+    return run_counts_by_table(timed, window_table(spark))
+
+
+def flag_posts_stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts in files that arrive one after the other, and all of them once more."""
+    path, own = shared_folder(spark, "arriving"), posts(spark, sf_dir).select("text", "timestamp_ms")
+    for day in (1, 2):
+        own.repartition(2).write.parquet(f"{path}/day={day}")
+    arriving = stream_files(spark, f"{path}/day=*", own.schema, format="parquet", files_per_batch=1)
+    return run_flagged_distinct(arriving, terms(spark))
+
+
 def flag_posts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "documents").select("doc_id", "text").schema
     arriving = stream_files(spark, f"{sf_dir}/documents*.parquet", schema, format="parquet")
@@ -370,6 +427,34 @@ def annotated_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("bucket", "label", "sentence")
 
 
+def listed_terms_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagged by a list that is read from a file: every first word of a conversation."""
+    path = shared_folder(spark, "terms")
+    first = table(spark, sf_dir, "conversations").select(
+        F.substring_index("text", " ", 1).alias("term"), "role"
+    ).where("term rlike '^[A-Za-z]+$'").distinct()
+    first.write.option("sep", ";").option("header", True).csv(path)
+    found = ep.flag_posts(documents(spark, sf_dir), read_terms(spark, path), multiplicity=PER_TERM)
+    return found.select("post_id", "term", "role")
+
+
+def lines_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of all texts, written and read as lines, through a view and SQL."""
+    path = shared_folder(spark, "lines")
+    texts = documents(spark, sf_dir).where("text IS NOT NULL")
+    texts.select(F.explode(F.split("text", "\n", -1)).alias("value")).write.text(path)
+    name = "post_lines"
+    register_view(read_lines(spark, path), name)
+    return spark.sql(f"SELECT value AS line, count(*) AS n FROM {name} GROUP BY value")
+
+
+def negatives_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negative sentences in a folder per window name, and read from there."""
+    path = shared_folder(spark, "negatives")
+    write_negatives(ep.negatives(scored(spark, sf_dir), CALENDAR), path)
+    return spark.read.text(path).select("name", F.col("value").alias("sentence"))
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     posts_per_window, posts_per_window_open, events_per_window_by_table, flag_posts,
     flag_posts_per_term, flag_posts_wildcards, flag_posts_long_list, flagged_per_window,
@@ -381,7 +466,9 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     posts_per_window_stream, flag_posts_stream, events_per_window_by_table_shuffled,
     flag_posts_wildcards_long, flag_posts_inner_wildcards, window_report_two_pass, window_report_by_table,
     flag_posts_stream_long_list, json_posts_flagged, json_tag_counts, chunks_round_trip,
-    routed_round_trip, tag_file_round_trip, annotated_round_trip,
+    routed_round_trip, tag_file_round_trip, annotated_round_trip, events_per_window_as_of,
+    model_document_recall, tag_counts_incremental, posts_per_window_stream_by_table,
+    flag_posts_stream_distinct, listed_terms_flagged, lines_round_trip, negatives_round_trip,
 )
 
 
@@ -391,7 +478,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _corpus_queries() -> tuple[dict, dict]:
-    """Queries and SQL of the optional subpackage for training corpora; none where it is absent."""
+    """Queries and SQL of the optional subpackage for training corpora; none where it, or what it
+    needs, cannot be imported."""
     found, sql = {}, {}
     try:
         from eventpulse.llm import queries as corpus
@@ -402,9 +490,8 @@ def _corpus_queries() -> tuple[dict, dict]:
         found["pipeline"] = corpus_pipeline.run
         if corpus_pipeline.ORACLE_SQL:
             sql["pipeline"] = corpus_pipeline.ORACLE_SQL
-    except ImportError as missing:
-        if not (missing.name or "").startswith(("eventpulse.llm", "corpus_pipeline")):
-            raise
+    except ImportError:
+        pass
     return found, sql
 
 
@@ -548,6 +635,18 @@ def oracle_sql() -> dict[str, str]:
         "posts_per_window_open": with_(per_bucket.format("b"), _bucketed("b", "times", ">")),
         "events_per_window_by_table_shuffled": with_(per_bucket.format("b"), _bucketed("b", "times")),
         "events_per_window_by_table": with_(per_bucket.format("b"), _bucketed("b", "times")),
+        "events_per_window_as_of": with_(per_bucket.format("b"), _bucketed("b", "times")),
+        "posts_per_window_stream_by_table": with_(per_bucket.format("b"), _bucketed("b", "times")),
+        "flag_posts_stream_distinct": with_("SELECT text, timestamp_ms FROM flags", _FLAGGED),
+        "tag_counts_incremental": with_("SELECT tag, n FROM doc_tags", _TAGS),
+        "listed_terms_flagged": """
+            WITH t AS (SELECT DISTINCT string_split(text, ' ')[1] AS term, role FROM conversations
+                       WHERE regexp_full_match(string_split(text, ' ')[1], '[A-Za-z]+'))
+            SELECT doc_id AS post_id, term, role FROM documents, t
+            WHERE text LIKE '% ' || term || ' %'""",
+        "lines_round_trip": """
+            SELECT line, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
+            GROUP BY line""",
         "posts_per_window_stream": with_(per_bucket.format("b"), _bucketed("b", "times")),
         "flag_posts": with_("SELECT text, timestamp_ms FROM flags", _FLAGGED),
         "flag_posts_per_term": with_(
@@ -592,7 +691,7 @@ def oracle_sql() -> dict[str, str]:
             "sentence FROM scored WHERE sentiment <= 1", _SCORED,
         ),
         "sentence_sentiment_model": with_(
-            "SELECT post_id, pos, true AS rated FROM s", _sentences("s", "docs", "post_id", _LONG)
+            "SELECT post_id, pos FROM s", _sentences("s", "docs", "post_id", _LONG)
         ),
         "flag_posts_stream": with_(
             "SELECT DISTINCT d.post_id AS doc_id, d.text FROM docs d JOIN terms t "
@@ -621,6 +720,10 @@ def oracle_sql() -> dict[str, str]:
             "SELECT bucket, timestamp_ms, pos, sentence FROM scored WHERE bucket IN "
             "(SELECT bucket FROM scored WHERE sentiment <= 1)", _SCORED,
         ),
+        "negatives_round_trip": with_(
+            "SELECT n.name, s.sentence FROM scored s JOIN names n ON n.bucket = s.bucket "
+            f"WHERE s.sentiment <= 1 AND ({_LONG})", _SCORED,
+        ),
         "negative_sentences": with_(
             "SELECT n.name, s.sentence FROM scored s JOIN names n ON n.bucket = s.bucket "
             f"WHERE s.sentiment <= 1 AND ({_LONG})", _SCORED,

@@ -6,7 +6,9 @@ counted and weighted for a cloud. Everything takes and gives DataFrames.
 """
 
 from eventpulse.calendars import TOURNAMENT, Calendar
+from eventpulse.operators.as_of import assign_as_of
 from eventpulse.operators.classifier import classify, fit_negative, precision_recall
+from eventpulse.operators.instances import classify_documents, classify_sentences, fit_sentences
 from eventpulse.operators.sentiment import (
     keep_windows_with_any, negatives, negatives_per_window, score_sentences, split_sentences,
     windows_with_any,
@@ -30,8 +32,9 @@ from eventpulse.sources.readers import (
 )
 
 __all__ = [
-    "TOURNAMENT", "Calendar", "WindowTable", "assign_from_table", "calendar_table", "classify", "cloud_weights",
-    "count_per_window", "drop_copies", "fit_negative", "flag_posts", "flagged_in_windows",
+    "TOURNAMENT", "Calendar", "WindowTable", "assign_as_of", "assign_from_table", "calendar_table", "classify",
+    "classify_documents", "classify_sentences", "cloud_weights", "count_per_window", "drop_copies",
+    "fit_negative", "fit_sentences", "flag_posts", "flagged_in_windows",
     "flagged_tag_cloud", "flagged_tag_counts", "keep_windows_with_any", "matched_timestamps",
     "merge_counts", "negatives", "negatives_per_window", "posts_of_tweets", "precision_recall",
     "read_lines", "read_posts", "read_tag_counts", "read_terms", "read_tweets", "report",

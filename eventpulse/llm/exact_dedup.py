@@ -6,11 +6,12 @@ doubles while a bucket holds more entries than its capacity: an overfull bucket
 by the next bit, the others are merely named by two slots. A bucket is a range of keys, so the
 owner of a bucket reads and writes one range of the index.
 
-Equal keys do not prove equal texts. The rows of every key that occurs more than once form a
-chain; within a chain texts are compared byte by byte, and a collision gives the chain a second
-link. Copies are combined before each shuffle, so a text that makes up a third of all rows is a
-row per task there; the join that leads rows back to their link may be split by adaptive
-execution, as both its sides are shuffled for it.
+Equal keys do not prove equal texts. The index says which keys occur more than once and which bucket
+they belong to; their rows go to the owner of the bucket and form a chain there: texts are compared
+byte by byte, and a collision gives the chain a second link. Copies are combined before each shuffle,
+so a text that makes up a third of all rows is a row per task there, and a few at its owner; the join
+that leads rows back to their link may be split by adaptive execution, as both its sides are shuffled
+for it.
 
 Texts that occur once are never shuffled: the text is read twice, the second time to pick the
 rows of the chains.
@@ -27,9 +28,12 @@ from eventpulse.llm._common import broadcast_if_small, col, lower_ascii, numbere
 BUCKET_ENTRIES = 65_536
 MAX_DEPTH = 16
 
-# Repeated keys are broadcast up to this number (8 bytes each), and shuffled beyond it.
+# Repeated keys are broadcast up to this number (16 bytes each), and shuffled beyond it.
 BROADCAST_KEYS = 1_000_000
 
+# Copies of a text reach the owner of its bucket as so many rows at most.
+COMBINED_PARTS = 16
+
 KEY_BITS = 64
 
 
@@ -125,15 +129,15 @@ def exact_groups(
     keyed = norm.withColumn("key", text_key(F.col("norm"), key_bits))
     index = build_index(keyed.select("key"), capacity=capacity, max_depth=max_depth)
 
-    chained = index.where("n > 1").select(F.col("key").alias("_chained"))
+    chained = index.where("n > 1").select(F.col("key").alias("_chained"), "bucket")
     chained = broadcast_if_small(chained, broadcast_keys)
     rows = keyed.join(chained, F.col("key") == F.col("_chained"), "left")
     rows = saved(
         numbered(rows, "row_no").select(
-            "doc_id", "row_no", "key",
+            "doc_id", "row_no", "key", "bucket",
             F.sha2("norm", 256).alias("text_sha256"),
-            F.col("_chained").isNotNull().alias("chained"),
-            F.when(F.col("_chained").isNotNull(), F.col("norm")).alias("norm"),
+            F.col("bucket").isNotNull().alias("chained"),
+            F.when(F.col("bucket").isNotNull(), F.col("norm")).alias("norm"),
         ),
         "rows",
     )
@@ -141,19 +145,32 @@ def exact_groups(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"),
         F.lit(True).alias("kept"), "text_sha256", F.lit(1).alias("link"),
     )
-
-    # Grouping by the text compares bytes; the links of a chain are its different texts.
     chains = rows.where("chained")
-    links = saved(
-        chains.groupBy("key", "norm").agg(
-            F.max(F.struct("doc_id", "row_no")).alias("top"), F.count("*").alias("group_size")
-        ),
-        "links",
-    )
-    order = Window.partitionBy("key").orderBy(F.desc("top"))
-    links = saved(links.withColumn("link", F.row_number().over(order)), "chains")
+    links = saved(_owned_chains(chains), "chains")
     copies = chains.join(links, ["key", "norm"]).select(
         "doc_id", F.col("top.doc_id").alias("keep_id"), "group_size",
         (F.col("row_no") == F.col("top.row_no")).alias("kept"), "text_sha256", "link",
     )
     return single.unionByName(copies)
+
+
+def _owned_chains(chains: DataFrame, parts: int = COMBINED_PARTS) -> DataFrame:
+    """``key, norm, top, group_size, link``: the chain of every key, a link per different text.
+
+    Copies are combined on the way, in ``parts`` parts, and go to the owner of their bucket, a task
+    that holds a range of keys in order. It compares the texts of a key and numbers them, the one of
+    the largest row first.
+    """
+    part = F.pmod("row_no", F.lit(parts))
+    some = chains.groupBy("bucket", "key", "norm", part.alias("part")).agg(
+        F.max(F.struct("doc_id", "row_no")).alias("top"), F.count("*").alias("n")
+    ).drop("part")
+    held = some.repartitionByRange("bucket", "key")
+    text = Window.partitionBy("bucket", "key", "norm")
+    texts = held.select(
+        "bucket", "key", "norm", F.max("top").over(text).alias("top"),
+        F.sum("n").over(text).alias("group_size"),
+        F.row_number().over(text.orderBy(F.desc("top"))).alias("nth"),
+    ).where("nth = 1")
+    order = Window.partitionBy("bucket", "key").orderBy(F.desc("top"))
+    return texts.select("key", "norm", "top", "group_size", F.row_number().over(order).alias("link"))

@@ -2,6 +2,7 @@ from collections import defaultdict
 
 import pytest
 
+from eventpulse.llm import exact_dedup
 from eventpulse.llm.exact_dedup import build_index, exact_groups, text_key
 
 
@@ -47,3 +48,18 @@ def test_beyond_the_broadcast_bound_and_empty_and_clashing(spark):
     out = {r.doc_id: (r.keep_id, r.kept) for r in exact_groups(rows, broadcast_keys=0).collect()}
     assert out == {1: (2, False), 2: (2, True), 3: (3, True)}
     assert exact_groups(rows.limit(0)).count() == 0
+
+
+def test_the_directory_decides(spark, monkeypatch):
+    """Rows of keys that no slot leads to would not be chained."""
+    table = spark.createDataFrame([(i, f"text {i % 40}") for i in range(120)], "doc_id bigint, text string")
+    right = exact_dedup.exact_groups(table, capacity=4).where("group_size = 3").count()
+    whole = exact_dedup.directory
+
+    def halved(*args, **options):
+        slots, depth = whole(*args, **options)
+        return slots.where("slot % 2 = 0"), depth
+
+    monkeypatch.setattr(exact_dedup, "directory", halved)
+    wrong = exact_dedup.exact_groups(table, capacity=4).where("group_size = 3").count()
+    assert right == 120 and 0 < wrong < 120

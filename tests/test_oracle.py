@@ -17,8 +17,12 @@ def con():
     return oracle.connect(SF_DIR)
 
 
+# What SQL cannot express: a fitted model, held against labels in tests/test_instances.py.
+WITHOUT_SQL = {"model_document_recall"}
+
+
 def test_every_query_has_sql():
-    assert set(OWN) == set(SQL)
+    assert set(OWN) == set(SQL) | WITHOUT_SQL
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
