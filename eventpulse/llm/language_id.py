@@ -70,8 +70,10 @@ def letters(text: str | None, table: np.ndarray) -> np.ndarray:
     if codes.max(initial=0) >= 1 << 16:
         high = np.flatnonzero(codes >= 1 << 16)
         codes = codes.copy()
-        codes[high] = [0xFFFD if chr(c).isalpha() else _BLANK for c in codes[high].tolist()]
-        is_letter = table[codes] | (codes == 0xFFFD)
+        alpha = np.array([chr(c).isalpha() for c in codes[high].tolist()])
+        codes[high] = np.where(alpha, 0xFFFD, _BLANK)
+        is_letter = table[codes]
+        is_letter[high] = alpha  # a replacement character of the text itself is no letter
     else:
         is_letter = table[codes]
     if not is_letter.any():

@@ -243,3 +243,8 @@ def test_second_sample_of_several_words_has_its_law(pieces):
 def test_the_query_decodes_every_document(spark):
     out = queries.op1_gumbel_pieces(spark, "/root/testdata/sf0.001")
     assert out.count() > 100 and out.where("decoded_crc32 IS DISTINCT FROM text_crc32").count() == 0
+
+
+@pytest.mark.parametrize("text", ["\ufffd\U0001f600", "\U0001f600", "\ufffd", "1 2 \ufffd \U0001f600!"])
+def test_a_text_without_a_letter_has_no_codes(text):
+    assert len(lid.letters(text, lid._letter_table())) == 0
