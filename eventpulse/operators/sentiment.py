@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from eventpulse._columns import ColumnOrName, as_column
 from eventpulse._session import rows_if_small
 from eventpulse._skew import SALT, digest, salted
-from eventpulse.calendars import TOURNAMENT, Calendar
+from eventpulse.calendars import TOURNAMENT
 from eventpulse.functions.text import (
     SENTENCE_END, has_controls, longer_than_one, sentence_array, sql_list, sql_string, trim_blanks,
     word_array, words_sql,
@@ -26,6 +26,8 @@ LABELS = ("very negative", "negative", "neutral", "positive", "very positive")
 NEGATIVE = 1  # classes up to this one are negative
 
 # A word list of at most this many tokens is written into the plan.
+# Hit windows up to this number become a filter.
+MAX_PLAN_WINDOWS = 1_000
 MAX_PLAN_TOKENS = 10_000
 # Each different weight is a comparison per word.
 MAX_PLAN_WEIGHTS = 32
@@ -163,16 +165,18 @@ def windows_with_any(scored: DataFrame, calendar: AnyCalendar = TOURNAMENT) -> D
 
 
 def keep_windows_with_any(
-    scored: DataFrame, calendar: AnyCalendar = TOURNAMENT
+    scored: DataFrame, calendar: AnyCalendar | None = TOURNAMENT, *, max_windows: int = MAX_PLAN_WINDOWS
 ) -> DataFrame:
     """All sentences of the windows that have a negative one.
 
-    The buckets of a calendar in a plan are few, so the list of hit windows is broadcast and
-    the sentences are not shuffled. Those of a window table are left to Spark.
+    The list of hit windows is read with a bound on its length and becomes a filter, so that the
+    sentences are not shuffled. A longer one, of a window table, is joined.
     """
     hit = scored.where(F.col("sentiment") <= NEGATIVE).select("bucket").distinct()
-    few = isinstance(calendar, Calendar)
-    return scored.join(F.broadcast(hit) if few else hit, "bucket", "left_semi")
+    rows = rows_if_small(hit.where("bucket IS NOT NULL"), max_windows)
+    if rows is None:
+        return scored.join(hit, "bucket", "left_semi")
+    return scored.where(F.col("bucket").isin([r.bucket for r in rows]))
 
 
 def _score_by_join(sentences: DataFrame, lexicon: DataFrame, salts: int = 16) -> DataFrame:

@@ -74,9 +74,9 @@ def write_annotated(scored: DataFrame, path: str, mode: str = "overwrite") -> No
 
 
 def write_report(table: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """The report as one text file; it has one row per window of the calendar."""
-    lines = report_lines(table).coalesce(1).sortWithinPartitions("bucket")
-    lines.select("line").write.mode(mode).text(path)
+    """The report as text in order of the windows: one file, or several that follow each other where
+    the calendar is so large that one task should not write it."""
+    report_lines(table).select("line").write.mode(mode).text(path)
 
 
 def show_top(counts: DataFrame, k: int = 100) -> None:

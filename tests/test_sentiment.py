@@ -104,8 +104,8 @@ def test_windows_with_any(scored):
     assert sorted(map(tuple, windows_with_any(scored).collect())) == [
         (0, "TUR_ITA", 2, 1), (46, "POST_CUP", 2, 2)
     ]
-    for calendar in (TOURNAMENT, None):
-        kept = keep_windows_with_any(scored, calendar)
+    for limit in (1000, 1, 0):
+        kept = keep_windows_with_any(scored, TOURNAMENT, max_windows=limit)
         assert sorted(r.bucket for r in kept.collect()) == [0, 0, 46, 46]
 
 
