@@ -37,6 +37,8 @@ TRAIN_ROWS = 40_000
 GRAMS_AT_ONCE = 2_000_000
 # Letters times languages that are looked up at once.
 LOOKED_UP = 4_000_000
+# N-grams that a task holds before they are added up, 8 bytes each and as much again for sorting.
+COUNTED_AT_ONCE = 4_000_000
 # So many labels at most are broadcast with the hash at which their rows are cut.
 MAX_LANGUAGES = 10_000
 # Of the labelled rows, one in this many calibrates and is not counted.
@@ -258,18 +260,26 @@ def _counted(rows: DataFrame) -> DataFrame:
 
     def count(batches):
         table = _letter_table()
+        texts: dict[str, list[np.ndarray]] = {}
+        held = 0
         for batch in batches:
-            texts: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 codes = letters(text, table)
                 if len(codes):
                     texts.setdefault(lang, []).append(grams4(codes))
-            for lang, grams in texts.items():
-                keys, n = np.unique(np.concatenate(grams), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(keys)), pa.array(keys.view(np.int64)), pa.array(n)],
-                    ["lang", "gram", "n"],
-                )
+                    held += len(codes)
+                if held >= COUNTED_AT_ONCE:
+                    yield from counts(texts)
+                    texts, held = {}, 0
+        yield from counts(texts)
+
+    def counts(texts):
+        for lang, grams in texts.items():
+            keys, n = np.unique(np.concatenate(grams), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(keys)), pa.array(keys.view(np.int64)), pa.array(n)],
+                ["lang", "gram", "n"],
+            )
 
     counted = rows.mapInArrow(count, "lang string, gram bigint, n bigint")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
