@@ -42,7 +42,7 @@ SAMPLES = 2
 SHARPNESS = 0.25
 RANK_OFFSET = 10
 SEED = 11
-BATCH_CHARS = 500_000
+BATCH_CHARS = 1_000_000
 SPACE = "▁"  # fixed value: the character that stands for a blank in pieces
 
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -152,24 +152,28 @@ class Lattice:
         codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.uint64)
         until = np.repeat(self.last, sizes)
         size = len(pieces.weights)
-        keys, at = np.zeros(len(codes), np.uint64), np.arange(len(codes))
+        # For each place where a piece may still go on: the hash so far, and the word's end.
+        at, keys, limit = np.arange(len(codes)), np.zeros(len(codes), np.uint64), until
         starts, ends, ids, weights = [], [], [], []
         single = np.zeros(len(codes), bool)
         for n in range(1, pieces.longest + 1):
-            at = at[at + n <= until[at]]
+            fits = at + n <= limit
+            at, limit = at[fits], limit[fits]
             if not len(at):
                 break
-            keys[at] = keys[at] * _STEP + codes[at + n - 1] + np.uint64(1)
-            place = pieces.ends_at(keys[at] * _STEP)
-            at, place = at[place >= 0], place[place >= 0]
+            keys = keys[fits] * _STEP + codes[at + (n - 1)] + np.uint64(1)
+            place = pieces.ends_at(keys * _STEP)
+            known = place >= 0
+            at, keys, limit, place = at[known], keys[known], limit[known], place[known]
             found = pieces.ids[place]
             whole = found >= 0
-            starts.append(at[whole])
-            ends.append(at[whole] + n)
-            ids.append(found[whole])
-            weights.append(pieces.weights[found[whole]])
+            begin, found = at[whole], found[whole]
+            starts.append(begin)
+            ends.append(begin + n)
+            ids.append(found)
+            weights.append(pieces.weights[found])
             if n == 1:
-                single[at[whole]] = True
+                single[begin] = True
         spelt = np.flatnonzero(~single)
         starts.append(spelt)
         ends.append(spelt + 1)
