@@ -24,10 +24,12 @@ from eventpulse.sources.readers import (
 from eventpulse.sources.writers import (
     write_annotated, write_by_window, write_chunks, write_json, write_negatives, write_tag_counts,
 )
+from eventpulse.streaming.consume import Intake
 from eventpulse.streaming.intake import (
     flag_stream, run_counts, run_counts_by_table, run_flagged, run_flagged_distinct, run_to_parquet,
     running_counts, stream_files,
 )
+from eventpulse.streaming.standing import run_window_report
 
 BASE_MS = 1704133800000  # 2024-01-01 18:30 UTC
 CALENDAR = ep.TOURNAMENT.at(BASE_MS)
@@ -213,6 +215,17 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ep.split_sentences(documents(spark, sf_dir).select("post_id", "text"))
 
 
+def sentence_stop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each word occurs, and with a full stop behind it."""
+    return ep.stop_counts(documents(spark, sf_dir))
+
+
+def sentences_by_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences that do not end behind what these statistics say are abbreviations."""
+    found = ep.abbreviations(sentence_stop_counts(spark, sf_dir))
+    return ep.split_by_statistics(documents(spark, sf_dir).select("post_id", "text"), found)
+
+
 def sentence_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ep.score_sentences(sentences(spark, sf_dir), lexicon(spark)).select(
         "post_id", "pos", "score", "sentiment"
@@ -362,6 +375,28 @@ def flag_posts_stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_flagged_distinct(arriving, terms(spark))
 
 
+def window_report_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report kept up to date while the posts arrive in several files."""
+    path, own = shared_folder(spark, "arriving"), posts(spark, sf_dir).select("text", "timestamp_ms")
+    own.repartition(4).write.parquet(path)
+    arriving = stream_files(spark, path, own.schema, format="parquet", files_per_batch=2)
+    return run_window_report(arriving, terms(spark), lexicon(spark), CALENDAR)
+
+
+def consumed_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts as JSON files that are read once, noted and deleted."""
+    path, state = shared_folder(spark, "incoming"), shared_folder(spark, "intake")
+    write_json(tweets(spark, sf_dir).repartition(4), path)
+    intake, read = Intake(spark, path, state), shared_folder(spark, "read")
+
+    def keep(rows: DataFrame, batch: int) -> None:
+        own = posts_of_tweets(rows).select("text", "timestamp_ms")
+        own.write.mode("overwrite").parquet(intake.folder_of(read, batch))
+
+    intake.run(keep, files_per_batch=2)
+    return intake.read(read, "text string, timestamp_ms string")
+
+
 def flag_posts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "documents").select("doc_id", "text").schema
     arriving = stream_files(spark, f"{sf_dir}/documents*.parquet", schema, format="parquet")
@@ -469,6 +504,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     routed_round_trip, tag_file_round_trip, annotated_round_trip, events_per_window_as_of,
     model_document_recall, tag_counts_incremental, posts_per_window_stream_by_table,
     flag_posts_stream_distinct, listed_terms_flagged, lines_round_trip, negatives_round_trip,
+    window_report_stream, consumed_round_trip, sentence_stop_counts, sentences_by_statistics,
 )
 
 
@@ -733,6 +769,14 @@ def oracle_sql() -> dict[str, str]:
         ),
         "window_report": with_("SELECT * FROM report", _REPORT),
         "window_report_two_pass": with_("SELECT * FROM report", _REPORT),
+        "window_report_stream": with_("SELECT * FROM report", _REPORT),
+        "sentence_stop_counts": """
+            SELECT lower(rtrim(w, '.')) AS word, count(*) AS n,
+                   count(*) FILTER (WHERE w LIKE '%.') AS n_stop
+            FROM (SELECT unnest(regexp_extract_all(text, '\\pL+\\.?')) AS w FROM documents) GROUP BY 1""",
+        "consumed_round_trip": with_(
+            "SELECT text, CAST(timestamp_ms AS VARCHAR) AS timestamp_ms FROM posts"
+        ),
         "window_report_by_table": with_("SELECT * FROM report", _REPORT),
         "window_report_lines": with_(
             "SELECT bucket, name || chr(9) || ' hate tweets:' || flagged_posts || chr(9) || "

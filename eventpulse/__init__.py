@@ -13,6 +13,7 @@ from eventpulse.operators.sentiment import (
     keep_windows_with_any, negatives, negatives_per_window, score_sentences, split_sentences,
     windows_with_any,
 )
+from eventpulse.operators.sentence_ends import abbreviations, split_by_statistics, stop_counts
 from eventpulse.operators.tags import (
     cloud_weights, merge_counts, tag_counts, tags_in_both, tags_only_in, tags_with_counterpart,
     top_tags,
@@ -32,7 +33,7 @@ from eventpulse.sources.readers import (
 )
 
 __all__ = [
-    "TOURNAMENT", "Calendar", "WindowTable", "assign_as_of", "assign_from_table", "calendar_table", "classify",
+    "TOURNAMENT", "Calendar", "abbreviations", "split_by_statistics", "stop_counts", "WindowTable", "assign_as_of", "assign_from_table", "calendar_table", "classify",
     "classify_documents", "classify_sentences", "cloud_weights", "count_per_window", "drop_copies",
     "fit_negative", "fit_sentences", "flag_posts", "flagged_in_windows",
     "flagged_tag_cloud", "flagged_tag_counts", "keep_windows_with_any", "matched_timestamps",

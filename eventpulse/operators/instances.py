@@ -17,15 +17,16 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
+from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventpulse.functions.text import NON_LETTERS
 from eventpulse.operators.sentiment import split_sentences
 
-# Words in fewer sentences than this say nothing about others.
-MIN_SENTENCES = 3
+# A word whose sentences speak for or against it by no more than so many gets no weight, so that the
+# words of a single document cannot stand for its label.
+MIN_EVIDENCE = 1.5
 # The histogram of document scores from which the threshold is chosen.
 SCORE_BINS = 1000
 # A probability stays this far from 0 and 1, so that its logarithm is finite.
@@ -67,46 +68,46 @@ def fit_sentences(
     text: str = "text",
     label: str = "negative",
     features: int = 1 << 16,
-    max_rounds: int = 6,
-    max_iter: int = 30,
-    reg_param: float = 0.0005,
+    max_rounds: int = 4,
+    max_iter: int = 25,
+    min_evidence: float = MIN_EVIDENCE,
     tolerance: float = 0.002,
 ) -> SentenceModel:
     """Fit a classifier of sentences on documents with a label 0/1.
 
     ``document`` must be distinct per row. Documents without a sentence and null labels are left
-    out. Rounds end when the average probability given to the labels changes by less than
+    out. The penalty of the fits is on absolute weights, so that few words have any: a word needs more
+    than ``min_evidence`` sentences that speak for it. Rounds end when the average probability given to the labels changes by less than
     ``tolerance``. The threshold for whole documents is the one of the best F1 on them.
     """
     rows = sentences_of(documents.where(F.col(f"`{label}`").isNotNull()), document, text, label)
     words = RegexTokenizer(
         inputCol="_input", outputCol="_words", pattern=NON_LETTERS, gaps=True, toLowercase=True
     )
-    hashed = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features, binary=True)
+    hashed = HashingTF(inputCol="_words", outputCol="_features", numFeatures=features, binary=True)
     rows = rows.select(
         "_doc", F.col(f"`{label}`").cast("double").alias("_label"), F.col("sentence").alias("_input")
     )
-    counted = hashed.transform(words.transform(rows)).select("_doc", "_label", "_tf")
+    counted = hashed.transform(words.transform(rows)).select("_doc", "_label", "_features")
     # Every round passes over it several times; lost parts are made again.
     counted = counted.persist(StorageLevel.DISK_ONLY)
     try:
         seen = counted.groupBy("_label").agg(F.count_distinct("_doc").alias("n")).collect()
         if {r["_label"] for r in seen} != {0.0, 1.0}:
             raise ValueError("both labels must occur in the training data")
-        idf = IDF(inputCol="_tf", outputCol="_features", minDocFreq=MIN_SENTENCES).fit(counted)
-        vectors = idf.transform(counted).select("_doc", "_label", "_features")
         regression = LogisticRegression(
             featuresCol="_features", labelCol="_class", weightCol="_weight",
             probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_prediction",
-            maxIter=max_iter, regParam=reg_param,
+            maxIter=max_iter, regParam=min_evidence / counted.count(), elasticNetParam=1.0,
+            standardization=False,
         )
-        # At first, one sentence of a negative document is as likely as another.
-        sizes = counted.groupBy("_doc").agg(F.count("*").alias("_n"))
-        share = vectors.join(sizes, "_doc").withColumn("_share", 1 / F.col("_n")).drop("_n")
+        # At first, every sentence of a negative document counts as negative: words that only such
+        # documents have stand out at once, and the next rounds take the rest back.
+        share = counted.withColumn("_share", F.lit(1.0))
         fitted, likely, rounds = None, None, 0
         while rounds < max_rounds:
             fitted, rounds = regression.fit(_both_classes(share)), rounds + 1
-            scored = _scored(fitted, vectors)
+            scored = _scored(fitted, counted)
             bags = scored.groupBy("_doc", "_label").agg(_any_of("_p").alias("_any"))
             now = bags.agg(F.avg(
                 F.when(F.col("_label") == 1, F.col("_any")).otherwise(1 - F.col("_any"))
@@ -120,7 +121,7 @@ def fit_sentences(
         threshold = _best_threshold(bags)
     finally:
         counted.unpersist()
-    return SentenceModel(PipelineModel(stages=[words, hashed, idf, fitted]), threshold, rounds)
+    return SentenceModel(PipelineModel(stages=[words, hashed, fitted]), threshold, rounds)
 
 
 def _both_classes(share: DataFrame) -> DataFrame:

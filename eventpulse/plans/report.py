@@ -119,6 +119,15 @@ def report_of_tally(
     return _summed(rows, calendar)
 
 
+def report_of_sums(totals: DataFrame, hits: DataFrame, calendar: AnyCalendar = TOURNAMENT) -> DataFrame:
+    """The report from sums per bucket: ``all_posts``, and ``flagged_posts, negative_sentences``."""
+    zero = F.lit(0).cast("bigint")
+    rows = totals.select(
+        "bucket", "all_posts", zero.alias("flagged_posts"), zero.alias("negative_sentences")
+    ).unionByName(hits.select("bucket", zero.alias("all_posts"), "flagged_posts", "negative_sentences"))
+    return _summed(rows, calendar)
+
+
 def _summed(rows: DataFrame, calendar: AnyCalendar) -> DataFrame:
     """Sums per bucket of ``all_posts, flagged_posts, negative_sentences``, with name and share."""
     zero = F.lit(0).cast("bigint")

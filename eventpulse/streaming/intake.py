@@ -11,11 +11,11 @@ from pyspark.sql.types import StructType
 
 from eventpulse._session import shared_folder
 from eventpulse._skew import digest
-from eventpulse.calendars import TOURNAMENT
+from eventpulse.calendars import TOURNAMENT, Calendar
 from eventpulse.functions.time import event_millis
 from eventpulse.operators.as_of import assign_as_of
 from eventpulse.operators.terms import LIKE, compile_terms, flag_posts
-from eventpulse.operators.windows import HALF_OPEN, AnyCalendar, WindowTable, count_per_window
+from eventpulse.operators.windows import HALF_OPEN, WindowTable, count_per_window
 from eventpulse.schemas import TWEET
 from eventpulse.sources.versions import Versions
 
@@ -46,10 +46,15 @@ def stream_files(
 
 
 def running_counts(
-    posts: DataFrame, calendar: AnyCalendar = TOURNAMENT, *, time: str = "timestamp_ms",
+    posts: DataFrame, calendar: Calendar = TOURNAMENT, *, time: str = "timestamp_ms",
     bounds: str = HALF_OPEN,
 ) -> DataFrame:
-    """Count per window over all files so far; the state has one row per bucket."""
+    """Count per window over all files so far; the state has one row per bucket.
+
+    A calendar that is a table of any size cannot stream row by row: see :func:`run_counts_by_table`.
+    """
+    if not isinstance(calendar, Calendar):
+        raise ValueError("a window table goes batch by batch; use run_counts_by_table")
     return count_per_window(posts, calendar, time=time, bounds=bounds)
 
 
@@ -194,26 +199,43 @@ def run_counts_by_table(
     repeated after a failure is not counted twice. With ``root`` and ``progress`` of an earlier run
     it goes on from there.
     """
-    spark = posts.sparkSession
-    versions = Versions(spark, root or shared_folder(spark, "counts"))
+    def counts(batch: DataFrame) -> DataFrame:
+        times = batch.groupBy(time).agg(F.count(F.lit(1)).alias("n"))
+        return assign_as_of(
+            times, calendar.windows, base_ms=calendar.base_ms, before=calendar.before,
+            other=calendar.other, time=time, bounds=bounds,
+        ).select("bucket", "n")
+
+    return run_sums(posts, counts, "bucket int, n bigint", root, progress=progress)
+
+
+def run_sums(
+    rows: DataFrame, delta: Callable[[DataFrame], DataFrame], schema: str, root: str | None = None,
+    *, progress: str | None = None,
+) -> DataFrame:
+    """Sums that are kept up to date batch by batch over all files so far.
+
+    ``delta`` gives what a batch adds, a table of ``schema``: a key and numbers. It is added to the
+    sums of earlier batches, and the new sums replace them together with the number of the batch, so
+    that a batch which is repeated after a failure is not added twice.
+    """
+    spark = rows.sparkSession
+    versions = Versions(spark, root or shared_folder(spark, "sums"))
+    key, *numbers = StructType.fromDDL(schema).names
 
     def each(batch: DataFrame, batch_id: int) -> None:
         current = versions.current()
         if current and current.notes["batch"] >= batch_id:
             return
-        times = batch.groupBy(time).agg(F.count(F.lit(1)).alias("n"))
-        counts = assign_as_of(
-            times, calendar.windows, base_ms=calendar.base_ms, before=calendar.before,
-            other=calendar.other, time=time, bounds=bounds,
-        ).select("bucket", "n")
+        found = delta(batch).select(key, *numbers)
         if current:
-            counts = counts.unionByName(spark.read.parquet(*current.folders))
+            found = found.unionByName(spark.read.schema(schema).parquet(*current.folders))
         folder = versions.stage()
-        counts.groupBy("bucket").agg(F.sum("n").alias("n")).write.parquet(folder)
+        found.groupBy(key).agg(*[F.sum(n).alias(n) for n in numbers]).write.parquet(folder)
         versions.commit(folder, batch=batch_id)
 
     query = (
-        posts.writeStream.foreachBatch(each)
+        rows.writeStream.foreachBatch(each)
         .option("checkpointLocation", progress or shared_folder(spark, "progress"))
         .trigger(availableNow=True)
         .start()
@@ -221,8 +243,8 @@ def run_counts_by_table(
     query.awaitTermination()
     current = versions.current()
     if current is None:
-        return spark.createDataFrame([], "bucket int, n bigint")
-    return spark.read.schema("bucket int, n bigint").parquet(*current.folders)
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*current.folders)
 
 
 def run_counts(counts: DataFrame) -> DataFrame:

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from eventpulse.calendars import TOURNAMENT
 from eventpulse.operators.terms import drop_copies, flag_posts
 from eventpulse.operators.windows import WindowTable, calendar_table, count_per_window
+from eventpulse.plans.report import window_report
 from eventpulse.sources.readers import posts_of_tweets, read_posts
 from eventpulse.sources.versions import Versions
 from eventpulse.streaming.intake import (
     run_counts_by_table, run_flagged_distinct, state_on_disk, stream_files,
 )
+from eventpulse.streaming.standing import run_window_report
 
 BASE = TOURNAMENT.base_ms
 
@@ -59,6 +61,34 @@ def test_copies_are_dropped_over_all_files(spark, terms_of, tmp_path, long):
     assert run() == batch()
 
 
+@pytest.mark.parametrize("by_table", [False, True], ids=["calendar", "window table"])
+def test_a_standing_report_equals_the_report_of_all_files(spark, terms_of, tmp_path, by_table):
+    folder, root = tmp_path / "in", str(tmp_path / "report")
+    folder.mkdir()
+    terms = terms_of("idiot", "st_pid")
+    lexicon = spark.createDataFrame([("idiot", -2), ("stupid", -5), ("nice", 1)], "token string, weight int")
+    calendar = TOURNAMENT
+    if by_table:
+        windows = calendar_table(spark).where(F.col("bucket") < TOURNAMENT.before)
+        calendar = WindowTable.of(windows, BASE)
+    times = [str(BASE + t) for t in (0, 5, 64800000, -1, 10**12)] + [None, "soon"]
+    texts = ["an idiot here. so nice", "you stupid one! an idiot", "nothing", "an idiot here. so nice"]
+
+    def agree():
+        got = run_window_report(arriving(spark, folder), terms, lexicon, calendar, root)
+        want = window_report(read_posts(spark, str(folder)), terms, lexicon, calendar)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        return got
+
+    for number in range(2):
+        put(folder, number, [(x, t) for x in texts for t in times])
+    agree()
+    put(folder, 2, [("an idiot once more", t) for t in times] + [(texts[0], times[0])])
+    report = agree()
+    assert sum(r.all_posts for r in report.collect()) == 2 * 28 + 8
+    agree()
+
+
 def test_state_on_disk_leaves_the_settings_as_they_were(spark):
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)
