@@ -20,7 +20,7 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventpulse._session import MAX_VALUE_CHARS, rows_if_small
+from eventpulse._session import rows_if_small, shared_folder
 from eventpulse._skew import SALT, digest, salted
 from eventpulse.functions.text import sql_list, sql_string
 from eventpulse.operators.patterns import linear_regex, meet_patterns
@@ -35,8 +35,12 @@ MAX_PLAN_TERMS = 10_000
 # Wildcard terms are tried one after the other on the whole text.
 MAX_PLAN_PATTERNS = 20
 
-# A longer list is broadcast up to this many terms.
-BROADCAST_TERMS = 100_000
+# A longer list is broadcast up to this many terms, in blocks of so many terms or characters. Wildcard
+# terms that are looked up by a part of them are broadcast up to fewer, as their segments go along.
+BROADCAST_TERMS = 8_000_000
+BLOCK_TERMS = 2_000_000
+BLOCK_CHARS = 64_000_000
+BROADCAST_PATTERNS = 100_000
 
 # Up to so many words a per-row overlap of two arrays beats a lookup per word,
 # and up to so many phrases a scan per phrase beats building all word runs.
@@ -231,8 +235,12 @@ def _flag_by_join(
 ) -> DataFrame:
     """The same result for a list of any size.
 
-    A match depends on the text alone: which terms a text holds is found by digests of the texts,
-    and joined back to the posts. An exact term is looked for by its first word, and the run that
+    A term that is one word, exact or with one open character, is looked for by the words of a text.
+    With a list that can be broadcast and has no other columns, this is done where the posts are, and
+    nothing but what was found goes on.
+
+    Otherwise a match depends on the text alone: which terms a text holds is found by digests of the
+    texts, and joined back to the posts. An exact term is looked for by its first word, and the run that
     begins there compared with it; a wildcard term by literal characters of it, and the text compared
     with the whole term (:mod:`eventpulse.operators.patterns`). A list within the bound is broadcast to the words, so that
     only what was found is shuffled. Beyond it the words of the distinct texts are, and the join is
@@ -240,60 +248,104 @@ def _flag_by_join(
     a third of all posts, adaptive execution splits that part of the last join.
     """
     name = F.col(f"`{term}`")
-    names = terms.select(name.alias("_term")).where("_term is not null").distinct()
+    names = terms.select(name.alias("_term")).where("_term is not null").groupBy("_term").agg(
+        F.count("*").alias("_copies")
+    )
     wild = F.contains(F.col("_term"), F.lit(EDGE))
     if mode == LIKE:
         wild = wild | F.col("_term").rlike(r"[%_\\]")
+    masked = wild & F.col("_term").rlike(ONE_OPEN) if mode == LIKE else F.lit(False)
     length = F.size(F.split("_term", " ", -1))
-    # All that has to be known about the list, in one pass over it.
+    # The list may be the result of a job; it is looked at several times.
+    listed = shared_folder(names.sparkSession, "terms")
+    names.write.parquet(listed)
+    names = names.sparkSession.read.schema(names.schema).parquet(listed)
+    # All that has to be known about it, in one pass.
     known = names.agg(
-        F.count_if(~wild).alias("exact"), F.count_if(wild).alias("wild"),
-        F.max(F.when(~wild, length)).alias("words"), F.max(F.length("_term")).alias("longest"),
+        F.count("*").alias("terms"), F.count_if(~wild & (length == 1)).alias("one"),
+        F.count_if(~wild & (length > 1)).alias("more"),
+        F.collect_set(F.when(masked, F.instr("_term", "_"))).alias("places"),
+        F.count_if(wild & ~masked).alias("rest"), F.coalesce(F.sum(F.length("_term")), F.lit(0)).alias("chars"),
+        F.max("_copies").alias("copies"),
     ).first()
-    small = known.exact + known.wild <= broadcast_terms and (known.longest or 0) <= MAX_VALUE_CHARS
+    blocks = max(-(-known.terms // BLOCK_TERMS), -(-known.chars // BLOCK_CHARS), 1)
+    if known.terms > broadcast_terms or blocks > BROADCAST_TERMS // BLOCK_TERMS:
+        blocks = 0
+    names = names.select("_term")
+    one = names.where(~wild & (length == 1)).withColumn("_key", F.col("_term"))
+    open_ = names.where(masked).withColumn("_key", F.col("_term"))
+    words = "array_distinct({})".format
+    looked_up = [(one, words("_ws"))] if known.one else []
+    if known.places:
+        looked_up.append((open_, _masked_words(sorted(known.places))))
+
+    near = None
+    if multiplicity == PER_TERM and blocks and terms.columns == [term] and (known.copies or 0) <= 1:
+        split = posts.withColumn("_ws", F.expr(_words(text)))
+        met = [
+            _meet(split.select(*posts.columns, F.explode(F.expr(keys)).alias("_key")), side, blocks, salts)
+            for side, keys in looked_up
+        ]
+        near = [
+            m.select(*[F.col(f"`{c}`") for c in posts.columns], F.col("_term").alias(term)) for m in met
+        ]
+        looked_up = []
+        if near and not known.more and not known.rest:
+            return reduce(DataFrame.unionAll, near)
+
     texts = posts.select(F.col(f"`{text}`").alias("_text")).where("_text is not null")
-    texts = (texts if small else texts.distinct()).withColumn("_digest", digest("_text"))
+    texts = (texts if blocks else texts.distinct()).withColumn("_digest", digest("_text"))
     cut = texts.select("_digest", F.expr(_words("_text")).alias("_ws"))
 
     found = names.select(F.unhex("_term").alias("_digest"), "_term").limit(0)
-    exact = names.where(~wild)
-    if known.exact:
-        word = F.explode(F.array_distinct("_ws")).alias("_key")
-        one = exact.where(length == 1).select(F.col("_term").alias("_key"), "_term")
-        met = _meet(cut.select("_digest", word), one, small, salts)
+    for side, keys in looked_up:
+        met = _meet(cut.select("_digest", F.explode(F.expr(keys)).alias("_key")), side, blocks, salts)
         found = found.unionByName(met.select("_digest", "_term"))
-    if (known.words or 0) > 1:
+    if known.more:
         place = F.posexplode("_ws").alias("_at", "_key")
-        more = exact.where(length > 1).select(
+        more = names.where(~wild & (length > 1)).select(
             F.substring_index("_term", " ", 1).alias("_key"), "_term", length.alias("_k")
         )
-        met = _meet(cut.select("_digest", "_ws", place), more, small, salts)
+        met = _meet(cut.select("_digest", "_ws", place), more, blocks, salts)
         met = met.where(F.expr("array_join(slice(_ws, _at + 1, _k), ' ') = _term"))
         found = found.unionByName(met.select("_digest", "_term"))
-    if known.wild:
-        masked = F.col("_term").rlike(ONE_OPEN) if mode == LIKE else F.lit(False)
-        met = _meet_masked(cut, names.where(wild & masked), small, salts)
-        found = found.unionByName(met.select("_digest", "_term"))
-        rest = names.where(wild & ~masked)
-        found = found.unionByName(
-            meet_patterns(texts, rest, mode == LITERAL, _words("_text"), small, salts)
-        )
+    if known.rest:
+        small = blocks > 0 and known.rest <= BROADCAST_PATTERNS
+        found = found.unionByName(meet_patterns(
+            texts, names.where(wild & ~masked), mode == LITERAL, _words("_text"), small, salts
+        ))
 
-    keyed = posts.withColumn("_digest", digest(text))
     if multiplicity == PER_POST:
-        # Without a distinct: the join needs a shuffle of its own to be split.
-        return keyed.join(found.select("_digest"), "_digest", "left_semi").select(*posts.columns)
-    listed = _both_sides(found.distinct(), terms, found, terms, ("_term", term))
-    listed = listed.select("_digest", *terms.columns)
-    return _both_sides(keyed, listed, posts, terms, ("_digest", "_digest"))
-
-
-def _meet(words: DataFrame, terms: DataFrame, small: bool, salts: int) -> DataFrame:
-    """Join on ``_key``."""
-    if small:
+        # Texts combine before the shuffle. On another form of the digest than they were grouped by, so
+        # that the join has a shuffle of its own, which can be split.
+        held = found.select("_digest").distinct().select(F.hex("_digest").alias("_hex"))
+        keyed = posts.withColumn("_hex", F.hex(digest(text)))
+        return keyed.join(held, "_hex", "left_semi").select(*posts.columns)
+    keyed = posts.withColumn("_digest", digest(text))
+    rows = _both_sides(found.distinct(), terms, found, terms, ("_term", term))
+    rows = rows.select("_digest", *terms.columns)
+    both = _both_sides(keyed, rows, posts, terms, ("_digest", "_digest"))
+    return reduce(DataFrame.unionAll, near, both) if near else both
+
+
+def _meet(words: DataFrame, terms: DataFrame, blocks: int, salts: int) -> DataFrame:
+    """Join on ``_key``: the terms are broadcast in so many blocks, or shuffled if in none."""
+    if not blocks:
+        left, right = salted(words, terms, salts)
+        return left.join(right, ["_key", SALT])
+    if blocks == 1:
         return words.join(F.broadcast(terms), "_key")
-    left, right = salted(words, terms, salts)
-    return left.join(right, ["_key", SALT])
+    # A key is in one block only, and the words pass through the blocks once.
+    block = F.pmod(F.xxhash64("_key"), F.lit(blocks))
+    others = [c for c in terms.columns if c != "_key"]
+    for b in range(blocks):
+        side = terms.where(block == b).select("_key", F.struct(*others).alias(f"_block_{b}"))
+        words = words.join(F.broadcast(side), "_key", "left")
+    hit = F.coalesce(*[f"_block_{b}" for b in range(blocks)])
+    kept = [c for c in words.columns if not c.startswith("_block_")]
+    return words.where(hit.isNotNull()).select(*[F.col(f"`{c}`") for c in kept], hit.alias("_hit")).select(
+        *[F.col(f"`{c}`") for c in kept], "_hit.*"
+    )
 
 
 # A term of one word whose only wildcard is one open character, among its first so many.
@@ -301,13 +353,12 @@ MASK_PLACES = 16
 ONE_OPEN = rf"^[^ %_\\\x00]{{0,{MASK_PLACES - 1}}}_[^ %_\\\x00]*$"
 
 
-def _meet_masked(cut: DataFrame, names: DataFrame, small: bool, salts: int) -> DataFrame:
-    """Terms with one open character, by words with that character masked: no comparison is left.
+def _masked_words(places: list[int]) -> str:
+    """SQL text: the words of ``_ws`` but the outer two, with the character at one of these places
+    masked. A term with one open character equals one of them, so that no comparison is left.
 
     The character may also be the space between two words.
     """
-    at = F.instr("_term", "_")
-    places = sorted(r.at for r in names.select(at.alias("at")).distinct().collect())
     keys = [
         f"transform(filter(ws, w -> length(w) >= {k}), "
         f"w -> concat(left(w, {k - 1}), '_', substring(w, {k + 1})))"
@@ -317,9 +368,7 @@ def _meet_masked(cut: DataFrame, names: DataFrame, small: bool, salts: int) -> D
         f"length(ws[i]) = {k - 1}), i -> concat(ws[i], '_', ws[i + 1]))"
         for k in places
     ]
-    every = f"concat({', '.join(keys)})" if keys else "CAST(array() AS array<string>)"
-    words = cut.select("_digest", F.explode(F.expr(
+    return (
         "flatten(transform(array(slice(_ws, 2, greatest(size(_ws) - 2, 0))), "
-        f"ws -> array_distinct({every})))"
-    )).alias("_key"))
-    return _meet(words, names.withColumn("_key", F.col("_term")), small, salts)
+        f"ws -> array_distinct(concat({', '.join(keys)}))))"
+    )

@@ -5,9 +5,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from eventpulse.operators import patterns
+from eventpulse.operators import patterns, terms as terms_module
 from eventpulse.operators.terms import (
-    LITERAL, PER_TERM, TermSet, compile_terms, drop_copies, flag_posts, matched_timestamps,
+    LITERAL, PER_POST, PER_TERM, TermSet, compile_terms, drop_copies, flag_posts, matched_timestamps,
 )
 
 
@@ -211,3 +211,31 @@ def test_unknown_options_are_refused(posts_of, terms_of):
         flag_posts(posts_of(("a", "1")), terms_of("a"), multiplicity="twice")
     with pytest.raises(ValueError):
         flag_posts(posts_of(("a", "1")), terms_of("a"), mode="regex")
+
+
+@pytest.mark.parametrize("multiplicity", [PER_POST, PER_TERM])
+def test_a_long_list_is_met_without_shuffling_words(spark, posts_of, monkeypatch, multiplicity):
+    """Beyond 100,000 terms every word of every text used to be shuffled, and then every match."""
+    monkeypatch.setattr(terms_module, "BLOCK_TERMS", 60_000)
+    posts = posts_of(
+        ("a w1_ w2 w2 w149999 b", "1"), ("a w1_ w2 w2 w149999 b", "1"), ("w1 w7", "2"), ("a x y z", "3"),
+        (None, "4"), ("a on w5 b", "5"),
+    )
+    terms = spark.range(150_000).selectExpr("concat('w', id) AS term").unionAll(
+        spark.createDataFrame([("z",), ("w2_",), ("wx_",), ("_2",), ("o_",), (None,)], "term string")
+    )
+    found = flag_posts(posts, terms, multiplicity=multiplicity)
+    if multiplicity == PER_POST:
+        assert sorted(r.timestamp_ms for r in found.collect()) == ["1", "1", "5"]
+        return
+    assert sorted((r.timestamp_ms, r.term) for r in found.collect()) == sorted(
+        2 * [("1", "w2"), ("1", "w149999"), ("1", "_2")] + [("5", "o_"), ("5", "w5")]
+    )
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_digest" not in plan and "_salt" not in plan
+
+
+def test_a_repeated_term_of_a_long_list_counts_each_time(spark, posts_of):
+    terms = spark.range(20_000).selectExpr("concat('w', id DIV 2) AS term")
+    found = flag_posts(posts_of(("a w3 b", "1")), terms, multiplicity=PER_TERM, max_terms=10)
+    assert [r.term for r in found.collect()] == ["w3", "w3"]
