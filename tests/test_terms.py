@@ -239,3 +239,11 @@ def test_a_repeated_term_of_a_long_list_counts_each_time(spark, posts_of):
     terms = spark.range(20_000).selectExpr("concat('w', id DIV 2) AS term")
     found = flag_posts(posts_of(("a w3 b", "1")), terms, multiplicity=PER_TERM, max_terms=10)
     assert [r.term for r in found.collect()] == ["w3", "w3"]
+
+
+def test_masked_terms_alone_need_no_index_of_parts(spark, posts_of, monkeypatch):
+    """All texts used to be looked through for the parts of no terms at all."""
+    monkeypatch.setattr(terms_module, "meet_patterns", lambda *_: pytest.fail("no term has parts"))
+    terms = spark.range(50).selectExpr("concat('w_rd', id) AS term")
+    found = flag_posts(posts_of(("a word7 wird7 b", "1")), terms, multiplicity=PER_TERM)
+    assert [r.term for r in found.collect()] == ["w_rd7"]
