@@ -247,3 +247,14 @@ def test_masked_terms_alone_need_no_index_of_parts(spark, posts_of, monkeypatch)
     terms = spark.range(50).selectExpr("concat('w_rd', id) AS term")
     found = flag_posts(posts_of(("a word7 wird7 b", "1")), terms, multiplicity=PER_TERM)
     assert [r.term for r in found.collect()] == ["w_rd7"]
+
+
+def test_texts_with_many_terms_go_to_the_join_once(spark, posts_of):
+    """Every match of a text used to be shuffled to find out that it has one."""
+    terms = spark.range(50).selectExpr("concat('w_rd', id) AS term")
+    posts = posts_of(("a word7 wird8 word9 b", "1"), ("a word7 wird8 word9 b", "2"), ("c", "3"))
+    found = flag_posts(posts, terms)
+    assert sorted(r.timestamp_ms for r in found.collect()) == ["1", "2"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    semi = plan[plan.index("LeftSemi"):]
+    assert "Aggregate [_digest" in semi
