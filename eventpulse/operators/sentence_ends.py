@@ -14,7 +14,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventpulse._session import rows_if_small
+from eventpulse._session import rows_if_small, shared_folder
 from eventpulse._skew import SALT, digest, salted
 from eventpulse.functions.text import has_controls, longer_than_one, trim_blanks
 
@@ -52,7 +52,10 @@ def abbreviations(
 
     Words seen with a stop fewer than ``min_count`` times are none: there is too little to tell from.
     """
-    known = counts.where(F.col("word").isNotNull())
+    # Counted once: the share and the ratings both look at it.
+    spark, folder = counts.sparkSession, shared_folder(counts.sparkSession, "stop-counts")
+    counts.where(F.col("word").isNotNull()).select("word", "n", "n_stop").write.parquet(folder)
+    known = spark.read.schema("word string, n bigint, n_stop bigint").parquet(folder)
     share = known.agg((F.sum("n_stop") / F.sum("n")).alias("_share"))
     # Away from the ends, where every stop, or none, would be explained already.
     p = F.least(F.greatest("_share", F.lit(1e-6)), F.lit(ALWAYS - 1e-6))
@@ -77,8 +80,9 @@ def ends_pattern(words: list[str]) -> str:
 
 
 def _pattern(listed: str) -> str:
-    behind = rf"(?<!(?<!\p{{L}})(?iu:{listed}))" if listed else ""
-    return rf"(?:{behind}\.(?!(?<=[0-9]\.)[0-9])|[!?\n])+"
+    # Looked at behind a stop only: in front of one, it would be tried at every character.
+    behind = rf"(?<!(?<!\p{{L}})(?iu:{listed})\.)" if listed else ""
+    return rf"(?:\.{behind}(?!(?<=[0-9]\.)[0-9])|[!?\n])+"
 
 
 def split_by_statistics(

@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from eventpulse.operators.sentence_ends import (
     abbreviations, ends_pattern, split_by_statistics, stop_counts,
@@ -100,3 +101,12 @@ def test_no_posts(spark, posts):
     counts = stop_counts(posts.limit(0))
     assert counts.count() == 0 and abbreviations(counts).count() == 0
     assert ends_pattern([]).startswith("(?:\\.")
+
+
+def test_abbreviations_are_looked_for_behind_stops_only(spark):
+    """In front of the stop, the whole list was tried at every character of a text."""
+    pattern = ends_pattern(["dr", "etc"])
+    assert pattern.index(r"\.") < pattern.index("(?<!")
+    text = "Dr. No, etc. 3.5 xdr. A.b? "
+    row = spark.createDataFrame([(text,)], "t string").select(F.split("t", pattern, -1).alias("p")).first()
+    assert row.p == ["Dr. No, etc. 3.5 xdr", " A", "b", " "]
