@@ -83,12 +83,11 @@ class WordIds(dict):
         super().__init__()
         self.model, self.size, self.alphabet = tokenizer.model, size, byte_alphabet()
 
-    def learn(self, words: set) -> None:
-        if len(self) + len(words) > self.size:
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= self.size:
             self.clear()
-        for word in words:
-            if word not in self:
-                self[word] = self._ids(word)
+        ids = self[word] = self._ids(word)
+        return ids
 
     def _ids(self, word: str) -> bytes:
         if not word.isascii() or not word.isprintable():
@@ -104,20 +103,13 @@ def id_bytes(texts: list[str | None], tokenizer, words: WordIds, patterns) -> li
     is encoded once; the tokenizer takes any other text, and one that may hold a special token, whole.
     """
     known, pattern = patterns
-    split: list[list[str] | None] = []
+    end, out = np.array([END], "<u4").tobytes(), []
     for text in texts:
         text = text or ""
         if "<|" in text or not (text.isascii() or known.fullmatch(text)):
-            split.append(None)
-        else:
-            split.append(pattern.findall(text.lower()))
-    words.learn(set().union(*filter(None, split)))
-    end, out = np.array([END], "<u4").tobytes(), []
-    for text, parts in zip(texts, split):
-        if parts is None:
             ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         else:
-            ids = b"".join(map(words.__getitem__, parts))
+            ids = b"".join(map(words.__getitem__, pattern.findall(text.lower())))
         out.append(ids + end)
     return out
 
