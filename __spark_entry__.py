@@ -69,10 +69,10 @@ def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents with the time of their event."""
-    docs, times = documents(spark, sf_dir), event_times(spark, sf_dir)
+    """All documents with the time of their event; the tags, larger than the text, are cut behind the join."""
+    docs, times = documents(spark, sf_dir).select("post_id", "text"), event_times(spark, sf_dir)
     joined = docs.join(times, F.col("event_id") == F.col("post_id") * 5, "left")
-    return joined.select("post_id", "text", "timestamp_ms", "tags")
+    return joined.select("post_id", "text", "timestamp_ms", all_words("text").alias("tags"))
 
 
 def conversation_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
