@@ -75,6 +75,18 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("post_id", "text", "timestamp_ms", all_words("text").alias("tags"))
 
 
+# A file that arrives has at most so many posts.
+FILE_RECORDS = 10_000
+
+
+def arriving_files(spark: SparkSession, sf_dir: str, least: int) -> tuple[int, int]:
+    """How many posts a file is to hold so that there are ``least`` files or more, none larger than a
+    task should read, and about how many files that gives."""
+    rows = table(spark, sf_dir, "documents").count()
+    records = max(min(FILE_RECORDS, -(-rows // least)), 1)
+    return records, max(-(-rows // records), least)
+
+
 def conversation_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     talks = table(spark, sf_dir, "conversations").select(all_words("text").alias("tags"))
     return ep.tag_counts(talks)
@@ -369,31 +381,36 @@ def posts_per_window_stream_by_table(spark: SparkSession, sf_dir: str) -> DataFr
 def flag_posts_stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The posts in files that arrive one after the other, and all of them once more."""
     path, own = shared_folder(spark, "arriving"), posts(spark, sf_dir).select("text", "timestamp_ms")
+    records, files = arriving_files(spark, sf_dir, least=2)
     for day in (1, 2):
-        own.repartition(2).write.parquet(f"{path}/day={day}")
-    arriving = stream_files(spark, f"{path}/day=*", own.schema, format="parquet", files_per_batch=1)
+        write_chunks(own, f"{path}/day={day}", records=records, format="parquet")
+    arriving = stream_files(
+        spark, f"{path}/day=*", own.schema, format="parquet", files_per_batch=files // 2
+    )
     return run_flagged_distinct(arriving, terms(spark))
 
 
 def window_report_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report kept up to date while the posts arrive in several files."""
     path, own = shared_folder(spark, "arriving"), posts(spark, sf_dir).select("text", "timestamp_ms")
-    own.repartition(4).write.parquet(path)
-    arriving = stream_files(spark, path, own.schema, format="parquet", files_per_batch=2)
+    records, files = arriving_files(spark, sf_dir, least=4)
+    write_chunks(own, path, records=records, format="parquet")
+    arriving = stream_files(spark, path, own.schema, format="parquet", files_per_batch=files // 2)
     return run_window_report(arriving, terms(spark), lexicon(spark), CALENDAR)
 
 
 def consumed_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts as JSON files that are read once, noted and deleted."""
     path, state = shared_folder(spark, "incoming"), shared_folder(spark, "intake")
-    write_json(tweets(spark, sf_dir).repartition(4), path)
+    records, files = arriving_files(spark, sf_dir, least=4)
+    write_chunks(tweets(spark, sf_dir), path, records=records)
     intake, read = Intake(spark, path, state), shared_folder(spark, "read")
 
     def keep(rows: DataFrame, batch: int) -> None:
         own = posts_of_tweets(rows).select("text", "timestamp_ms")
         own.write.mode("overwrite").parquet(intake.folder_of(read, batch))
 
-    intake.run(keep, files_per_batch=2)
+    intake.run(keep, files_per_batch=files // 2)
     return intake.read(read, "text string, timestamp_ms string")
 
 

@@ -169,3 +169,28 @@ def test_cloud_jobs(spark, folder):
     }
     flagged = ep.run_flagged_cloud(spark, posts, terms, str(folder / "flagged"))
     assert {r.tag: r.n for r in flagged.collect()} == {"a": 2, "b": 2, "c": 1}
+
+
+def test_files_that_arrive_grow_in_number_not_in_size(spark, tmp_path):
+    """Their number used to be fixed, so that one task read a share of all posts."""
+    import __spark_entry__ as entry
+
+    for rows, least, want in ((0, 4, (1, 4)), (10, 4, (3, 4)), (10_000, 4, (2_500, 4)), (95_000, 2, (10_000, 10))):
+        folder = str(tmp_path / str(rows))
+        spark.range(rows).toDF("doc_id").write.parquet(f"{folder}/documents.parquet")
+        assert entry.arriving_files(spark, folder, least=least) == want
+
+
+def test_tags_do_not_go_through_the_join_with_times(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    spark.createDataFrame([(1, "a b"), (2, None)], "doc_id bigint, text string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    spark.sql("SELECT 5L AS event_id, timestamp_ntz'2024-01-01 00:00:01' AS ts").write.parquet(
+        f"{tmp_path}/events.parquet"
+    )
+    posts = entry.posts(spark, str(tmp_path))
+    assert sorted((r.post_id, r.tags) for r in posts.collect()) == [(1, ["a", "b"]), (2, None)]
+    plan = posts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("split(") < plan.index("Join")
