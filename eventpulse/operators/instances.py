@@ -90,50 +90,67 @@ def fit_sentences(
     )
     counted = hashed.transform(words.transform(rows)).select("_doc", "_label", "_features")
     # Every round passes over it several times; lost parts are made again.
-    counted = counted.persist(StorageLevel.DISK_ONLY)
+    counted, bags = counted.persist(StorageLevel.DISK_ONLY), None
     try:
-        seen = counted.groupBy("_label").agg(F.count_distinct("_doc").alias("n")).collect()
-        if {r["_label"] for r in seen} != {0.0, 1.0}:
+        seen = {r["_label"]: r["n"] for r in counted.groupBy("_label").agg(F.count("*").alias("n")).collect()}
+        if set(seen) != {0.0, 1.0}:
             raise ValueError("both labels must occur in the training data")
         regression = LogisticRegression(
             featuresCol="_features", labelCol="_class", weightCol="_weight",
             probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_prediction",
-            maxIter=max_iter, regParam=min_evidence / counted.count(), elasticNetParam=1.0,
+            maxIter=max_iter, regParam=min_evidence / sum(seen.values()), elasticNetParam=1.0,
             standardization=False,
         )
         # At first, every sentence of a negative document counts as negative: words that only such
         # documents have stand out at once, and the next rounds take the rest back.
-        share = counted.withColumn("_share", F.lit(1.0))
+        clean = counted.where("_label = 0")
+        share = counted.where("_label = 1").withColumn("_share", F.lit(1.0))
         fitted, likely, rounds = None, None, 0
         while rounds < max_rounds:
-            fitted, rounds = regression.fit(_both_classes(share)), rounds + 1
-            scored = _scored(fitted, counted)
-            bags = scored.groupBy("_doc", "_label").agg(_any_of("_p").alias("_any"))
+            fitted, rounds = regression.fit(_both_classes(clean, share)), rounds + 1
+            before, bags = bags, _scored(fitted, counted).groupBy("_doc", "_label").agg(
+                _any_of("_p").alias("_any")
+            ).persist(StorageLevel.DISK_ONLY)
             now = bags.agg(F.avg(
                 F.when(F.col("_label") == 1, F.col("_any")).otherwise(1 - F.col("_any"))
             )).first()[0]
+            if before is not None:
+                before.unpersist()
             if likely is not None and abs(now - likely) < tolerance:
                 break
             likely = now
-            share = scored.join(bags.select("_doc", "_any"), "_doc").withColumn(
+            # Sentences of clean documents are clean in every round, and only the others are scored again.
+            clean = _clean(counted, bags)
+            share = _scored(fitted, counted.where("_label = 1")).join(
+                bags.select("_doc", "_any"), "_doc"
+            ).withColumn(
                 "_share", F.least(F.col("_p") / F.greatest("_any", F.lit(MARGIN)), F.lit(1.0))
-            ).select("_doc", "_label", "_features", "_share")
+            )
         threshold = _best_threshold(bags)
     finally:
         counted.unpersist()
+        if bags is not None:
+            bags.unpersist()
     return SentenceModel(PipelineModel(stages=[words, hashed, fitted]), threshold, rounds)
 
 
-def _both_classes(share: DataFrame) -> DataFrame:
+def _clean(counted: DataFrame, bags: DataFrame) -> DataFrame:
+    """Sentences of clean documents with an id; once more where a negative document has that id."""
+    clean = counted.where("_label = 0 AND _doc IS NOT NULL")
+    both = bags.groupBy("_doc").agg(F.count("*").alias("n")).where("n > 1 AND _doc IS NOT NULL")
+    return clean if both.isEmpty() else clean.unionByName(clean.join(both.select("_doc"), "_doc"))
+
+
+def _both_classes(clean: DataFrame, share: DataFrame) -> DataFrame:
     """Sentences of clean documents as clean, those of others as both in their proportion."""
-    other = share.where("_label = 1")
-    return share.where("_label = 0").select(
+    weights = F.array(
+        F.struct(F.lit(1.0).alias("_class"), F.col("_share").alias("_weight")),
+        F.struct(F.lit(0.0).alias("_class"), (1 - F.col("_share")).alias("_weight")),
+    )
+    both = share.select("_features", F.inline(weights))
+    return clean.select(
         "_features", F.lit(0.0).alias("_class"), F.lit(1.0).alias("_weight")
-    ).unionByName(other.select(
-        "_features", F.lit(1.0).alias("_class"), F.col("_share").alias("_weight")
-    )).unionByName(other.select(
-        "_features", F.lit(0.0).alias("_class"), (1 - F.col("_share")).alias("_weight")
-    )).where("_weight > 0")
+    ).unionByName(both.where("_weight > 0"))
 
 
 def _scored(fitted: LogisticRegressionModel, vectors: DataFrame) -> DataFrame:

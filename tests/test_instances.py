@@ -1,11 +1,12 @@
 import random
 
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from eventpulse.operators.classifier import precision_recall
-from eventpulse.operators.instances import classify_documents, classify_sentences, fit_sentences
+from eventpulse.operators.instances import _clean, classify_documents, classify_sentences, fit_sentences
 
 SCHEMA = "doc_id bigint, text string, negative int"
 
@@ -63,3 +64,27 @@ def test_held_out_documents_of_the_driver(spark):
     found = entry.model_document_recall(spark, "/root/testdata/sf0.1").first()
     assert found.true_positive + found.false_negative == 83
     assert found.precision > 0.8 and found.recall > 0.6
+
+
+def test_clean_documents_are_neither_scored_again_nor_joined(spark, monkeypatch):
+    plans, fit = [], LogisticRegression.fit
+
+    def noted(self, rows):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return fit(self, rows)
+
+    monkeypatch.setattr(LogisticRegression, "fit", noted)
+    fit_sentences(spark.createDataFrame(corpus(3, 80), SCHEMA), features=1 << 10, max_rounds=2, tolerance=0.0)
+    # One join, of the sentences of negative documents with what was found of these documents.
+    assert [p.count("Join Inner") for p in plans] == [0, 1]
+
+
+def test_clean_sentences_of_an_id_with_both_labels_or_none(spark):
+    counted = spark.createDataFrame(
+        [(1, 0.0, "a"), (2, 0.0, "b"), (2, 1.0, "c"), (None, 0.0, "d"), (None, 1.0, "e"), (3, 1.0, "f")],
+        "_doc bigint, _label double, _features string",
+    )
+    bags = counted.select("_doc", "_label").distinct()
+    joined = counted.join(bags.select("_doc"), "_doc").where("_label = 0")
+    assert sorted(r._features for r in _clean(counted, bags).collect()) == ["a", "b", "b"]
+    assert sorted(r._features for r in joined.collect()) == ["a", "b", "b"]
