@@ -42,9 +42,9 @@ def line_table(docs: DataFrame) -> DataFrame:
             F.unhex(F.sha2(x, 256)).alias("digest"), F.regexp_count(x, F.lit(r"\S+")).alias("words")
         ),
     )
-    ordered = docs.where("text IS NOT NULL").select("id", "row_no", lines.alias("lines")).orderBy(
-        F.col("id").asc_nulls_last(), "row_no"
-    )
+    # Cut once and saved: a global sort reads what it sorts twice, for its bounds and for its rows.
+    cut = saved(docs.where("text IS NOT NULL").select("id", "row_no", lines.alias("lines")), "cut")
+    ordered = cut.orderBy(F.col("id").asc_nulls_last(), "row_no")
     each = ordered.select("row_no", F.posexplode("lines").alias("line_no", "l"))
     return saved(
         numbered(each, "pos").select("pos", "row_no", "line_no", "l.digest", "l.words"), "lines"

@@ -53,6 +53,21 @@ def test_lines_of_null_and_repeated_ids(spark):
 RULES = queries.URL_RULES
 
 
+def test_lines_are_cut_once_before_they_are_sorted(spark, monkeypatch):
+    plans, saved = {}, ld.saved
+
+    def noted(table, purpose):
+        plans[purpose] = table._jdf.queryExecution().optimizedPlan().toString()
+        return saved(table, purpose)
+
+    monkeypatch.setattr(ld, "saved", noted)
+    docs = spark.createDataFrame([(0, 2, "a b\n c"), (1, 1, ""), (2, 3, None)], "row_no bigint, id bigint, text string")
+    got = ld.line_table(docs).orderBy("pos").collect()
+    assert [(r.row_no, r.line_no, r.words) for r in got] == [(1, 0, 0), (0, 0, 2), (0, 1, 1)]
+    # A sort takes a sample of its input first, which must not mean to hash all texts twice.
+    assert "sha2" in plans["cut"] and "Sort" in plans["lines"] and "sha2" not in plans["lines"]
+
+
 def brute_rule(url):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     host = "".join(itertools.takewhile(lambda c: c not in "/?#", rest))
