@@ -23,16 +23,14 @@ is computed.
 
 from __future__ import annotations
 
-import re
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import count
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -45,7 +43,6 @@ SEED = 11
 BATCH_CHARS = 1_000_000
 SPACE = "▁"  # fixed value: the character that stands for a blank in pieces
 
-_WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _SLOT_BITS = 18
 # First counters of random numbers, one for each use.
 _FIRST, _GROWTH, _WAIT, _BRANCH, _AGAIN = range(5)
@@ -61,7 +58,7 @@ class Pieces:
     weights: np.ndarray
     byte_weight: float
     byte_ids: np.ndarray
-    texts: list[bytes]
+    texts: np.ndarray
     longest: int
     slots: np.ndarray
 
@@ -114,8 +111,8 @@ class Pieces:
         )
 
 
-def piece_texts(model) -> list[bytes]:
-    """What each piece stands for; control pieces for nothing."""
+def piece_texts(model) -> np.ndarray:
+    """What each piece stands for, as bytes; control pieces for nothing."""
     texts = []
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i)
@@ -125,7 +122,7 @@ def piece_texts(model) -> list[bytes]:
             texts.append(b"")
         else:
             texts.append(piece.replace(SPACE, " ").encode())
-    return texts
+    return np.array(texts, object)
 
 
 def _extended(h: int, code: int) -> int:
@@ -181,12 +178,20 @@ class Lattice:
         ids.append(size + c)
         n_bytes = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
         weights.append(n_bytes * pieces.byte_weight)
-        # The longest first, as it is the likeliest more often than not.
-        start, end, ids, weight = (np.concatenate(x[::-1]) for x in (starts, ends, ids, weights))
-        order = np.argsort(start, kind="stable")
-        self.start, self.end, self.ids = start[order], end[order], ids[order]
-        weight = weight[order]
-        self.begin = np.searchsorted(self.start, np.arange(len(codes) + 1))
+        # The longest first, as it is the likeliest more often than not. A position begins one edge of a
+        # length at most, so that edges have their places without a sort.
+        many = np.zeros(len(codes), np.int64)
+        for begin in starts:
+            many[begin] += 1
+        self.begin = np.concatenate([[0], np.cumsum(many)])
+        free, n_edges = self.begin[:-1].copy(), int(self.begin[-1])
+        self.start = np.repeat(np.arange(len(codes)), many)
+        self.end, self.ids = np.empty(n_edges, np.int64), np.empty(n_edges, np.int64)
+        weight = np.empty(n_edges)
+        for begin, *edges in zip(starts[::-1], ends[::-1], ids[::-1], weights[::-1]):
+            at = free[begin]
+            self.end[at], self.ids[at], weight[at] = edges
+            free[begin] = at + 1
         # Log of the sum over all ways to the end of the word, from the last character backwards.
         rest = np.zeros(len(codes) + 1)
         word_end = until[self.start]
@@ -195,7 +200,7 @@ class Lattice:
         # Small numbers sort faster as such.
         short = left.astype(np.uint16) if len(left) and left.max() < 1 << 16 else left
         by_left = np.argsort(short, kind="stable")
-        cuts = np.searchsorted(left[by_left], np.arange(1, int(sizes.max(initial=0)) + 2))
+        cuts = np.cumsum(np.bincount(short, minlength=int(sizes.max(initial=0)) + 1))
         for a, b in zip(cuts[:-1], cuts[1:]):
             e = by_left[a:b]
             value = weight[e] + np.where(to_end[e], 0.0, rest[self.end[e]])
@@ -265,11 +270,14 @@ class Search:
             position, step = self.lattice.end[e], step + 1
             on = position < last
             occ, position, last = occ[on], position[on], last[on]
-        if not edges:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        edges, of = np.concatenate(edges), np.concatenate(of)
-        order = np.argsort(of, kind="stable")
-        return edges[order], of[order]
+        # A word that is still there at a step has had an edge at every step before.
+        many = np.zeros(len(self.words), np.int64)
+        for occ in of:
+            many[occ] += 1
+        first, grown = np.cumsum(many) - many, np.empty(int(many.sum()), np.int64)
+        for step, (occ, e) in enumerate(zip(of, edges)):
+            grown[first[occ] + step] = e
+        return grown, np.repeat(np.arange(len(many)), many)
 
     def _add(self, edges, occ, time, fresh, drawn) -> None:
         """A path per text. Sets beside its nodes from ``fresh`` on are its own."""
@@ -283,15 +291,17 @@ class Search:
             before[part] = np.cumsum(logp[part])
             total[t] = before[bounds[t + 1] - 1]
         before -= logp
-        with np.errstate(divide="ignore"):
-            # A lone edge has all probability, but for rounding.
-            lone = np.diff(self.lattice.begin)[self.lattice.start[edges]] == 1
-            mass = np.where(lone, -np.inf, before + np.log(np.maximum(-np.expm1(logp), 0)))
         nth = np.arange(len(edges)) - bounds[text]
         sample = len(self.paths)
-        wait = np.log(-np.log(uniform(self.keys[text], _WAIT, sample, nth)))
-        beside = np.logaddexp(time[text], wait - mass)
-        beside[(nth < fresh[text]) | ~drawn[text] | ~np.isfinite(mass)] = np.inf
+        beside = np.full(len(edges), np.inf)
+        own = (nth >= fresh[text]) & drawn[text]
+        own = slice(None) if own.all() else np.flatnonzero(own)
+        with np.errstate(divide="ignore"):
+            # A lone edge has all probability, but for rounding.
+            lone = np.diff(self.lattice.begin)[self.lattice.start[edges[own]]] == 1
+            mass = np.where(lone, -np.inf, before[own] + np.log(np.maximum(-np.expm1(logp[own]), 0)))
+        wait = np.log(-np.log(uniform(self.keys[text[own]], _WAIT, sample, nth[own])))
+        beside[own] = np.where(np.isfinite(mass), np.logaddexp(time[text[own]], wait - mass), np.inf)
         self.paths.append({
             "edges": edges, "occ": occ, "bounds": bounds, "time": time, "logp": total,
             "before": before, "beside": beside, "drawn": drawn,
@@ -331,7 +341,7 @@ class Search:
             used = self.used.setdefault((int(path[t]), n), [edge])
             at = lattice.start[edge]
             row = np.arange(lattice.begin[at], lattice.begin[at + 1])
-            row = row[~np.isin(row, used)]
+            row = row[[e not in used for e in row.tolist()]]
             share = np.exp(lattice.logp[row])
             upto = np.cumsum(share)
             pick = int(np.searchsorted(upto, u[t] * upto[-1], side="right"))
@@ -361,22 +371,41 @@ class Search:
         self._add(edges[order], occ[order], time, fresh, drawn)
 
 
+def words_in(normal: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct words of some texts, the number of each word in a row, and the text it is of.
+
+    A word is what stands up to the next blank, with all blanks in front of it; blanks at the end of
+    a text are a word, too.
+    """
+    lists = pc.split_pattern(pa.array(normal, pa.large_string()), SPACE)
+    begin = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    encoded = lists.flatten().dictionary_encode()
+    parts = encoded.dictionary.to_numpy(zero_copy_only=False)
+    code = encoded.indices.to_numpy().astype(np.int64)
+    text = np.repeat(np.arange(len(normal)), np.diff(begin))
+    # An empty part stands between two blanks, or at an end of the text.
+    ends = np.zeros(len(code), bool)
+    ends[begin[1:] - 1] = True
+    empty = np.array([not p for p in parts], bool)[code]
+    first = np.zeros(len(code), bool)
+    first[begin[:-1]] = True
+    at = np.flatnonzero(~empty | (ends & ~first))
+    # As many blanks as parts since the word before, or since the first part of the text.
+    since = begin[text[at]]
+    since[1:] = np.maximum(since[1:], at[:-1])
+    number, distinct = pd.factorize((at - since) * len(parts) + code[at])
+    blanks, of = np.divmod(distinct, max(len(parts), 1))
+    index = [SPACE * b + p for b, p in zip(blanks.tolist(), parts[of].tolist())]
+    return index, number.astype(np.int64), text[at]
+
+
 def sampled(
     texts: list[str], keys: np.ndarray, model, pieces: Pieces, k: int, normal: list[str] | None = None
 ) -> list[list[tuple]]:
     """Per text, which may be given as ``normal``ised by the model already, up to ``k`` of ``(ids, log probability, gumbel, log inclusion)``, the largest gumbel first."""
     normal = [model.normalize(t) for t in texts] if normal is None else normal
-    index: defaultdict[str, int] = defaultdict(count().__next__)
-    words, text_of = [], []
-    for t, text in enumerate(normal):
-        own = _WORD.findall(text)
-        words.append(np.fromiter(map(index.__getitem__, own), np.int64, len(own)))
-        text_of.append(np.full(len(own), t))
-    none = np.empty(0, np.int64)
-    search = Search(
-        Lattice(list(index), pieces), np.concatenate([none, *words]),
-        np.concatenate([none, *text_of]), keys,
-    )
+    index, words, text_of = words_in(normal)
+    search = Search(Lattice(index, pieces), words, text_of, keys)
     for _ in range(k - 1):
         search.more()
     left_out = search.next_times()[0]
@@ -471,11 +500,11 @@ def plain(normal: str) -> str:
     return normal.replace(SPACE, " ").removeprefix(" ")
 
 
-def decoded(ids: bytes | None, texts: list[bytes]) -> str | None:
+def decoded(ids: bytes | None, texts: np.ndarray) -> str | None:
     """The text of some ids; the blank that encoding puts in front is taken off."""
     if ids is None:
         return None
-    joined = b"".join(map(texts.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    joined = b"".join(texts[np.frombuffer(ids, "<u4")].tolist())
     return joined.decode("utf-8", "replace").removeprefix(" ")
 
 

@@ -1,6 +1,8 @@
 import collections
+import itertools
 import math
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -248,3 +250,27 @@ def test_the_query_decodes_every_document(spark):
 @pytest.mark.parametrize("text", ["\ufffd\U0001f600", "\U0001f600", "\ufffd", "1 2 \ufffd \U0001f600!"])
 def test_a_text_without_a_letter_has_no_codes(text):
     assert len(lid.letters(text, lid._letter_table())) == 0
+
+
+def test_words_keep_the_blanks_in_front_of_them():
+    word = re.compile(f"{g.SPACE}*[^{g.SPACE}]+|{g.SPACE}+")
+    rng = random.Random(5)
+    for _ in range(300):
+        normal = ["".join(rng.choices("ab\0" + 3 * g.SPACE, k=rng.randint(0, 7))) for _ in range(rng.randint(0, 4))]
+        index, words, text = g.words_in(normal)
+        own = [word.findall(t) for t in normal]
+        assert [index[w] for w in words] == [w for o in own for w in o]
+        assert text.tolist() == [t for t, o in enumerate(own) for _ in o]
+        assert len(index) == len(set(index))
+
+
+def test_edges_have_their_places_without_a_sort(pieces, monkeypatch):
+    sorts, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a, **how: sorts.append(len(a)) or argsort(a, **how))
+    lattice = g.Lattice(["▁the", "ab", "▁" * 3, "é\ud7ffa"], pieces[1])
+    assert len(sorts) == 1  # by what is left of the word
+    assert lattice.begin[-1] == len(lattice.start) and (np.diff(lattice.start) >= 0).all()
+    for a, b in itertools.pairwise(lattice.begin.tolist()):
+        assert b > a and (lattice.start[a:b] == lattice.start[a]).all()
+        assert len(set(lattice.end[a:b].tolist())) == b - a
+        assert math.isclose(np.exp(lattice.logp[a:b]).sum(), 1.0)
