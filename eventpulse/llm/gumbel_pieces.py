@@ -23,6 +23,8 @@ is computed.
 
 from __future__ import annotations
 
+import functools
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -43,6 +45,11 @@ SEED = 11
 BATCH_CHARS = 1_000_000
 SPACE = "▁"  # fixed value: the character that stands for a blank in pieces
 
+# Sets whose probability is e ** NEAR times less than that of a path's first own node come late.
+NEAR = 48.0
+# No logarithm of an exponential number is less, as uniform numbers are below 1 by 2 ** -53 at least.
+LEAST_WAIT = float(np.log(2.0**-53)) - 0.5
+
 _SLOT_BITS = 18
 # First counters of random numbers, one for each use.
 _FIRST, _GROWTH, _WAIT, _BRANCH, _AGAIN = range(5)
@@ -58,7 +65,7 @@ class Pieces:
     weights: np.ndarray
     byte_weight: float
     byte_ids: np.ndarray
-    texts: np.ndarray
+    texts: pa.LargeBinaryArray
     longest: int
     slots: np.ndarray
 
@@ -68,11 +75,14 @@ class Pieces:
         The leading bits name the first place to look at, and few hashes share them.
         """
         place = self.slots[keys >> np.uint64(64 - _SLOT_BITS)]
-        out = np.full(len(keys), -1, np.int64)
-        look = np.arange(len(keys))
+        there = self.hashes[place]
+        out = np.where(there == keys, place, -1)
+        look = np.flatnonzero(there < keys)
+        keys, place = keys[look], place[look] + 1
         while len(look):
             there = self.hashes[place]
-            out[look[there == keys]] = place[there == keys]
+            same = there == keys
+            out[look[same]] = place[same]
             on = there < keys
             look, keys, place = look[on], keys[on], place[on] + 1
         return out
@@ -99,7 +109,7 @@ class Pieces:
         ends.setdefault((1 << 64) - 1, -1)
         slots = np.searchsorted(
             hashes, np.arange(1 << _SLOT_BITS, dtype=np.uint64) << np.uint64(64 - _SLOT_BITS)
-        )
+        ).astype(np.int32)
         byte_ids = np.zeros(256, np.int64)
         for i in range(size):
             if model.is_byte(i):
@@ -111,7 +121,7 @@ class Pieces:
         )
 
 
-def piece_texts(model) -> np.ndarray:
+def piece_texts(model) -> pa.LargeBinaryArray:
     """What each piece stands for, as bytes; control pieces for nothing."""
     texts = []
     for i in range(model.get_piece_size()):
@@ -122,7 +132,7 @@ def piece_texts(model) -> np.ndarray:
             texts.append(b"")
         else:
             texts.append(piece.replace(SPACE, " ").encode())
-    return np.array(texts, object)
+    return pa.array(texts, pa.large_binary())
 
 
 def _extended(h: int, code: int) -> int:
@@ -135,88 +145,94 @@ def _spread(h: int) -> int:
 
 
 class Lattice:
-    """The lattices of some words; positions of all words are numbered through.
+    """The lattices of some words; positions of all words are numbered through by what is left of the word.
 
-    ``first[w]`` and ``last[w]`` are a word's first position and the one after it. Edges are sorted by
-    where they begin; ``begin[p]`` is the first edge of position ``p``. An ``id`` of ``size + c`` stands
-    for the bytes of character ``c``.
+    ``first[w]`` is a word's first position, and ``end_of_word`` stands behind the last character of any.
+    Edges are sorted by where they begin; ``begin[p]`` is the first edge of position ``p``. An ``id`` of
+    ``size + c`` stands for the bytes of a character ``c`` beyond ASCII.
     """
 
     def __init__(self, words: list[str], pieces: Pieces):
-        sizes = np.array([len(w) for w in words], np.int64)
-        self.last = np.cumsum(sizes)
-        self.first = self.last - sizes
-        codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.uint64)
-        until = np.repeat(self.last, sizes)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
+        n_codes = self.end_of_word = len(codes)
+        begins = np.cumsum(sizes) - sizes
+        left = np.repeat(begins + sizes, sizes) - np.arange(n_codes)
+        longest = int(sizes.max(initial=0))
+        cuts = np.cumsum(np.bincount(left, minlength=longest + 1)).tolist()
+        # Small numbers sort faster as such.
+        order = np.argsort(left.astype(np.uint16) if longest < 1 << 16 else left, kind="stable")
+        number = np.empty(n_codes, np.int32)
+        number[order] = np.arange(n_codes, dtype=np.int32)
+        self.first = number[begins]
+        # What stands one character further on, for each character of the words in a row.
+        behind = np.append(number, np.int32(n_codes))[1:]
+        behind[left == 1] = n_codes
         size = len(pieces.weights)
-        # For each place where a piece may still go on: the hash so far, and the word's end.
-        at, keys, limit = np.arange(len(codes)), np.zeros(len(codes), np.uint64), until
+        # For each position where a piece may still go on: its last character in the row of words, and
+        # the hash of where it ends. Single characters are looked up once.
+        row, by_left, after = order, codes[order], codes + np.uint32(1)
+        letters = np.flatnonzero(np.bincount(codes))
+        letter_at = np.zeros(int(letters.max(initial=0)) + 1, np.int32)
+        letter_at[letters] = pieces.ends_at((letters + 1).astype(np.uint64) * _STEP)
+        at, keys = np.arange(n_codes, dtype=np.int32), np.zeros(n_codes, np.uint64)
         starts, ends, ids, weights = [], [], [], []
-        single = np.zeros(len(codes), bool)
-        for n in range(1, pieces.longest + 1):
-            fits = at + n <= limit
-            at, limit = at[fits], limit[fits]
-            if not len(at):
-                break
-            keys = keys[fits] * _STEP + codes[at + (n - 1)] + np.uint64(1)
-            place = pieces.ends_at(keys * _STEP)
-            known = place >= 0
-            at, keys, limit, place = at[known], keys[known], limit[known], place[known]
-            found = pieces.ids[place]
-            whole = found >= 0
+        single = np.zeros(n_codes, bool)
+        for n in range(1, min(pieces.longest, longest) + 1):
+            if n > 1:
+                short = np.searchsorted(at, cuts[n - 1])
+                at, row, keys = at[short:], row[short:] + 1, keys[short:]
+            keys = (keys + after[row]) * _STEP
+            place = pieces.ends_at(keys) if n > 1 else letter_at[by_left]
+            known = np.flatnonzero(place >= 0)
+            at, row, keys = at[known], row[known], keys[known]
+            found = pieces.ids[place[known]]
+            whole = np.flatnonzero(found >= 0)
             begin, found = at[whole], found[whole]
             starts.append(begin)
-            ends.append(begin + n)
+            ends.append(behind[row[whole]])
             ids.append(found)
             weights.append(pieces.weights[found])
             if n == 1:
                 single[begin] = True
         spelt = np.flatnonzero(~single)
         starts.append(spelt)
-        ends.append(spelt + 1)
-        c = codes[spelt].astype(np.int64)
-        ids.append(size + c)
+        ends.append(behind[order[spelt]])
+        c = by_left[spelt].astype(np.int64)
+        ids.append(np.where(c < 0x80, pieces.byte_ids[np.minimum(c, 0x7F)], size + c))
         n_bytes = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
         weights.append(n_bytes * pieces.byte_weight)
         # The longest first, as it is the likeliest more often than not. A position begins one edge of a
         # length at most, so that edges have their places without a sort.
-        many = np.zeros(len(codes), np.int64)
+        many = np.zeros(n_codes, np.int32)
         for begin in starts:
             many[begin] += 1
         self.begin = np.concatenate([[0], np.cumsum(many)])
         free, n_edges = self.begin[:-1].copy(), int(self.begin[-1])
-        self.start = np.repeat(np.arange(len(codes)), many)
-        self.end, self.ids = np.empty(n_edges, np.int64), np.empty(n_edges, np.int64)
-        weight = np.empty(n_edges)
+        self.start = np.repeat(np.arange(n_codes, dtype=np.int32), many)
+        self.end, self.ids = np.empty(n_edges, np.int32), np.empty(n_edges, np.int32)
+        self.logp, self.upto = np.empty(n_edges), np.empty(n_edges)
         for begin, *edges in zip(starts[::-1], ends[::-1], ids[::-1], weights[::-1]):
             at = free[begin]
-            self.end[at], self.ids[at], weight[at] = edges
+            self.end[at], self.ids[at], self.logp[at] = edges
             free[begin] = at + 1
         # Log of the sum over all ways to the end of the word, from the last character backwards.
-        rest = np.zeros(len(codes) + 1)
-        word_end = until[self.start]
-        to_end = self.end == word_end
-        left = word_end - self.start
-        # Small numbers sort faster as such.
-        short = left.astype(np.uint16) if len(left) and left.max() < 1 << 16 else left
-        by_left = np.argsort(short, kind="stable")
-        cuts = np.cumsum(np.bincount(short, minlength=int(sizes.max(initial=0)) + 1))
+        rest = np.zeros(n_codes + 1)
         for a, b in zip(cuts[:-1], cuts[1:]):
-            e = by_left[a:b]
-            value = weight[e] + np.where(to_end[e], 0.0, rest[self.end[e]])
-            begins = self.start[e]
-            group = np.flatnonzero(np.concatenate([[True], begins[1:] > begins[:-1]]))
-            top = np.maximum.reduceat(value, group)
-            many = np.diff(np.append(group, len(e)))
-            total = np.add.reduceat(np.exp(value - np.repeat(top, many)), group)
-            rest[begins[group]] = top + np.log(total)
-        self.logp = weight + np.where(to_end, 0.0, rest[self.end]) - rest[self.start]
-        p = np.exp(self.logp)
-        upto = np.cumsum(p)
-        base = np.concatenate([[0.0], upto])[self.begin[:-1]]
-        within = np.minimum(upto - base[self.start], 1.0)
-        within[self.begin[1:] - 1] = 1.0
-        self.upto = within
+            group = self.begin[a:b + 1]
+            edges, group = slice(group[0], group[-1]), group - group[0]
+            of = self.start[edges] - a
+            value = self.logp[edges] + rest[self.end[edges]]
+            top = np.maximum.reduceat(value, group[:-1])
+            share = np.exp(value - top[of])
+            total = np.add.reduceat(share, group[:-1])
+            rest[a:b] = top + np.log(total)
+            self.logp[edges] = value - rest[a:b][of]
+            upto = np.cumsum(share / total[of])
+            upto -= np.concatenate([[0.0], upto[group[1:-1] - 1]])[of]
+            np.minimum(upto, 1.0, out=upto)
+            upto[group[1:] - 1] = 1.0
+            self.upto[edges] = upto
 
     def draw(self, position: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge from each position, by its conditional probability."""
@@ -234,16 +250,25 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def uniform(key: np.ndarray, *counters) -> np.ndarray:
+def counted(key: np.ndarray, *counters, before: int = 0) -> np.ndarray:
+    """Keys with counters mixed in, ``before`` of which were so already."""
+    for i, c in enumerate(counters, before + 1):
+        key = _mixed(key + (np.atleast_1d(c).astype(np.uint64) + np.uint64(i)) * _STEP)
+    return key
+
+
+def uniform(key: np.ndarray, *counters, before: int = 0) -> np.ndarray:
     """Numbers between 0 and 1, neither included, from keys and counters."""
-    x = key
-    for i, c in enumerate(counters):
-        x = _mixed(x + (np.atleast_1d(c).astype(np.uint64) + np.uint64(i + 1)) * _STEP)
-    return (np.right_shift(x, np.uint64(11)).astype(float) + 0.5) * 2.0**-53
+    x = counted(key, *counters, before=before)
+    return (np.right_shift(x, np.uint64(12)).astype(float) + 0.5) * 2.0**-52
 
 
 class Search:
-    """The search on some texts at once, given their words in a row and the texts' keys."""
+    """The search on some texts at once, given their words in a row and the texts' keys.
+
+    The sets beside a path get their times as far as ``NEAR`` says; those beyond cannot come before
+    ``floor``, and get theirs when the earliest set of a text is later than that.
+    """
 
     def __init__(self, lattice: Lattice, words: np.ndarray, text_of: np.ndarray, keys: np.ndarray):
         self.lattice, self.words, self.text_of, self.keys = lattice, words, text_of, keys
@@ -259,17 +284,16 @@ class Search:
     def _grow(self, occ: np.ndarray, position: np.ndarray, sample: int):
         """Edges from positions in words to the words' ends, with the word of each, in order."""
         edges, of, step = [], [], 0
-        last = self.lattice.last[self.words[occ]]
+        text = self.text_of[occ]
+        keys = counted(self.keys, _GROWTH, sample)[text]
+        keys = counted(keys, occ - self.first_word[text], before=2)
         while len(occ):
-            text = self.text_of[occ]
-            nth = occ - self.first_word[text]
-            u = uniform(self.keys[text], _GROWTH, sample, nth, step)
-            e = self.lattice.draw(position, u)
+            e = self.lattice.draw(position, uniform(keys, step, before=3))
             edges.append(e)
             of.append(occ)
             position, step = self.lattice.end[e], step + 1
-            on = position < last
-            occ, position, last = occ[on], position[on], last[on]
+            on = np.flatnonzero(position != self.lattice.end_of_word)
+            occ, position, keys = occ[on], position[on], keys[on]
         # A word that is still there at a step has had an edge at every step before.
         many = np.zeros(len(self.words), np.int64)
         for occ in of:
@@ -281,31 +305,47 @@ class Search:
 
     def _add(self, edges, occ, time, fresh, drawn) -> None:
         """A path per text. Sets beside its nodes from ``fresh`` on are its own."""
-        text = self.text_of[occ]
-        bounds = np.searchsorted(text, np.arange(len(self.keys) + 1))
+        bounds = np.searchsorted(occ, self.first_word)
         logp = self.lattice.logp[edges]
-        # Text by text, so that sums are the same whatever other texts there are.
         before, total = np.zeros(len(edges)), np.zeros(len(self.keys))
+        near, far = bounds[:-1] + fresh, np.where(drawn, bounds[1:], 0)
+        floor = np.full(len(self.keys), np.inf)
+        # Text by text, so that sums are the same whatever other texts there are.
         for t in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist():
-            part = slice(bounds[t], bounds[t + 1])
-            before[part] = np.cumsum(logp[part])
-            total[t] = before[bounds[t + 1] - 1]
-        before -= logp
-        nth = np.arange(len(edges)) - bounds[text]
-        sample = len(self.paths)
-        beside = np.full(len(edges), np.inf)
-        own = (nth >= fresh[text]) & drawn[text]
-        own = slice(None) if own.all() else np.flatnonzero(own)
+            a, b = int(bounds[t]), int(bounds[t + 1])
+            np.cumsum(logp[a:b - 1], out=before[a + 1:b])
+            total[t] = before[b - 1] + logp[b - 1]
+            own = before[near[t]:far[t]]
+            if len(own):
+                # Probabilities only fall along a path.
+                n = int(np.searchsorted(-own, NEAR - own[0], side="right"))
+                if n < len(own):
+                    far[t], floor[t] = near[t] + n, LEAST_WAIT - own[n]
+        path = {
+            "edges": edges, "occ": occ, "bounds": bounds, "time": time, "logp": total, "before": before,
+            "beside": np.full(len(edges), np.inf), "drawn": drawn, "far": far, "floor": floor,
+            "keys": counted(self.keys, _WAIT, len(self.paths)),
+        }
+        self._wait(path, np.arange(len(self.keys)), near, far)
+        self.paths.append(path)
+
+    def _wait(self, path: dict, text: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+        """Draw the times of the sets beside some texts' nodes, from ``begin`` up to ``end``."""
+        many = np.maximum(end - begin, 0)
+        text = np.repeat(text, many)
+        node = np.arange(len(text)) + np.repeat(begin - np.cumsum(many) + many, many)
+        edge, before = path["edges"][node], path["before"][node]
         with np.errstate(divide="ignore"):
             # A lone edge has all probability, but for rounding.
-            lone = np.diff(self.lattice.begin)[self.lattice.start[edges[own]]] == 1
-            mass = np.where(lone, -np.inf, before[own] + np.log(np.maximum(-np.expm1(logp[own]), 0)))
-        wait = np.log(-np.log(uniform(self.keys[text[own]], _WAIT, sample, nth[own])))
-        beside[own] = np.where(np.isfinite(mass), np.logaddexp(time[text[own]], wait - mass), np.inf)
-        self.paths.append({
-            "edges": edges, "occ": occ, "bounds": bounds, "time": time, "logp": total,
-            "before": before, "beside": beside, "drawn": drawn,
-        })
+            start = self.lattice.start[edge]
+            lone = self.lattice.begin[start + 1] - self.lattice.begin[start] == 1
+            mass = np.where(
+                lone, -np.inf, before + np.log(np.maximum(-np.expm1(self.lattice.logp[edge]), 0))
+            )
+        wait = np.log(-np.log(uniform(path["keys"][text], node - path["bounds"][text], before=2)))
+        path["beside"][node] = np.where(
+            np.isfinite(mass), np.logaddexp(path["time"][text], wait - mass), np.inf
+        )
 
     def _best(self, path: dict) -> tuple[np.ndarray, np.ndarray]:
         """The earliest set beside a path, per text: its time and its node."""
@@ -320,8 +360,13 @@ class Search:
 
     def next_times(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text, the time of the earliest set on the agenda, its path and node."""
-        low, nodes = zip(*map(self._best, self.paths))
-        low, nodes = np.array(low), np.array(nodes)
+        low, nodes = map(np.array, zip(*map(self._best, self.paths)))
+        for nth, path in enumerate(self.paths):
+            late = np.flatnonzero(np.isfinite(path["floor"]) & (low.min(0) >= path["floor"]))
+            if len(late):
+                self._wait(path, late, path["far"][late], path["bounds"][late + 1])
+                path["floor"][late] = np.inf
+                low[nth], nodes[nth] = self._best(path)
         path = low.argmin(0)
         every = np.arange(len(self.keys))
         return low[path, every], path, nodes[path, every]
@@ -356,7 +401,7 @@ class Search:
             kept_edges.append(np.append(p["edges"][own:n], other))
             kept_occ.append(np.append(p["occ"][own:n], occ))
             fresh[t] = n - own + 1
-            if lattice.end[other] < lattice.last[self.words[occ]]:
+            if lattice.end[other] != lattice.end_of_word:
                 go_occ.append(np.array([occ]))
                 go_pos.append(lattice.end[[other]])
             later = np.arange(occ + 1, self.first_word[t + 1])
@@ -380,13 +425,13 @@ def words_in(normal: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     lists = pc.split_pattern(pa.array(normal, pa.large_string()), SPACE)
     begin = lists.offsets.to_numpy() - lists.offsets[0].as_py()
     encoded = lists.flatten().dictionary_encode()
-    parts = encoded.dictionary.to_numpy(zero_copy_only=False)
+    parts = encoded.dictionary
     code = encoded.indices.to_numpy().astype(np.int64)
     text = np.repeat(np.arange(len(normal)), np.diff(begin))
     # An empty part stands between two blanks, or at an end of the text.
     ends = np.zeros(len(code), bool)
     ends[begin[1:] - 1] = True
-    empty = np.array([not p for p in parts], bool)[code]
+    empty = (pc.binary_length(parts).to_numpy() == 0)[code]
     first = np.zeros(len(code), bool)
     first[begin[:-1]] = True
     at = np.flatnonzero(~empty | (ends & ~first))
@@ -395,6 +440,7 @@ def words_in(normal: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     since[1:] = np.maximum(since[1:], at[:-1])
     number, distinct = pd.factorize((at - since) * len(parts) + code[at])
     blanks, of = np.divmod(distinct, max(len(parts), 1))
+    parts = parts.to_numpy(zero_copy_only=False)
     index = [SPACE * b + p for b, p in zip(blanks.tolist(), parts[of].tolist())]
     return index, number.astype(np.int64), text[at]
 
@@ -413,8 +459,6 @@ def sampled(
     for path in search.paths:
         ids = search.lattice.ids[path["edges"]]
         size = len(pieces.weights)
-        ascii_ = (ids >= size) & (ids < size + 128)
-        ids[ascii_] = pieces.byte_ids[ids[ascii_] - size]
         with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
             rate = path["logp"] + left_out
             inclusion = np.where(rate < -30, rate, np.log(-np.expm1(-np.exp(rate))))
@@ -436,6 +480,15 @@ def _spelt(ids: np.ndarray, pieces: Pieces) -> np.ndarray:
     return np.array(out, np.int64)
 
 
+@functools.lru_cache(maxsize=1)
+def loaded(model_file: str, changed: int, sharpness: float):
+    """A model and its pieces, for all tasks of a worker until the file is another or has ``changed``."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=model_file)
+    return model, Pieces.of(model, sharpness)
+
+
 def row_key(key: object) -> int:
     return xxhash.xxh64_intdigest(repr(key).encode(), SEED)
 
@@ -461,10 +514,7 @@ def sample_segmentations(
         kinds += [pa.int64(), pa.int64()]
 
     def sample(batches):
-        import sentencepiece
-
-        model = sentencepiece.SentencePieceProcessor(model_file=model_file)
-        pieces = Pieces.of(model, sharpness)
+        model, pieces = loaded(model_file, os.stat(model_file).st_mtime_ns, sharpness)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             keys = np.array([row_key(i) for i in batch.column(0).to_pylist()], np.uint64)
@@ -479,10 +529,8 @@ def sample_segmentations(
                 ]
                 if round_trip:
                     sums = [zlib.crc32(plain(t).encode()) for t in normal]
-                    out = [
-                        (*o, sums[o[0] - a], zlib.crc32(decoded(o[2], pieces.texts).encode()))
-                        for o in out
-                    ]
+                    back = decoded([o[2] for o in out], pieces.texts)
+                    out = [(*o, sums[o[0] - a], zlib.crc32(t.encode())) for o, t in zip(out, back)]
                 ids = batch.column(0).take(pa.array([o[0] for o in out], pa.int32()))
                 found = [pa.array([o[i + 1] for o in out], t) for i, t in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays([ids, *found], names)
@@ -500,12 +548,14 @@ def plain(normal: str) -> str:
     return normal.replace(SPACE, " ").removeprefix(" ")
 
 
-def decoded(ids: bytes | None, texts: np.ndarray) -> str | None:
-    """The text of some ids; the blank that encoding puts in front is taken off."""
-    if ids is None:
-        return None
-    joined = b"".join(texts[np.frombuffer(ids, "<u4")].tolist())
-    return joined.decode("utf-8", "replace").removeprefix(" ")
+def decoded(rows: list[bytes], texts: pa.LargeBinaryArray) -> list[str]:
+    """The texts of some rows of ids; the blank that encoding puts in front is taken off."""
+    joined = texts.take(pa.array(np.frombuffer(b"".join(rows), "<u4")))
+    _, offsets, data = joined.buffers()
+    offsets = np.frombuffer(offsets, np.int64, len(joined) + 1, joined.offset * 8)
+    cuts = offsets[np.cumsum([0, *(len(r) // 4 for r in rows)])].tolist()
+    view = memoryview(data or b"")
+    return [str(view[a:b], "utf-8", "replace").removeprefix(" ") for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def decode(
@@ -519,6 +569,6 @@ def decode(
 
         texts = piece_texts(sentencepiece.SentencePieceProcessor(model_file=model_file))
         for part in parts:
-            yield part.map(lambda i: decoded(None if i is None else bytes(i), texts))
+            yield part.map(lambda i: None if i is None else decoded([bytes(i)], texts)[0])
 
     return table.withColumn(into, run(col(ids)))

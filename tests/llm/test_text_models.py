@@ -274,3 +274,33 @@ def test_edges_have_their_places_without_a_sort(pieces, monkeypatch):
         assert b > a and (lattice.start[a:b] == lattice.start[a]).all()
         assert len(set(lattice.end[a:b].tolist())) == b - a
         assert math.isclose(np.exp(lattice.logp[a:b]).sum(), 1.0)
+
+
+ODD_TEXTS = ["", "a", "あい \U0001f600é", "x" * 700, "of an it " * 300, " two  blanks \t\n", "reasonable words " * 90]
+
+
+def test_sets_that_come_late_get_their_times_when_asked_for(pieces, monkeypatch):
+    found = {}
+    for near in (0.0, g.NEAR, np.inf):
+        monkeypatch.setattr(g, "NEAR", near)
+        found[near] = g.sampled(ODD_TEXTS * 20, keys(20 * len(ODD_TEXTS)), *pieces, 6)
+    assert found[0.0] == found[np.inf] == found[48.0]
+    assert len(found[0.0][0]) == 1 and max(map(len, found[0.0])) == 6
+
+
+def test_few_random_numbers_are_made_for_an_edge(pieces, monkeypatch):
+    mixed, made = g._mixed, []
+    monkeypatch.setattr(g, "_mixed", lambda x: made.append(len(x)) or mixed(x))
+    texts = ["some words of a longer text, and others " * 60] * 20
+    out = g.sampled(texts, keys(len(texts)), *pieces, 2)
+    edges = sum(len(ids) // 4 for own in out for ids, *_ in own)
+    assert sum(made) < 2.5 * edges
+
+
+def test_a_worker_reads_a_model_once(monkeypatch):
+    of, made = g.Pieces.of, []
+    monkeypatch.setattr(g.Pieces, "of", staticmethod(lambda *a: made.append(a) or of(*a)))
+    assert g.loaded(MODEL, 1, 0.5) is g.loaded(MODEL, 1, 0.5) and len(made) == 1
+    g.loaded(MODEL, 2, 0.5)
+    assert len(made) == 2
+    g.loaded.cache_clear()
